@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -278,7 +279,9 @@ def bpe_decode(coded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
                 b = whole.slice(k, 1000)
-                texts = [codec.decode(x or []) for x in b.column(1).to_pylist()]
+                ids = b.column(1).flatten().to_numpy(zero_copy_only=False).tolist()
+                ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(b.column(1)), 0).to_pylist()]).tolist()
+                texts = [codec.decode(ids[i:j]) for i, j in zip(ends, ends[1:])]
                 yield pa.record_batch([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["id", "ids", "text"])
 
     rows = coded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))

@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ def pieces(batches: Iterator[pa.RecordBatch], col: str, max_bytes: int = 8 << 20
         n = b.num_rows
         if not n:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(b.column(col)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(b.column(col)), 0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i in range(n):
             if held and held + sizes[i] > max_bytes:
