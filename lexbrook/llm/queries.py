@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
-from .common import table
+from . import bpe, html, langid
+from .common import fold_crc, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,21 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the folds that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    train = docs.where((fold_crc("doc_id", 5) != 0) & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
+    found = langid.identify(docs.select("doc_id", "text"), langid.train_dictionaries(train))
+    return found.select(
+        "doc_id", (F.coalesce(fold_crc("doc_id", 5), F.lit(-1)) == 0).alias("held_out"), F.col("lang").alias("lang_pred"), "score", "margin", "rejected"
+    )
+
+
+@query
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = html.extract_main_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
