@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, langid
+from . import bpe, html, langid, licenses, pii
 from .common import fold_crc, table
 
 QUERIES: dict = {}
@@ -53,3 +53,28 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     found = html.extract_main_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document that is a licence text, and the one-line notices within others."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "digest", "license_id", F.array_join("notices", ",").alias("notices"))
+
+
+ORACLES["op7_licenses"] = licenses.oracle()
+
+
+#: For tests only; set lexbrook.pii.key in the session to a secret of your own.
+DEMO_KEY = "a key for tests"
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by pseudonyms of the same form."""
+    key = spark.conf.get("lexbrook.pii.key", DEMO_KEY).encode()
+    found = pii.pseudonymize(table(spark, sf_dir, "documents"), key)
+    return found.select(
+        "doc_id", "text", F.size("spans").cast("long").alias("n_replaced"), F.array_join(F.transform("spans", lambda x: x["kind"]), ",").alias("kinds"),
+        F.to_json("spans").alias("spans"),
+    )
