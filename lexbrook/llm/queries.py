@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, langid, licenses, pii
+from . import bpe, html, langid, licenses, pii, simhash, spotsigs
 from .common import fold_crc, table
 
 QUERIES: dict = {}
@@ -78,3 +78,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", F.size("spans").cast("long").alias("n_replaced"), F.array_join(F.transform("spans", lambda x: x["kind"]), ",").alias("kinds"),
         F.to_json("spans").alias("spans"),
     )
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every document and the least id of those that it is linked to."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return spotsigs.edit_likeness(table(spark, sf_dir, "documents"))
