@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, langid, licenses, pii, simhash, spotsigs
+from . import bpe, decontaminate, html, langid, licenses, pii, simhash, spotsigs
 from .common import fold_crc, table
 
 QUERIES: dict = {}
@@ -90,3 +90,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are."""
     return spotsigs.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item."""
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+ORACLES["op6_decontaminate"] = decontaminate.oracle()
