@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html, langid, licenses, pii, simhash, spotsigs
+from . import bpe, decontaminate, html, langid, licenses, pii, simhash, spotsigs, toxicity
 from .common import fold_crc, table
 
 QUERIES: dict = {}
@@ -102,3 +102,14 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_decontaminate"] = decontaminate.oracle()
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of the folds that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train_on_folds(docs, table(spark, sf_dir, "labels"), fold_crc("doc_id", 5) != 0)
+    found = toxicity.score(docs, model)
+    return found.select(
+        "doc_id", (F.coalesce(fold_crc("doc_id", 5), F.lit(-1)) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_restored"
+    )
