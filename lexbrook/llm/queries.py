@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html, langid, licenses, pii, simhash, spotsigs, toxicity
+from . import bpe, decontaminate, html, langid, licenses, lmscore, pii, simhash, spotsigs, toxicity
 from .common import fold_crc, table
 
 QUERIES: dict = {}
@@ -113,3 +113,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", (F.coalesce(fold_crc("doc_id", 5), F.lit(-1)) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_restored"
     )
+
+
+@query
+def op5_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, learned from the folds that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.coalesce(fold_crc("doc_id", 7), F.lit(-1))
+    found = lmscore.score(docs, docs.where(fold != 2))
+    return found.select("doc_id", (fold == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
