@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, rows_of
 
 #: How byte-level BPE cuts a text into words, and which character stands for a byte.
 WORDS = r"'(?:s|t|re|ve|m|ll|d)| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
@@ -262,12 +262,11 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
             coded = codec.encode([t or "" for t in b.column(1).to_pylist()])
             ends = np.cumsum([0, *(len(x) // 4 for x in coded)]).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(coded), np.int32))
-            return pa.record_batch([b.column(0), pa.ListArray.from_arrays(pa.array(ends), values)], names=["id", "ids"])
+            return pa.record_batch([pa.ListArray.from_arrays(pa.array(ends), values)], names=["ids"])
 
         return f
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return map_arrow(rows, make, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>", "text").withColumnRenamed("id", id_col)
+    return map_arrow(rows_of(docs, id_col, text_col), make, "ids array<int>").withColumnRenamed("id", id_col)
 
 
 def bpe_decode(coded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -57,12 +57,24 @@ def pieces(batches: Iterator[pa.RecordBatch], col: str, max_bytes: int = 8 << 20
         yield b.slice(start)
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, text_col: str) -> DataFrame:
-    """Run ``make()`` once per task and its result on each piece of the input."""
+def rows_of(docs: DataFrame, id_col: str, text_col: str, carry: list[str] | None = None) -> DataFrame:
+    """(id, text) of each row, and as ``carry`` a struct of the columns asked for, whatever their names."""
+    more = [F.struct(*(F.col(f"`{c}`") for c in carry)).alias("carry")] if carry else []
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *more)
+
+
+def map_arrow(rows: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
+    """Run ``make()`` once per task and its result on pieces of the rows (id, text and maybe carry).
+
+    The result's columns are ``schema`` after the id, and ``carry`` as it came.
+    """
+    carried = rows.columns[2:]
+    kinds = [f"id {rows.schema['id'].dataType.simpleString()}", schema, *(f"{c} {rows.schema[c].dataType.simpleString()}" for c in carried)]
 
     def run(batches):
         f = make()
-        for b in pieces(batches, text_col):
-            yield f(b)
+        for b in pieces(batches, "text"):
+            out = f(b)
+            yield pa.record_batch([b.column(0), *out.columns, *b.columns[2:]], names=["id", *out.schema.names, *carried])
 
-    return df.mapInArrow(run, schema)
+    return rows.mapInArrow(run, ", ".join(kinds))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, checkpointed
+from .common import LOWER, UPPER, checkpointed, rows_of
 
 #: What separates words once A-Z are lower-cased.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -55,15 +55,16 @@ def _fingerprints(df: DataFrame, keep: list[str], k: int, window: int, lengths:
     return rows.select(*keep, "gram", F.shiftright("p", PLACE_BITS).alias("hash"), F.col("p").bitwiseAND((1 << PLACE_BITS) - 1).cast("int").alias("at"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, k: int = 5, window: int = 6, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(id, n_words, n_hit, items array, contaminated) for each row of docs; items: ids of those with a hit, sorted as text.
+def decontaminate(docs: DataFrame, items: DataFrame, k: int = 5, window: int = 6, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """(id, n_words, n_hit, items array, contaminated, carry) for each row of docs; items: ids of those with a hit, sorted as text.
 
     Windows of window + k - 1 words count. The items' fingerprints are broadcast where Spark finds them
     small enough, else both sides are dealt out by hash.
     """
     span = window + k - 1
     # a row's content is its key: rows that share it have the same result
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).select("id", "text", F.xxhash64("id", "text").alias("row"), F.hash("text").alias("row2"))
+    rows = rows_of(docs, id_col, text_col, carry).withColumn("row", F.xxhash64("id", "text")).withColumn("row2", F.hash("text"))
+    more = ["carry"] if carry else []
     asked = items.select(F.col(item_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("item_words")).where(F.size("item_words") > 0)
     # equal items are looked for once
     texts = checkpointed(asked.groupBy("item_words").agg(F.collect_list("item").alias("items")).withColumn("key", F.xxhash64("item_words")))
@@ -74,7 +75,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, k: int = 5, window: int = 6
     own = _fingerprints(rows.select("row", "row2", words_of(F.col("text")).alias("words")), ["row", "row2"], k, window, lengths)
     met = own.join(prints, ["gram", "hash"]).groupBy("row", "row2", "key").agg(F.collect_set(F.col("at") - F.col("item_at")).alias("shifts"))
     proposed = met.join(texts, "key").groupBy("row", "row2").agg(F.collect_list(F.struct("item_words", "items", "shifts")).alias("proposed"))
-    laid = rows.join(proposed, ["row", "row2"], "left").select("id", words_of(F.col("text")).alias("words"), "proposed")
+    laid = rows.join(proposed, ["row", "row2"], "left").select("id", words_of(F.col("text")).alias("words"), "proposed", *more)
     # for each item: where its windows that agree begin in the document
     agree = f"""transform(proposed, c -> named_struct('items', c.items, 'n', least({span}, size(c.item_words)), 'starts',
         flatten(transform(c.shifts, s -> transform(filter(
@@ -89,6 +90,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, k: int = 5, window: int = 6
         F.size("words").cast("long").alias("n_words"),
         F.coalesce(F.size(F.array_distinct(places)), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.array_sort(F.flatten(F.transform("agree", lambda c: c["items"]))), F.array().cast("array<string>")).alias("items"),
+        *more,
     ).withColumn("contaminated", F.col("n_hit") > 0)
 
 

@@ -19,9 +19,8 @@ import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, rows_of
 
 #: How HTML's elements behave.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -225,13 +224,10 @@ def main_text(page: str | None) -> str:
     return "\n".join(text for owner, text, _ in blocks if owner.kept)
 
 
-def extract_main_text(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
-    """The columns of ``keep`` and ``text``: the main text of each page."""
+def extract_main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", carry: list[str] | None = None) -> DataFrame:
+    """(id, text, carry): the main text of each page."""
 
     def f(b: pa.RecordBatch) -> pa.RecordBatch:
-        texts = pa.array([main_text(x) for x in b.column(b.num_columns - 1).to_pylist()], pa.string())
-        return pa.record_batch([*b.columns[:-1], texts], names=[*b.schema.names[:-1], "_text"])
+        return pa.record_batch([pa.array([main_text(x) for x in b.column(1).to_pylist()], pa.string())], names=["main"])
 
-    rows = pages.select(*(F.col(c) for c in keep), F.col(html_col).alias("_html"))
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return map_arrow(rows, lambda: f, f"{schema}, _text string", "_html").withColumnRenamed("_text", "text")
+    return map_arrow(rows_of(pages, id_col, html_col, carry), lambda: f, "main string").withColumnsRenamed({"id": id_col, "main": "text"})

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, rows_of
 
 UNKNOWN = "und"
 NOISE = re.compile(r"[^\w\s]+|[\d_]+")
@@ -113,10 +113,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
                 m = 1.0 if second is None else (second - sizes[k]) / second
                 lang.append(model.langs[k]), margin.append(m), score.append(1 / (2 - m) if m < 1 else 1.0)
             rejected = [m < min_margin for m in margin]
-            return pa.record_batch([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64()), pa.array(rejected, pa.bool_())], names=["id", "lang", "score", "margin", "rejected"])
+            return pa.record_batch([pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64()), pa.array(rejected, pa.bool_())], names=["lang", "score", "margin", "rejected"])
 
         return f
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, lang string, score double, margin double, rejected boolean"
-    return map_arrow(rows, make, schema, "text").withColumnRenamed("id", id_col)
+    return map_arrow(rows_of(docs, id_col, text_col), make, "lang string, score double, margin double, rejected boolean").withColumnRenamed("id", id_col)

@@ -22,9 +22,8 @@ import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import map_arrow, rows_of
 
 ROUNDS = 8
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
@@ -223,8 +222,8 @@ def apply_spans(text: str, spans: list[tuple[int, int, str, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def pseudonymize(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text with pseudonyms, spans array<struct<start, end, kind, pseudonym>>) for each row."""
+def pseudonymize(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """(id, text with pseudonyms, spans array<struct<start, end, kind, pseudonym>>, carry) for each row."""
     if not key:
         raise ValueError("a key is needed")
 
@@ -238,10 +237,9 @@ def pseudonymize(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
                 found = p.spans(t) if t else []
                 texts.append(apply_spans(t, found) if found else t)
                 spans.append([dict(zip(("start", "end", "kind", "pseudonym"), s)) for s in found])
-            return pa.record_batch([b.column(0), pa.array(texts, pa.string()), pa.array(spans, pa.list_(span))], names=["id", "text", "spans"])
+            return pa.record_batch([pa.array(texts, pa.string()), pa.array(spans, pa.list_(span))], names=["new", "spans"])
 
         return f
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, text string, spans array<struct<start:int,end:int,kind:string,pseudonym:string>>"
-    return map_arrow(rows, make, schema, "text").withColumnsRenamed({"id": id_col, "text": text_col})
+    schema = "new string, spans array<struct<start:int,end:int,kind:string,pseudonym:string>>"
+    return map_arrow(rows_of(docs, id_col, text_col, carry), make, schema).withColumnsRenamed({"id": id_col, "new": text_col})

@@ -51,8 +51,8 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
-    found = html.extract_main_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
-    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    found = html.extract_main_text(table(spark, sf_dir, "pages"), carry=["url"])
+    return found.select("page_id", "carry.url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 @query
@@ -83,7 +83,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash of every document and the least id of those that it is linked to."""
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 @query

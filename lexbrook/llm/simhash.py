@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_arrow
+from .common import checkpointed, map_arrow, rows_of
 from .components import connected_components
 
 BITS = 64
@@ -49,14 +49,14 @@ def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
-    """(id, fp) for each row of docs; fp: the fingerprint's bits as a signed long."""
+    """(id, fp, text_hash) for each row of docs; fp: the fingerprint's bits as a signed long, text_hash: XXH64 of the text."""
 
     def f(b: pa.RecordBatch) -> pa.RecordBatch:
         found = np.array([fingerprint(t, words, seed) for t in b.column(1).to_pylist()], np.uint64)
-        return pa.record_batch([b.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
+        return pa.record_batch([pa.array(found.view(np.int64))], names=["fp"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return map_arrow(rows, lambda: f, f"id {rows.schema['id'].dataType.simpleString()}, fp long", "text")
+    rows = rows_of(docs, id_col, text_col).withColumn("carry", F.xxhash64("text"))
+    return map_arrow(rows, lambda: f, "fp long").withColumnRenamed("carry", "text_hash")
 
 
 def signed(x: int) -> int:
@@ -111,6 +111,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = connected_components(links(nodes.select("fp"), max_bits, crowd))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    groups = checkpointed(rooted.join(named, "root").select("fp", "component_id"))
+    groups = checkpointed(rooted.join(named, "root").select("fp", "root", "component_id"))
     out = prints.join(groups, "fp", "left")
-    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", F.col("root").alias("group"), "text_hash")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs without near duplicates: of each group the one of least id (of equal ids, of the
+    least text hash; a null id only in a group without another). All columns stay."""
+    found = near_duplicates(docs, id_col, text_col, **options)
+    least = found.groupBy("group").agg(F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "text_hash")).alias("x"))
+    chosen = least.select(F.col("x.id").alias("_id"), F.col("x.text_hash").alias("_hash"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("carry"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash"))
+    kept = rows.join(chosen, rows["id"].eqNullSafe(chosen["_id"]) & (rows["hash"] == chosen["_hash"]), "left_semi")
+    return kept.dropDuplicates(["id", "hash"]).select("carry.*")

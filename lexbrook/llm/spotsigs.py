@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import checkpointed, map_arrow
+from .common import checkpointed, map_arrow, rows_of
 
 #: Common words of the languages served, the anchors of spots.
 ANCHORS = frozenset(
@@ -85,10 +85,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def f(b: pa.RecordBatch) -> pa.RecordBatch:
         sigs = [signature(t, chain) for t in b.column(1).to_pylist()]
-        return pa.record_batch([b.column(0), pa.array(map(as_text, sigs), pa.string()), pa.array(map(len, sigs), pa.int64())], names=["id", "fingerprint", "n_spots"])
+        return pa.record_batch([pa.array(map(as_text, sigs), pa.string()), pa.array(map(len, sigs), pa.int64())], names=["fingerprint", "n_spots"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return map_arrow(rows, lambda: f, f"id {rows.schema['id'].dataType.simpleString()}, fingerprint string, n_spots long", "text").withColumnRenamed("id", id_col)
+    return map_arrow(rows_of(docs, id_col, text_col), lambda: f, "fingerprint string, n_spots long").withColumnRenamed("id", id_col)
 
 
 def near_duplicates(prints: DataFrame, least: float = 0.8, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
