@@ -8,9 +8,10 @@ step and c(h) at the upper end, p(w) = (c(w) + 1) / (N + V + 1). mu = MU c(h) **
 different words seen after h, which grows like a power of its count.
 
 The filter is made of shards by the grams' hashes, each built in one task from a bounded share of
-the corpus and sized for its own grams, so it grows with the corpus; what is broadcast at a time does not:
-shards are sent in passes of ``pass_bytes`` at most (more passes for a larger filter), each of
-which adds what its shards know to the counts that a document carries along.
+the corpus and sized for its own grams, so it grows with the corpus. What is broadcast at a time is
+bounded: bigrams' shards are sent in passes of ``pass_bytes`` at most, always with the unigrams'
+(as many as the vocabulary has words, far fewer). A pass scores the tokens whose bigram falls in its
+shards; the passes' sums add up to the text's score.
 
 Exact unigram scores come beside it: counts of the ``heavy`` most frequent words are broadcast (a bounded
 table), the other words of a document are joined with their counts by hash.
@@ -24,23 +25,25 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import checkpointed, pieces
 
 END = b"\n"  # no word holds white space
 START = b"\n\n"
-BASE, BITS_SET, BITS_PER_ENTRY = 1.5, 5, 10.0
+BASE, BITS_SET, BITS_PER_ENTRY = 1.5, 5, 9.0
 MU, POWER = 3.0, 0.9
 LEVELS = 96
 #: Characters of text whose grams one shard holds, and shards' bytes sent at once.
-SHARD_CHARS, PASS_BYTES = 16_000_000, 160 << 20
+SHARD_CHARS, PASS_BYTES = 8_000_000, 128 << 20
+#: Bytes of text that a Python worker cuts into words at a time.
+PIECE = 3 << 20
 HEAVY = 500_000
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -104,7 +107,7 @@ def count_words(texts: DataFrame) -> DataFrame:
     """(h, c): tokens' hashes and counts over all texts."""
 
     def run(batches):
-        for b in pieces(batches, "text"):
+        for b in pieces(batches, "text", PIECE):
             t = Tokens(b.column(0).to_pylist())
             yield pa.record_batch([pa.array(t.hashes.view(np.int64)), pa.array(np.bincount(t.index, minlength=len(t.hashes)))], names=["h", "c"])
 
@@ -130,39 +133,61 @@ def build_shard(h: np.ndarray, q: np.ndarray) -> np.ndarray:
     return words
 
 
-def build_filter(texts: DataFrame, shards: int) -> DataFrame:
-    """(shard, bits): the filter of all unigrams and bigrams of texts, checkpointed."""
+def build_filter(texts: DataFrame, counts: DataFrame, shards: int) -> DataFrame:
+    """(kind, shard, bits): the filters of unigrams (kind 0) and bigrams (kind 1) of texts, checkpointed."""
 
-    def grams(batches):
-        for b in pieces(batches, "text"):
-            t = Tokens(b.column(0).to_pylist())
-            h, c = np.unique(t.bigrams(), return_counts=True)
-            used = np.bincount(t.index, minlength=len(t.hashes))
-            h = np.r_[h, mix(t.hashes[used > 0]), mix(np.array([START_HASH]))]
-            c = np.r_[c, used[used > 0], [len(t.sizes)]]
-            yield pa.record_batch([pa.array((h % np.uint64(shards)).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(c.astype(np.int32))], names=["shard", "h", "c"])
+    def frame(kind: int, h: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+        place = (h % np.uint64(shards)).astype(np.int32) * 2 + kind
+        return pa.record_batch([pa.array(place), pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], names=["place", "h", "c"])
+
+    def bigrams(batches):
+        for b in pieces(batches, "text", PIECE):
+            yield frame(1, *np.unique(Tokens(b.column(0).to_pylist()).bigrams(), return_counts=True))
+
+    starts = counts.where(F.col("h") == int(END_HASH.astype(np.int64))).select(F.lit(int(START_HASH.astype(np.int64))).alias("h"), "c")  # as many as ends
 
-    def build(table: pa.Table) -> pa.Table:
-        h, back = np.unique(table.column("h").to_numpy().view(np.uint64), return_inverse=True)
-        c = np.bincount(back, weights=table.column("c").to_numpy())
-        bits = build_shard(h, np.minimum(quantised(c), LEVELS))
-        return pa.table({"shard": table.column("shard").slice(0, 1).cast(pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
+    def unigrams(batches):
+        for b in batches:
+            yield frame(0, mix(b.column(0).to_numpy().view(np.uint64)), b.column(1).to_numpy())
 
-    found = texts.select("text").mapInArrow(grams, "shard int, h long, c int")
-    return checkpointed(found.groupBy("shard").applyInArrow(build, "shard int, bits binary"))
+    def build(batches):
+        held: dict[int, list] = {}
+        for b in batches:
+            place, h, c = (b.column(i).to_numpy() for i in range(3))
+            order = np.argsort(place, kind="stable")
+            place, h, c = place[order], h[order], c[order]
+            cuts = np.flatnonzero(np.r_[True, place[1:] != place[:-1], True]) if len(place) else []
+            for i, j in zip(cuts, cuts[1:]):
+                held.setdefault(int(place[i]), []).append((h[i:j], c[i:j]))
+        for p in list(held):
+            parts = held.pop(p)
+            h, back = np.unique(np.concatenate([x for x, _ in parts]).view(np.uint64), return_inverse=True)
+            c = np.bincount(back, weights=np.concatenate([x for _, x in parts]))
+            bits = build_shard(h, np.minimum(quantised(c), LEVELS))
+            yield pa.record_batch([pa.array([p % 2], pa.int32()), pa.array([p // 2], pa.int32()), pa.array([bits.tobytes()], pa.binary())], names=["kind", "shard", "bits"])
+
+    schema = "place int, h long, c long"
+    found = texts.select("text").mapInArrow(bigrams, schema).unionByName(counts.select("h", "c").unionByName(starts).mapInArrow(unigrams, schema))
+    return checkpointed(found.repartition(shards, "place").mapInArrow(build, "kind int, shard int, bits binary"))
 
 
 class Filter:
-    """The shards of one pass; grams of other shards have level 0."""
+    """Some shards' words in a row; grams of other shards have level 0."""
 
-    def __init__(self, shards: int, sent: list[tuple[int, bytes]]):
+    def __init__(self, shards: int, sizes: dict[int, int]):
         self.shards = shards
-        self.words = np.frombuffer(b"".join(x for _, x in sent), np.uint64) if sent else np.zeros(1, np.uint64)
         self.offset, self.size = np.zeros(shards, np.int64), np.zeros(shards, np.int64)
         at = 0
-        for s, x in sent:
-            self.offset[s], self.size[s] = at, len(x) // 8
-            at += len(x) // 8
+        for s in sorted(sizes):
+            self.offset[s], self.size[s] = at, sizes[s]
+            at += sizes[s]
+        self.words = np.zeros(max(1, at), np.uint64)
+
+    def put(self, shard: int, bits: bytes) -> None:
+        self.words[self.offset[shard] : self.offset[shard] + self.size[shard]] = np.frombuffer(bits, np.uint64)
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        return self.size[(h % np.uint64(self.shards)).astype(np.int64)] > 0
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """How many levels of each gram are found, by asking for one after another."""
@@ -215,97 +240,101 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
     order = np.argsort(top_h)
     top_sent = sc.broadcast((top_h[order], top_c[order]))
 
-    built = build_filter(texts, shards)
-    sizes = sorted((r["shard"], r["n"]) for r in built.select("shard", F.length("bits").alias("n")).collect())
-    passes: list[list[int]] = [[]]
+    built = build_filter(texts, counts, shards)
+    sizes = sorted((r["kind"], r["shard"], r["n"]) for r in built.select("kind", "shard", F.length("bits").alias("n")).collect())
+    passes: list[dict[int, int]] = [{}]
     room = pass_bytes
-    for s, n in sizes:
-        if n > room and passes[-1]:
-            passes.append([])
-            room = pass_bytes
-        passes[-1].append(s)
-        room -= n
+    for kind, s, n in sizes:
+        if kind == 1:
+            if n > room and passes[-1]:
+                passes.append({})
+                room = pass_bytes
+            passes[-1][s] = n // 8
+            room -= n
+
+    def collected(kind: int, of: dict[int, int]) -> Filter:
+        out = Filter(shards, of)
+        if of:
+            for r in built.where((F.col("kind") == kind) & F.col("shard").isin(list(of))).select("shard", "bits").toLocalIterator():
+                out.put(r["shard"], r["bits"])
+        return out
 
+    alone = sc.broadcast(collected(0, {s: n // 8 for kind, s, n in sizes if kind == 0}))
     kind = docs.schema[id_col].dataType
-    id_name, id_arrow = kind.simpleString(), to_arrow_type(kind)
+    id_name = kind.simpleString()
     rows = _rows(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
 
-    # exact counts of the rarer words, by a join; rows that share id and text are counted, and their sums divided by that
+    # exact counts of the rarer words, by a join; rows that share id and text are counted by a mark each, and their sums divided by that
     def rare(batches):
         known = top_sent.value[0]
-        for b in pieces(batches, "text"):
+        for b in pieces(batches, "text", PIECE):
             t = Tokens(b.column(2).to_pylist())
             signed = t.hashes.view(np.int64)
-            k = np.minimum(np.searchsorted(known, signed), max(0, len(known) - 1))
-            is_rare = known[k] != signed if len(known) else np.ones(len(signed), bool)
+            is_rare = ~found_in(known, signed)[0]
             row = np.repeat(np.arange(b.num_rows), t.sizes)
             use = is_rare[t.index]
             pair, n = np.unique(row[use] * len(signed) + t.index[use], return_counts=True)
             row, word = pair // len(signed), pair % len(signed)
             marked = np.unique(row)
-            at = np.r_[row, marked]
-            yield pa.record_batch(
-                [b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(np.r_[signed[word], np.zeros(len(marked), np.int64)]), pa.array(np.r_[n, np.zeros(len(marked), np.int64)])],
-                names=["id", "th", "h", "n"],
-            )
+            at = pa.array(np.r_[row, marked])
+            h = np.r_[signed[word], b.column(1).to_numpy()[marked]]  # the marks' hashes only spread them
+            yield pa.record_batch([b.column(0).take(at), b.column(1).take(at), pa.array(h), pa.array(np.r_[n, np.zeros(len(marked), np.int64)])], names=["id", "th", "h", "n"])
 
     lower = rows.select("id", "th", "text").mapInArrow(rare, f"id {id_name}, th long, h long, n long")
-    copies = lower.where("n = 0").groupBy("id", "th").agg(F.count("*").alias("copies"))
-    joined = lower.where("n > 0").join(counts.where(F.col("c") < least), "h")
-    sums = joined.groupBy("id", "th").agg(F.sum("n").alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_log"))
-    rare_part = sums.join(copies, ["id", "th"]).select(
-        F.xxhash64("id").alias("idh"), "th", (F.col("rare_known") / F.col("copies")).alias("rare_known"), (F.col("rare_log") / F.col("copies")).alias("rare_log")
+    joined = lower.select(F.xxhash64("id").alias("idh"), "th", "h", "n").join(counts.where(F.col("c") < least), "h", "left")
+    rare_part = joined.groupBy("idh", "th").agg(
+        F.count(F.when(F.col("n") == 0, 1)).alias("copies"), F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_log")
     )
 
-    def one_pass(sent, last: bool):
+    def one_pass(sent, first: bool):
         def run(batches):
-            f = Filter(shards, sent.value)
+            single, f = alone.value, sent.value
             known, known_c = top_sent.value
-            for b in pieces(batches, "text"):
+            start_level = single.levels(mix(np.array([START_HASH])))
+            for b in pieces(batches, "text", PIECE):
                 t = Tokens(b.column(2).to_pylist())
-                word = f.levels(mix(t.hashes))[t.index]
-                pair = f.levels(t.bigrams())
-                first = np.full(1, f.levels(mix(np.array([START_HASH])))[0], np.uint8)
-                n = len(word)
-                state = np.r_[word, pair, first]
-                held = b.column(3).to_pylist()
-                if held and held[0] is not None:  # what earlier passes found
-                    before = [np.frombuffer(x, np.uint8) for x in held]
-                    word = np.maximum(word, np.concatenate([x[: len(x) // 2] for x in before]))
-                    pair = np.maximum(pair, np.concatenate([x[len(x) // 2 : -1] for x in before]))
-                    first = np.maximum(first, before[0][-1:])
-                if not last:
-                    state = [np.r_[word[i:j], pair[i:j], first].tobytes() for i, j in zip(t.starts, t.starts[1:])]
-                    yield pa.record_batch([b.column(0), b.column(1), b.column(2), pa.array(state, pa.binary())], names=["id", "th", "text", "state"])
-                    continue
+                word = single.levels(mix(t.hashes))[t.index]
                 before = np.empty_like(word)
                 before[1:] = word[:-1]
-                before[t.starts[:-1]] = first
-                logs = log_probabilities(word, before, pair, total, kinds)
-                signed = t.hashes.view(np.int64)
-                k = np.minimum(np.searchsorted(known, signed), max(0, len(known) - 1))
-                c = np.where(known[k] == signed, known_c[k], 0) if len(known) else np.zeros(len(signed), np.int64)
-                own, cut = c[t.index], t.starts[:-1]
-                columns = [t.sizes, np.add.reduceat(own > 0, cut, dtype=np.int64), np.add.reduceat(np.log10(own + 1.0), cut), np.add.reduceat(logs, cut)]
-                yield pa.record_batch([b.column(0), b.column(1), *map(pa.array, columns)], names=["id", "th", "n_tokens", "known", "log", "score"])
+                before[t.starts[:-1]] = start_level[0]
+                pairs = t.bigrams()
+                logs = log_probabilities(word, before, f.levels(pairs), total, kinds)
+                if len(passes) > 1:
+                    logs[~f.holds(pairs)] = 0.0
+                cut = t.starts[:-1]
+                columns = [np.add.reduceat(logs, cut)]
+                if first:
+                    there, k = found_in(known, t.hashes.view(np.int64))
+                    own = np.where(there, known_c[k] if len(known) else 0, 0)[t.index]
+                    columns += [t.sizes, np.add.reduceat(own > 0, cut, dtype=np.int64), np.add.reduceat(np.log10(own + 1.0), cut)]
+                yield pa.record_batch([b.column(0), b.column(1), *map(pa.array, columns)], names=["id", "th", "score", "n_tokens", "known", "log"][: 2 + len(columns)])
 
         return run
 
-    state = rows.select("id", "th", "text", F.lit(None).cast("binary").alias("state"))
+    scored = []
     for i, part in enumerate(passes):
-        sent = sc.broadcast([(r["shard"], bytes(r["bits"])) for r in built.where(F.col("shard").isin(part)).toLocalIterator()] if part else [])
-        last = i == len(passes) - 1
-        schema = f"id {id_name}, th long, " + ("n_tokens long, known long, log double, score double" if last else "text string, state binary")
-        state = state.mapInArrow(one_pass(sent, last), schema)
-        if not last:
-            state = checkpointed(state)
-            sent.unpersist()
-    out = state.withColumn("idh", F.xxhash64("id")).join(rare_part, ["idh", "th"], "left")
+        sent = sc.broadcast(collected(1, part))
+        schema = f"id {id_name}, th long, score double" + (", n_tokens long, known long, log double" if i == 0 else "")
+        scored.append(rows.select("id", "th", "text").mapInArrow(one_pass(sent, i == 0), schema).withColumn("idh", F.xxhash64("id")))
+    out = scored[0]
+    if scored[1:]:  # each copy of a row adds the same
+        rest = reduce(lambda a, b: a.unionByName(b), scored[1:]).groupBy("idh", "th").agg((F.sum("score") / F.count("*") * len(scored[1:])).alias("more"))
+        out = out.join(rest, ["idh", "th"]).withColumn("score", F.col("score") + F.col("more"))
+    out = out.join(rare_part, ["idh", "th"], "left")
+    copies = F.coalesce("copies", F.lit(1))
     return out.select(
         F.col("id").alias(id_col),
         "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
+        (F.col("known") + F.coalesce(F.col("rare_known") / copies, F.lit(0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("log") + F.coalesce("rare_log", F.lit(0.0)) - F.col("n_tokens") * math.log10(total + kinds + 1)).alias("base_score"),
+        (F.col("log") + F.coalesce(F.col("rare_log") / copies, F.lit(0.0)) - F.col("n_tokens") * math.log10(total + kinds + 1)).alias("base_score"),
         "score",
     )
+
+
+def found_in(known: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which hashes a sorted table has, and where."""
+    if not len(known):
+        return np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+    k = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    return known[k] == h, k
