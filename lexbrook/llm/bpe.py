@@ -33,7 +33,7 @@ LATIN_SPACES = r"\t-\r \x85\xa0"
 SPACES = LATIN_SPACES + r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Words whose tokens a worker remembers before it starts anew: a bound on its memory only.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 #: The rank of a pair that no merge joins.
 NEVER = np.iinfo(np.int64).max
 #: A vocabulary file larger than this is refused: it is sent to every worker.
@@ -251,8 +251,12 @@ def _send(df: DataFrame, tokenizer: str):
     return df.sparkSession.sparkContext.broadcast(raw)
 
 
-def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>) for each row of docs; tokenizer: a file of the tokenizers library on the driver."""
+def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """(id, ids array<int>) for each row of docs; tokenizer: a file of the tokenizers library on the driver.
+
+    decoded: also ``decoded``, the text that the ids stand for, by the same worker, so that ids need not
+    travel twice.
+    """
     sent = _send(docs, tokenizer)
 
     def make():
@@ -261,12 +265,14 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
         def f(b: pa.RecordBatch) -> pa.RecordBatch:
             coded = codec.encode([t or "" for t in b.column(1).to_pylist()])
             ends = np.cumsum([0, *(len(x) // 4 for x in coded)]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(coded), np.int32))
-            return pa.record_batch([pa.ListArray.from_arrays(pa.array(ends), values)], names=["ids"])
+            columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(coded), np.int32)))]
+            if decoded:
+                columns.append(pa.array([codec.decode(np.frombuffer(x, np.int32).tolist()) for x in coded], pa.string()))
+            return pa.record_batch(columns, names=["ids", "decoded"][: len(columns)])
 
         return f
 
-    return map_arrow(rows_of(docs, id_col, text_col), make, "ids array<int>").withColumnRenamed("id", id_col)
+    return map_arrow(rows_of(docs, id_col, text_col), make, "ids array<int>" + ", decoded string" * decoded).withColumnRenamed("id", id_col)
 
 
 def bpe_decode(coded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -276,8 +282,8 @@ def bpe_decode(coded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col
     def run(batches):
         codec = _codec(sent)
         for whole in batches:
-            for k in range(0, whole.num_rows, 1000):
-                b = whole.slice(k, 1000)
+            for k in range(0, whole.num_rows, 500):
+                b = whole.slice(k, 500)
                 ids = b.column(1).flatten().to_numpy(zero_copy_only=False).tolist()
                 ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(b.column(1)), 0).to_pylist()]).tolist()
                 texts = [codec.decode(ids[i:j]) for i, j in zip(ends, ends[1:])]

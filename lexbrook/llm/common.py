@@ -40,7 +40,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], col: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], col: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``col`` holds about max_bytes at most (or one row), so that
     long texts do not pile up in a Python worker."""
     for b in batches:

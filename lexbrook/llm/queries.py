@@ -27,13 +27,12 @@ def tokenizer_file() -> str:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, decode the ids again, and give digests of both."""
     docs = table(spark, sf_dir, "documents")
-    coded = bpe.bpe_encode(docs, tokenizer_file())
-    back = bpe.bpe_decode(coded, tokenizer_file())
-    return back.select(
+    coded = bpe.bpe_encode(docs, tokenizer_file(), decoded=True)
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
