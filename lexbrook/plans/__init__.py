@@ -1 +1,4 @@
-"""See the package README for the map of operators."""
+"""Queries over the driver's tables, registered by family."""
+
+from . import registry  # noqa: F401  isort: skip
+from . import dedup_queries, graph_queries, relational_queries, search_queries, stats_queries, text_queries, traffic_queries  # noqa: F401

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-FLAGSHIP = "stats_by_source_lang"
+FLAGSHIP = "find_decisions"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
