@@ -33,7 +33,7 @@ LATIN_SPACES = r"\t-\r \x85\xa0"
 SPACES = LATIN_SPACES + r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Words whose tokens a worker remembers before it starts anew: a bound on its memory only.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 #: The rank of a pair that no merge joins.
 NEVER = np.iinfo(np.int64).max
 #: A vocabulary file larger than this is refused: it is sent to every worker.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -63,6 +65,14 @@ def rows_of(docs: DataFrame, id_col: str, text_col: str, carry: list[str] | None
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *more)
 
 
+def release_memory() -> None:
+    """Give a Python worker's free memory back, as it stays alive for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+        trim(0)
+
+
 def map_arrow(rows: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Run ``make()`` once per task and its result on pieces of the rows (id, text and maybe carry).
 
@@ -76,5 +86,7 @@ def map_arrow(rows: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
         for b in pieces(batches, "text"):
             out = f(b)
             yield pa.record_batch([b.column(0), *out.columns, *b.columns[2:]], names=["id", *out.schema.names, *carried])
+        del f
+        release_memory()
 
     return rows.mapInArrow(run, ", ".join(kinds))

@@ -56,7 +56,7 @@ def _fingerprints(df: DataFrame, keep: list[str], k: int, window: int, lengths:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, k: int = 5, window: int = 6, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """(id, n_words, n_hit, items array, contaminated, carry) for each row of docs; items: ids of those with a hit, sorted as text.
+    """(id, n_words, n_hit, items array, contaminated; with carry also the text and carry) for each row of docs; items: ids of those with a hit, sorted as text.
 
     Windows of window + k - 1 words count. The items' fingerprints are broadcast where Spark finds them
     small enough, else both sides are dealt out by hash.
@@ -64,7 +64,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, k: int = 5, window: int = 6
     span = window + k - 1
     # a row's content is its key: rows that share it have the same result
     rows = rows_of(docs, id_col, text_col, carry).withColumn("row", F.xxhash64("id", "text")).withColumn("row2", F.hash("text"))
-    more = ["carry"] if carry else []
+    more = [F.col("text").alias("own"), "carry"] if carry else []
     asked = items.select(F.col(item_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("item_words")).where(F.size("item_words") > 0)
     # equal items are looked for once
     texts = checkpointed(asked.groupBy("item_words").agg(F.collect_list("item").alias("items")).withColumn("key", F.xxhash64("item_words")))
@@ -90,7 +90,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, k: int = 5, window: int = 6
         F.size("words").cast("long").alias("n_words"),
         F.coalesce(F.size(F.array_distinct(places)), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.array_sort(F.flatten(F.transform("agree", lambda c: c["items"]))), F.array().cast("array<string>")).alias("items"),
-        *more,
+        *([F.col("own").alias(text_col), "carry"] if carry else []),
     ).withColumn("contaminated", F.col("n_hit") > 0)
 
 

@@ -108,7 +108,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels of the folds that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs.where(fold_crc("doc_id", 5) != 0), table(spark, sf_dir, "labels").where(fold_crc("doc_id", 5) != 0))
-    found = toxicity.score(docs, model)
+    found = toxicity.score(docs, model, restored=False)
     return found.select(
         "doc_id", (F.coalesce(fold_crc("doc_id", 5), F.lit(-1)) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_restored"
     )
