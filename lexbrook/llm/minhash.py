@@ -1,0 +1,131 @@
+"""Groups of near copies: texts whose sets of word shingles have a Jaccard of ``least`` or more, linked.
+
+Candidates come from MinHash: BANDS bands of ROWS minima, so a pair of Jaccard s meets somewhere but for
+(1 - s^ROWS)^BANDS of all cases (3 in a million at 0.8). Every link is then checked exactly on whole sets
+of 64-bit shingle hashes, so none is below ``least``. Equal sets meet as one.
+
+Where texts meet, each is first compared with one of them, another one in each band. Only where more than one group is left,
+all pairs of different groups that meet are compared as well, in the task that has the place; none is capped.
+
+Defined results: null is treated as the empty text; all texts without words are one group; with fewer
+words than a shingle all words are one shingle. Whole texts are read; repeated shingles count once.
+Columns other than the id and the text are not looked at.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import checkpointed, map_arrow, rows_of
+from .components import connected_components
+from .simhash import one_of_each
+
+WORDS, LEAST = 5, 0.8
+BANDS, ROWS = 32, 5
+#: Shingles whose minima are taken at a time.
+BLOCK = 512
+_random = np.random.default_rng(42)
+FACTORS = _random.integers(0, 1 << 31, BANDS * ROWS, np.uint32) * np.uint32(2) + np.uint32(1)
+OFFSETS = _random.integers(0, 1 << 32, BANDS * ROWS, np.uint32)
+
+
+def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of a text's word shingles."""
+    w = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes, lower() changes A-Z only
+    if not w:
+        return np.array([], np.uint64)
+    h, join = xxhash.xxh64_intdigest, b" ".join
+    return np.unique(np.array([h(join(s)) for s in (zip(*(w[i:] for i in range(words))) if len(w) >= words else [w])], np.uint64))
+
+
+def places(hashes: np.ndarray) -> np.ndarray:
+    """Where a set meets others: a hash of each band of its minima; none for the empty set."""
+    if not len(hashes):
+        return np.array([], np.int64)
+    high = (hashes >> np.uint64(32)).astype(np.uint32)[:, None]
+    least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    for i in range(0, len(high), BLOCK):
+        np.minimum(least, (high[i : i + BLOCK] * FACTORS + OFFSETS).min(axis=0), out=least)
+    return np.array([xxhash.xxh64_intdigest(b.tobytes(), k) for k, b in enumerate(least.reshape(BANDS, ROWS))], np.uint64).view(np.int64)
+
+
+def set_key(hashes: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(hashes.tobytes())).view(np.int64))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) of keys whose sets have a Jaccard of least or more."""
+    x, y = (sets.select(F.col("key").alias(k), F.col("shingles").alias(f"shingles_{k}")) for k in "ab")
+    both = pairs.join(y, "b").join(x, "a").withColumn("shared", F.size(F.array_intersect("shingles_a", "shingles_b")))
+    return both.where(F.col("shared") / (F.size("shingles_a") + F.size("shingles_b") - F.col("shared")) >= least).select("a", "b")
+
+
+def joined(met: pa.Table, least: float) -> pa.Table:
+    """Links (a, b) between the groups (root) of sets that met at one place: enough to join all that have a
+    pair of a Jaccard of least or more. Each set outside the largest group is counted against all others."""
+    keys, roots = met["key"].to_numpy(), np.unique(met["root"].to_numpy(), return_inverse=True)[1]
+    lists = met["shingles"].combine_chunks()
+    sizes = lists.value_lengths().to_numpy()
+    ends, words = np.cumsum(sizes), np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
+    order = np.argsort(words, kind="stable")
+    owner, cuts = np.repeat(np.arange(len(keys)), sizes)[order], np.searchsorted(words[order], np.arange(words.max() + 2))
+    up = list(range(roots.max() + 1))
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    found: list[tuple[int, int]] = []
+    for i in np.flatnonzero(roots != np.bincount(roots).argmax()):
+        shared = np.bincount(np.concatenate([owner[cuts[v] : cuts[v + 1]] for v in words[ends[i] - sizes[i] : ends[i]]]), minlength=len(keys))
+        for j in np.flatnonzero(shared / (sizes[i] + sizes - shared) >= least):
+            if (x := top(roots[i])) != (y := top(roots[j])):
+                up[x] = y
+                found.append((int(keys[i]), int(keys[j])))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, least: float = LEAST) -> DataFrame:
+    """(id, group, text_hash) for each row of docs; group is the same just for rows that are linked."""
+
+    def printed(b: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingle_set(t, words) for t in b.column(1).to_pylist()]
+        at = pa.array([places(h) for h in found], pa.list_(pa.int64()))
+        return pa.record_batch([pa.array(map(set_key, found), pa.int64()), pa.array(map(len, found), pa.int32()), at], names=["key", "n", "places"])
+
+    def listed(b: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingle_set(t, words) for t in b.column(1).to_pylist()]
+        return pa.record_batch([pa.array(map(set_key, found), pa.int64()), pa.array([h.view(np.int64) for h in found], pa.list_(pa.int64()))], names=["key", "shingles"])
+
+    rows = rows_of(docs, id_col, text_col).withColumn("carry", F.xxhash64("text"))
+    prints = checkpointed(map_arrow(rows, lambda: printed, "key long, n int, places array<long>").withColumnRenamed("carry", "text_hash"))
+    distinct = prints.groupBy("key").agg(F.min("n").alias("n"), F.min("text_hash").alias("text_hash"), F.first("places").alias("places"))
+    at = checkpointed(distinct.select("key", "n", "text_hash", F.explode("places").alias("place")))
+    low = at.groupBy("place").agg(F.min(F.struct(F.xxhash64("key", "place"), "key", "n")).alias("low"), F.count("*").alias("met")).where("met > 1")
+    at = checkpointed(at.join(low, "place").select("place", "key", "n", "text_hash", F.col("low.key").alias("low"), F.col("low.n").alias("low_n"), "met"))
+
+    shown = at.select("text_hash").distinct().withColumnRenamed("text_hash", "carry")
+    sets = checkpointed(map_arrow(rows.join(shown, "carry", "left_semi").select("id", "text", "carry").dropDuplicates(["carry"]), lambda: listed, "key long, shingles array<long>").select("key", "shingles").dropDuplicates(["key"]))
+    star = at.where(f"key <> low AND least(n, low_n) >= {least} * greatest(n, low_n)").select(F.least("key", "low").alias("a"), F.greatest("key", "low").alias("b")).distinct()
+    links = checkpointed(verified(star, sets, least))
+
+    roots = connected_components(links).withColumnRenamed("node", "key")
+    placed = at.where("met > 2").join(roots, "key", "left").select("place", "key", F.coalesce("root", "key").alias("root"))
+    mixed = placed.groupBy("place").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r <> s").select("place")
+    members = placed.join(mixed, "place", "left_semi").join(sets, "key").select("place", "key", "root", "shingles")
+    rest = members.groupBy("place").applyInArrow(lambda t: joined(t, least), "a long, b long")
+    links = links.unionByName(checkpointed(rest))
+
+    roots = connected_components(links).withColumnRenamed("node", "key")
+    return prints.join(roots, "key", "left").select(F.col("id").alias(id_col), F.coalesce("root", "key").alias("group"), "text_hash")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs without near copies, as simhash.representatives() chooses them."""
+    return one_of_each(docs, near_copies(docs, id_col, text_col, **options), id_col, text_col)

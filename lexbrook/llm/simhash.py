@@ -119,7 +119,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of docs without near duplicates: of each group the one of least id (of equal ids, of the
     least text hash; a null id only in a group without another). All columns stay."""
-    found = near_duplicates(docs, id_col, text_col, **options)
+    return one_of_each(docs, near_duplicates(docs, id_col, text_col, **options), id_col, text_col)
+
+
+def one_of_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The row of docs that stays of each group of found (id, group, text_hash)."""
     least = found.groupBy("group").agg(F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "text_hash")).alias("x"))
     chosen = least.select(F.col("x.id").alias("_id"), F.col("x.text_hash").alias("_hash"))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("carry"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash"))

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexbrook.llm import bpe, components, decontaminate, html, langid, licenses, lmscore, pii, queries, simhash, spotsigs, toxicity
+from lexbrook.llm import bpe, components, decontaminate, html, langid, licenses, lmscore, minhash, pii, queries, simhash, spotsigs, toxicity
 from lexbrook.llm.common import fold_crc, pieces, table
 
 SF = "/root/testdata/sf0.001"
@@ -169,6 +169,50 @@ def test_groups_match_brute_force(spark, crowd):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def brute_likeness(docs: dict, least: float) -> dict:
+    sets, par = {}, {i: i for i in docs}
+    for i, t in docs.items():
+        w = t.lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} if w else set()
+
+    def find(x):
+        while par[x] != x:
+            x = par[x]
+        return x
+
+    ids = sorted(docs)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            if sets[a] == sets[b] or len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= least:
+                x, y = find(a), find(b)
+                par[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}
+
+
+def test_near_copies_match_brute_force(spark, documents, odd, nothing):
+    assert minhash.representatives(nothing).count() == 0
+    assert minhash.near_copies(odd).count() == len(ODD) and minhash.representatives(odd).count() == 5
+    random.seed(9)
+    base = [str(random.random()) for _ in range(150)]
+    crowd = {}
+    for i in range(60):  # a chain of edits from one text and many that meet at its places with a likeness about the least
+        w = list(base) if i % 2 else crowd[i - 2].split() if i else list(base)
+        for k in random.sample(range(150), 2 + i % 3):
+            w[k] = str(random.random())
+        crowd[i] = " ".join(w)
+    for docs in (crowd, {r["doc_id"]: r["text"] for r in documents.collect()}):
+        df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+        assert {r["doc_id"] for r in minhash.representatives(df).collect()} == set(brute_likeness(docs, 0.8).values())
+
+
+def test_pipeline_drops_near_copies_that_fingerprints_miss(spark, documents):
+    import corpus_pipeline
+
+    kept = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, documents, SF).collect()}
+    prints = {r["doc_id"]: simhash.fingerprint(r["text"]) for r in documents.collect()}
+    assert (prints[1] ^ prints[177]).bit_count() > 4 and 1 in kept and 177 not in kept
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (200, 201), (201, 200)]
     got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
