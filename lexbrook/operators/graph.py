@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from ..functions.text import docket_norm, infer_court, text
 from .lineage import checkpointed
 
 REPORT_COURTS = ["bge", "bger", "bge_historical"]
+#: Levels of a chain after which the plan is cut.
+LEVELS = 16
 PASSES = ["docket_norm", "bge_norm", "bge_bare"]
 
 
@@ -122,24 +126,26 @@ def citations_of(edges: DataFrame, targets: DataFrame, decision_id: str, least:
     return out.orderBy(*order).limit(limit).unionByName(into.orderBy(*order).limit(limit))
 
 
-def appeal_chain(prior: DataFrame, start: DataFrame, depth: int = 10) -> DataFrame:
+def appeal_chain(prior: DataFrame, start: DataFrame, depth: int | None = None) -> DataFrame:
     """(start, decision_id, distance): earlier instances below zero, later ones above, by the shortest way.
 
-    prior: (decision_id, prior_id). Levels are joined one after another until none is new, depth at
-    most; a cycle ends where it meets what it has.
+    prior: (decision_id, prior_id). Levels are joined one after another until none is new (with a depth,
+    so many at most); a cycle ends where it meets what it has. Rounds grow with the longest chain.
     """
     found = start.select(F.col("decision_id").alias("start"), "decision_id", F.lit(0).alias("distance"))
     for key, other, sign in (("decision_id", "prior_id", -1), ("prior_id", "decision_id", 1)):
         edge = prior.select(F.col(key).alias("decision_id"), F.col(other).alias("_to")).distinct()
         level = checkpointed(start.select(F.col("decision_id").alias("start"), "decision_id").distinct())
         seen = level
-        for d in range(1, depth + 1):
+        for d in count(1) if depth is None else range(1, depth + 1):
             new = level.join(edge, "decision_id").select("start", F.col("_to").alias("decision_id")).distinct()
             level = checkpointed(new.join(seen, ["start", "decision_id"], "left_anti"))
             if level.isEmpty():
                 break
             seen = seen.unionByName(level)
             found = found.unionByName(level.withColumn("distance", F.lit(sign * d)))
+            if d % LEVELS == 0:
+                seen, found = checkpointed(seen), checkpointed(found)
     return found
 
 

@@ -111,7 +111,24 @@ def appeal_chain_recursive(spark, sf_dir):
     d = decisions(spark, sf_dir)
     k = F.col("doc_id") - F.col("doc_id") % 7 - 1
     prior = d.where((F.col("doc_id") % 7 != 0) & (k >= 0)).select("decision_id", F.concat(F.lit("d"), k.cast("string")).alias("prior_id"))
-    return graph.appeal_chain(prior, d.where("doc_id % 100 = 9").select("decision_id"))
+    return graph.appeal_chain(prior, d.where("doc_id % 100 = 9").select("decision_id"), depth=10)  # as its SQL does
+
+
+INSTANCES = "SELECT doc_id AS a, doc_id - 1 AS b FROM documents WHERE doc_id % 16 <> 0 AND doc_id >= 1"
+
+
+@query(
+    f"""WITH RECURSIVE prior AS (SELECT 'd' || a AS a, 'd' || b AS b FROM ({INSTANCES})), linked AS (SELECT a AS s FROM prior UNION SELECT b FROM prior),
+    up AS (SELECT s, s AS id, 0 AS k FROM linked UNION ALL SELECT up.s, prior.b, up.k - 1 FROM up JOIN prior ON prior.a = up.id),
+    down AS (SELECT s, s AS id, 0 AS k FROM linked UNION ALL SELECT down.s, prior.a, down.k + 1 FROM down JOIN prior ON prior.b = down.id)
+    SELECT s AS start, id AS decision_id, CAST(k AS INT) AS distance FROM up UNION SELECT s, id, CAST(k AS INT) FROM down"""
+)
+def appeal_chain_whole(spark, sf_dir):
+    """The chain of every decision that has a link, to its ends; derived chains are 16 decisions long."""
+    d = decisions(spark, sf_dir)
+    prior = d.where("doc_id % 16 <> 0 AND doc_id >= 1").select("decision_id", F.concat(F.lit("d"), (F.col("doc_id") - 1).cast("string")).alias("prior_id"))
+    linked = prior.select("decision_id").union(prior.select("prior_id")).distinct()
+    return graph.appeal_chain(prior, linked)
 
 
 @query(f"{WITH} SELECT substring(decision_date, 1, 4) AS year, count(*) AS n FROM decisions WHERE doc_id % 3 = 0 AND regexp_matches(substring(decision_date, 1, 4), '^[0-9]{{4}}$') GROUP BY 1")

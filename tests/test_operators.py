@@ -108,6 +108,12 @@ def test_appeal_chain_ends_on_cycles(spark):
     assert graph.appeal_chain(prior, spark.createDataFrame([("q",)], "decision_id string")).count() == 1
 
 
+def test_appeal_chain_has_no_last_level(spark):
+    prior = spark.createDataFrame([(f"d{i}", f"d{i - 1}") for i in range(1, 20)], "decision_id string, prior_id string")
+    got = {(r["decision_id"], r["distance"]) for r in graph.appeal_chain(prior, spark.createDataFrame([("d18",)], "decision_id string")).collect()}
+    assert got == {(f"d{i}", i - 18) for i in range(20)}
+
+
 def test_search_finds_headnotes_before_noise(rows):
     df = rows(decision("1", title="Kündigung des Mietvertrags", regeste="Kündigung der Wohnung"), decision("2", text="Kündigung " + "Wort " * 400), decision("3", title="Steuern"), decision("4", title="Kundigung"))
     got = [r["doc"] for r in search.search(df, "Kündigung").collect()]
