@@ -201,7 +201,7 @@ def formatted_citations(spark, sf_dir):
 @query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'AS' WHEN 1 THEN 'BBl' WHEN 2 THEN 'FF' ELSE 'RO' END AS kind, CAST(1990 + doc_id % 30 AS INT) AS year, CAST(doc_id % 5000 + 1 AS INT) AS page FROM documents""")
 def amendment_references(spark, sf_dir):
     kind = F.expr("CASE doc_id % 4 WHEN 0 THEN 'AS' WHEN 1 THEN 'BBl' WHEN 2 THEN 'FF' ELSE 'RO' END")
-    body = F.concat(F.substring("text", 1, 50), F.lit("\nFassung gemäss ("), kind, F.lit(" "), (1990 + F.col("doc_id") % 30).cast("string"), F.lit(" "), (F.col("doc_id") % 5000 + 1).cast("string"), F.lit(")"))
+    body = F.concat("text", F.lit("\nFassung gemäss ("), kind, F.lit(" "), (1990 + F.col("doc_id") % 30).cast("string"), F.lit(" "), (F.col("doc_id") % 5000 + 1).cast("string"), F.lit(")"))
     d = table(spark, sf_dir, "documents").select("doc_id", F.explode(R.amendment_references(body)).alias("a"))
     return d.select("doc_id", "a.kind", "a.year", "a.page")
 

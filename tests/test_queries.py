@@ -25,3 +25,14 @@ def test_joins_are_no_products(spark):
 def test_scan_reads_only_what_is_asked(spark):
     plan = registry.QUERIES["text_length_by_source"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<source:string,n_chars:bigint>" in plan
+
+
+def test_paragraphs_hold_whole_texts(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    found = {}
+    for r in registry.QUERIES["structure_paragraphs"](spark, SF).collect():
+        found.setdefault(r["decision_id"], []).append(r["text"])
+    whole = {f"d{r['doc_id']}": r["text"] for r in rows if len(r["text"]) >= 500}
+    assert len(whole) > 10 and set(whole) <= set(found)
+    for k, text in whole.items():  # but for white space, where the text is cut
+        assert "".join(text.split()) in "".join("".join(found[k]).split()), k
