@@ -115,13 +115,15 @@ def resolution_rate(edges: DataFrame, targets: DataFrame) -> DataFrame:
     return hit.agg(F.count("*").alias("refs"), F.count("hit").alias("resolved")).withColumn("rate", F.round(F.col("resolved") / F.col("refs"), 4))
 
 
-def citations_of(edges: DataFrame, targets: DataFrame, decision_id: str, least: float = 0.3, limit: int = 200) -> DataFrame:
-    """Both directions; outgoing references that nothing resolves stay with null."""
+def citations_of(edges: DataFrame, targets: DataFrame, decision_id: str, least: float = 0.3, limit: int | None = 200) -> DataFrame:
+    """Both directions, each with limit rows at most (None: all); outgoing references that nothing resolves stay with null."""
     ok = targets.where(F.col("confidence_score") >= least)
     out = edges.where(F.col("source_decision_id") == decision_id).join(ok, ["source_decision_id", "target_ref"], "left")
     out = out.select(F.lit("outgoing").alias("direction"), F.col("target_decision_id").alias("other"), "target_ref", "mention_count", "confidence_score")
     into = ok.where(F.col("target_decision_id") == decision_id).join(edges, ["source_decision_id", "target_ref"])
     into = into.select(F.lit("incoming").alias("direction"), F.col("source_decision_id").alias("other"), "target_ref", "mention_count", "confidence_score")
+    if limit is None:
+        return out.unionByName(into)
     order = [F.col("confidence_score").desc_nulls_last(), F.col("target_ref"), F.col("other")]
     return out.orderBy(*order).limit(limit).unionByName(into.orderBy(*order).limit(limit))
 

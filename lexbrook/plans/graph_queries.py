@@ -94,7 +94,7 @@ def authority(spark, sf_dir):
 )
 def citations_of(spark, sf_dir):
     _, edges, targets = built(spark, sf_dir)
-    return graph.citations_of(edges, targets, "d5", limit=100_000).select("direction", "other", "target_ref")
+    return graph.citations_of(edges, targets, "d5", limit=None).select("direction", "other", "target_ref")
 
 
 PRIOR = "SELECT doc_id AS a, doc_id - doc_id % 7 - 1 AS b FROM documents WHERE doc_id % 7 <> 0 AND doc_id - doc_id % 7 - 1 >= 0"

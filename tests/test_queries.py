@@ -36,3 +36,7 @@ def test_paragraphs_hold_whole_texts(spark):
     assert len(whole) > 10 and set(whole) <= set(found)
     for k, text in whole.items():  # but for white space, where the text is cut
         assert "".join(text.split()) in "".join("".join(found[k]).split()), k
+
+
+def test_citations_of_has_no_limit(spark):
+    assert "Limit" not in registry.QUERIES["citations_of"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
