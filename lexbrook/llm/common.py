@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -32,13 +33,16 @@ def fold_crc(id_col, folds: int):
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through the folder that the cluster names; it survives lost executors.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where it is unset (tests, a laptop)
-    is a local folder used.
+    ``spark.checkpoint.dir`` is read from the session. Only where it is unset and all runs in one
+    process (tests, a laptop) is a local folder used; a cluster must name one that its machines share.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ckpt"))
     return df.checkpoint(eager=True)
 
 

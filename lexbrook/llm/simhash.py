@@ -1,24 +1,32 @@
 """SimHash fingerprints and near-duplicate groups by deletion-variant signatures.
 
-Fingerprints of 64 bits are cut into max_bits // 2 + 1 segments. Two that differ in max_bits bits or
-fewer have a segment with one differing bit at most, so they agree in that segment with one bit left
-out. Every fingerprint is indexed under each segment with each bit left out; those that meet are
-verified. Copies share a fingerprint and meet as one.
+Fingerprints of 64 bits are cut into segments. Two that differ in max_bits bits or fewer have, among
+max_bits // 2 + 1 segments, one with one differing bit at most, so they agree in that segment with one bit
+left out. Every fingerprint is indexed under each segment with each bit left out; an equality join by
+such a place brings together all that may be linked, and those that meet are verified. Copies share a
+fingerprint and meet as one.
 
-Where more than ``crowd`` fingerprints meet (a large group of near copies), pairs are not compared.
-All fingerprints of such places go instead to an exact way that is linear in their number: two differ
-in max_bits or fewer bits just if some value differs in half as many from both, so each is listed under
-all values that near, and linked to the least one listed there.
+Places are dealt out and sorted by Spark and read as a stream; all fingerprints of a place are compared
+in blocks of numpy vectors, and only links that join two groups of the place are given out, so no place
+emits all its pairs. A place of more than ``block`` fingerprints is split: its members are dealt into
+blocks, and each two blocks meet in a task of their own, so no task holds more than about two blocks and
+no pair is left out.
+
+``near_duplicates`` links fingerprints by their bits. ``near_copies`` links texts whose sets of
+shingles have a Jaccard of ``least`` or more: candidates come from the same index, cut as ``shape`` says,
+and every link is verified exactly on the whole sets.
 
 Defined results: null is treated as the empty text; a text without words has fingerprint zero and is
-linked like any other; with fewer words than a shingle all words are one shingle. Whole texts are
-read, repeated shingles count. Null ids never name a group unless it has no other. Repeated rows
-stay. Columns other than the id and the text are not looked at.
+linked like any other (near_copies: all texts without words are one group); with fewer words than a
+shingle all words are one shingle. Whole texts are read; repeated shingles count in near_duplicates, once
+in near_copies. Null ids never name a group unless it has no other. Repeated rows stay. Empty tables give
+empty results. Columns other than the id and the text are not looked at.
 """
 
 from __future__ import annotations
 
-from itertools import combinations
+import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,21 +39,44 @@ from .components import connected_components
 
 BITS = 64
 #: Shingles whose bits are counted at a time.
-BLOCK = 1 << 16
+COUNTED = 1 << 14
+#: Fingerprints of a place that are compared in one task; larger places are split.
+BLOCK = 4096
+#: Bits of a second plane that are looked at beside a place's own.
+CHECKED = 48
+#: Crowded places that are broadcast at most; more of them are joined by a shuffle.
+MOST_SENT = 100_000
+M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
-def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
-    """The SimHash of the word shingles of a text, as an unsigned number."""
+def shingle_hashes(text: str | None, words: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of each shingle of words, repeats included."""
     w = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes, lower() changes A-Z only
     if not w:
-        return 0
+        return np.array([], np.uint64)
     h, join = xxhash.xxh64_intdigest, b" ".join
-    shingles = zip(*(w[i:] for i in range(words))) if len(w) >= words else [w]
-    hashes = np.array([h(join(s), seed) for s in shingles], "<u8")
-    ones = np.zeros(BITS, np.int64)
-    for i in range(0, len(hashes), BLOCK):
-        ones += np.unpackbits(hashes[i : i + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), "little")
+    return np.array([h(join(s), seed) for s in (zip(*(w[i:] for i in range(words))) if len(w) >= words else [w])], "<u8")
+
+
+def sketch(hashes: np.ndarray, planes: int = 1) -> np.ndarray:
+    """SimHash of the hashes, as so many 64-bit numbers; the first is of the hashes themselves, the others of hashes of them."""
+    out = []
+    for p in range(planes):
+        ones = np.zeros(BITS, np.int64)
+        for i in range(0, len(hashes), COUNTED):
+            x = hashes[i : i + COUNTED]
+            if p:
+                x = (x + np.uint64(int(M1) * p % (1 << BITS))) * M2
+                x = (x ^ (x >> np.uint64(27))) * M3
+                x ^= x >> np.uint64(31)
+            ones += np.unpackbits(x.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(int.from_bytes(np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes(), "little"))
+    return np.array(out, np.uint64)
+
+
+def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
+    """The SimHash of the word shingles of a text, as an unsigned number."""
+    return int(sketch(shingle_hashes(text, words, seed))[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
@@ -69,57 +100,214 @@ def segments(n: int) -> list[int]:
     return [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:])]
 
 
-def links(distinct: DataFrame, max_bits: int, crowd: int) -> DataFrame:
-    """(a, b): edges between different fingerprints whose components are those of all links of max_bits."""
+def variants(n: int) -> list[int]:
+    """For each of the 64 bits the mask of its segment without it."""
+    return [signed(m & ~(1 << i)) for m in segments(n) for i in range(BITS) if m >> i & 1]
+
+
+def linked(place: np.ndarray, planes: list[np.ndarray], key: np.ndarray, group: np.ndarray, most: int, forest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of keys (a, b) of the same place and different groups whose planes differ in ``most`` bits or fewer together.
+
+    Rows are sorted by place. forest: pairs that join two groups of the place, after which these are one; else all pairs.
+    """
+    n = len(place)
+    start = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if n else np.zeros(0, np.int64)
+    size = np.diff(np.r_[start, n])
+    left = np.repeat(start + size, size) - np.arange(n)  # rows of the place from here on, this one included
+    # labels are told apart within a place: the first row of each group there
+    order = np.lexsort((group, place))
+    new = np.r_[True, (place[order][1:] != place[order][:-1]) | (group[order][1:] != group[order][:-1])] if n else np.zeros(0, bool)
+    label = np.empty(n, np.int64)
+    label[order] = order[new][np.cumsum(new) - 1]
+    at = np.flatnonzero(left > 1)
+    ends = start + size
+    for d in range(1, int(size.max(initial=1))):
+        at = at[left[at] > d]
+        near = at[label[at] != label[at + d]]
+        differ = np.zeros(len(near), np.int64)
+        for x in planes:
+            differ += np.bitwise_count(x[near] ^ x[near + d])
+        near = near[differ <= most]
+        if forest:
+            kept = []
+            for i in near.tolist():
+                a, b = label[i], label[i + d]
+                if a != b:
+                    k = np.searchsorted(start, i, "right") - 1
+                    own = label[start[k] : ends[k]]
+                    own[own == max(a, b)] = min(a, b)
+                    kept.append(i)
+            near = np.array(kept, np.int64)
+        if len(near):
+            yield key[near], key[near + d]
+
+
+def crowded_places(nodes: DataFrame, planes: int, cut: int, block: int) -> DataFrame:
+    """(slot, rest, blocks) of places that may hold more than ``block`` nodes.
+
+    A place holds the nodes of two values of its segment, so one of them has more than half a block; values are counted, not places.
+    """
+    masks = segments(cut)
+    every = [F.struct(F.lit(p * cut + k).alias("segment"), F.get("planes", F.lit(p)).bitwiseAND(F.lit(signed(m))).alias("value")) for p in range(planes) for k, m in enumerate(masks)]
+    values = nodes.select(F.explode(F.array(*every)).alias("v")).groupBy("v.segment", "v.value").agg(F.count("*").alias("n")).where(F.col("n") > block / 2)
+    bits = F.lit([[i for i in range(BITS) if m >> i & 1] for m in masks])
+    at = values.withColumn("bit", F.explode(F.element_at(bits, F.col("segment") % cut + 1)))
+    slot = F.floor(F.col("segment") / cut).cast("int") * BITS + F.col("bit")
+    rest = F.col("value").bitwiseAND(F.expr("~shiftleft(1L, bit)"))
+    return at.select(slot.alias("slot"), rest.alias("rest"), "n").groupBy("slot", "rest").agg(F.ceil(2 * F.max("n") / block).cast("int").alias("blocks"))
+
+
+def meet(nodes: DataFrame, planes: int, cut: int, most: int, forest: bool, block: int = BLOCK) -> DataFrame:
+    """(a, b): pairs of keys that meet at a place and differ in ``most`` of the bits looked at or fewer (see ``linked``).
+
+    nodes: (key, planes array<long>, group). A row for each plane and bit left out holds that plane, the key and, if there are
+    more planes, CHECKED bits of the next one, which are looked at as well.
+    """
+    masks = F.lit(variants(cut))
+    plane = F.floor(F.col("slot") / BITS).cast("int")
+    every = nodes.select("key", "planes", *([] if forest else ["group"]), F.explode(F.sequence(F.lit(0), F.lit(planes * BITS - 1))).alias("slot"))
+    check = F.get("planes", (plane + 1) % planes) if planes > 1 else F.lit(0).cast("long")
+    tag = F.shiftleft(check, BITS - CHECKED).bitwiseOR(F.col("slot"))
+    rows = every.select(tag.alias("tag"), F.get("planes", plane).alias("x"), *every.columns[:1], *([] if forest else ["group"]))
+    slot = F.col("tag").bitwiseAND((1 << BITS - CHECKED) - 1).cast("int")
+    rest = F.col("x").bitwiseAND(F.element_at(masks, slot % BITS + 1))
+    crowded = checkpointed(crowded_places(nodes, planes, cut, block))
+    pair = F.lit(0)
+    if n := crowded.count():
+        placed = rows.withColumns({"slot": slot, "rest": rest}).join(F.broadcast(crowded) if n <= MOST_SENT else crowded, ["slot", "rest"], "left")
+        own = F.pmod(F.xxhash64("key"), "blocks").cast("int")
+        pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda q: F.least(own, q) * F.col("blocks") + F.greatest(own, q))
+        rows = placed.select(*rows.columns, F.explode(F.when(F.col("blocks") > 1, pairs).otherwise(F.array(F.lit(0)))).alias("pair"))
+        pair = F.col("pair")
+    names = [c for c in rows.columns if c not in ("tag", "pair")]
+    dealt = rows.repartition(slot, rest, pair).select(slot.alias("slot"), rest.alias("rest"), pair.alias("pair"), "tag", *names).sortWithinPartitions("slot", "rest", "pair")
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        n_held = 0
+
+        def found(t: pa.Table):
+            slot, rest, pair, tag, x, key, *group = (t.column(i).to_numpy() for i in range(t.num_columns))
+            place = np.cumsum(np.r_[False, (slot[1:] != slot[:-1]) | (rest[1:] != rest[:-1]) | (pair[1:] != pair[:-1])])
+            looked = [x.view(np.uint64), *([tag.view(np.uint64)] if planes > 1 else [])]  # the slots of a place are equal
+            for a, b in linked(place, looked, key, group[0] if group else key, most, forest):
+                yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        for b in batches:
+            held.append(b)
+            n_held += b.num_rows
+            if n_held < 1 << 17:
+                continue
+            t = pa.Table.from_batches(held)
+            ends = [t.column(i).to_numpy() for i in range(3)]
+            last = np.flatnonzero(np.logical_or.reduce([x != x[-1] for x in ends]))
+            cut_at = int(last[-1]) + 1 if len(last) else 0  # the last place may go on in the next batch
+            if cut_at:
+                yield from found(t.slice(0, cut_at))
+            held, n_held = t.slice(cut_at).combine_chunks().to_batches(), t.num_rows - cut_at
+        if n_held:
+            yield from found(pa.Table.from_batches(held))
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def links(distinct: DataFrame, max_bits: int, block: int = BLOCK) -> DataFrame:
+    """(a, b): edges between different fingerprints (fp) whose components are those of all links of max_bits."""
     if max_bits < 1:
         return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    masks = segments(max_bits // 2 + 1)
-    variants = []  # bit left out, the other bits of its segment, the segment, whether the bit is its first
-    for k, m in enumerate(masks):
-        bits = [i for i in range(BITS) if m >> i & 1]
-        variants += [F.struct(F.lit(i).cast("tinyint").alias("bit"), F.lit(signed(m & ~(1 << i))).alias("rest")) for i in bits]
-    keyed = distinct.select("fp", F.explode(F.array(*variants)).alias("x")).select("fp", F.col("x.bit").alias("bit"), F.col("fp").bitwiseAND(F.col("x.rest")).alias("key"))
-    full = checkpointed(keyed.groupBy("bit", "key").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("bit", "key"))
-
-    met = keyed.join(full, ["bit", "key"], "left_anti").groupBy("bit", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
-    # a pair is taken once: at its first segment with one differing bit at most, and there at that bit or, if equal, at the first
-    first_bits = [(m & -m).bit_length() - 1 for m in masks]
-    segment_of = "CASE " + " ".join(f"WHEN bit < {(m.bit_length())} THEN {k}" for k, m in enumerate(masks)) + " END"
-    once = [f"(segment <= {k} OR bit_count((a ^ b) & {signed(m)}L) > 1)" for k, m in enumerate(masks[:-1])]
-    own = "CASE " + " ".join(f"WHEN segment = {k} THEN (bit = {first_bits[k]} OR ((a ^ b) & {signed(m)}L) <> 0)" for k, m in enumerate(masks)) + " END"
-    near = met.withColumn("segment", F.expr(segment_of)).select("fps", "bit", "segment", F.explode("fps").alias("a"))
-    cold = near.select("a", F.explode(F.expr(f"filter(fps, b -> b > a AND bit_count(a ^ b) <= {max_bits} AND {' AND '.join([own, *once])})")).alias("b"))
-
-    crowded = checkpointed(keyed.join(full, ["bit", "key"], "left_semi").select("fp").distinct())
-    half = max_bits // 2
-    flips = [signed(sum(1 << i for i in c)) for r in range(half + 1) for c in combinations(range(BITS), r)]
-    around = crowded.select("fp", F.explode(F.lit(flips)).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("mid"))
-    if max_bits % 2:  # an odd distance: one side goes one bit further, and each fingerprint is on either side
-        raise ValueError("max_bits must be even")
-    least = around.groupBy("mid").agg(F.min("fp").alias("low"), F.count("*").alias("n")).where("n > 1").select("mid", "low")
-    hot = around.join(least, "mid").where("fp <> low").select(F.col("low").alias("a"), F.col("fp").alias("b")).distinct()
-    return cold.unionByName(hot)
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = 4, seed: int = 42, crowd: int = 64) -> DataFrame:
-    """(id, fingerprint, component_id) for each row of docs; component_id: the least id in its group.
-
-    crowd only chooses between two exact ways of comparing, it never changes results.
+    return meet(distinct.select(F.col("fp").alias("key"), F.array("fp").alias("planes")), 1, max_bits // 2 + 1, max_bits, True, block)
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = 4, seed: int = 42, block: int = BLOCK) -> DataFrame:
+    """(id, fingerprint, component_id, group, text_hash) for each row of docs; component_id: the least id in its group.
+
+    block only bounds what a task holds, it never changes results.
     """
     prints = checkpointed(fingerprints(docs, id_col, text_col, words, seed))
     nodes = checkpointed(prints.groupBy("fp").agg(F.min("id").alias("first")))
-    roots = connected_components(links(nodes.select("fp"), max_bits, crowd))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    roots = connected_components(links(nodes.select("fp"), max_bits, block))
+    rooted = checkpointed(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    named = checkpointed(rooted.groupBy("root").agg(F.min("first").alias("component_id")))
     groups = checkpointed(rooted.join(named, "root").select("fp", "root", "component_id"))
     out = prints.join(groups, "fp", "left")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", F.col("root").alias("group"), "text_hash")
 
 
+def share_of_bits(jaccard: float) -> float:
+    """The share of bits in which SimHashes of two sets of equal size differ, on average."""
+    return math.acos(2 * jaccard / (1 + jaccard)) / math.pi
+
+
+def shape(n: int, least: float, recall: float = 0.999, block: int = BLOCK) -> tuple[int, int]:
+    """(planes, segments of a plane) for n different texts: segments so long that chance brings no more than a
+    block to a place, and planes so many that a pair of Jaccard ``least`` meets with probability ``recall`` or more.
+
+    A pair meets in a segment of b bits if it differs there in one bit or none: (1 - p)^b + b p (1 - p)^(b - 1).
+    """
+    cut = next((c for c in (5, 4, 3) if n / 2 ** (BITS / c - 1) <= block), 2)
+    p, b = share_of_bits(least), BITS / cut
+    meets = (1 - p) ** b + b * p * (1 - p) ** (b - 1)
+    return math.ceil(math.log(1 - recall) / math.log(1 - meets) / cut), cut
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, recall: float = 0.999, block: int = BLOCK, cut: tuple[int, int] | None = None) -> DataFrame:
+    """(id, group, text_hash) for each row of docs; group is the same just for rows that are linked.
+
+    Candidates are pairs that meet in the index and differ, in the planes looked at, in no more bits than pairs of
+    Jaccard ``least`` do but for one in ten thousand; each place first proposes what joins its groups, then, once these are verified,
+    all pairs that still are in different groups. ``recall`` is that of a pair of just ``least``; likelier pairs are
+    found more surely. cut: (planes, segments of each), by default as ``shape`` says.
+    """
+
+    def printed(planes: int):
+        def f(b: pa.RecordBatch) -> pa.RecordBatch:
+            sets = [np.unique(shingle_hashes(t, words)) for t in b.column(1).to_pylist()]
+            keys = np.array([xxhash.xxh64_intdigest(h.tobytes()) for h in sets], np.uint64)
+            found = pa.array([sketch(h, planes).view(np.int64) for h in sets], pa.list_(pa.int64()))
+            return pa.record_batch([pa.array(keys.view(np.int64)), pa.array(list(map(len, sets)), pa.int32()), found], names=["key", "n", "planes"])
+
+        return f
+
+    def listed(b: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [np.unique(shingle_hashes(t, words)) for t in b.column(1).to_pylist()]
+        keys = np.array([xxhash.xxh64_intdigest(h.tobytes()) for h in sets], np.uint64)
+        return pa.record_batch([pa.array(keys.view(np.int64)), pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64()))], names=["key", "shingles"])
+
+    rows = rows_of(docs, id_col, text_col).withColumn("carry", F.xxhash64("text"))
+    planes, segs = cut or shape(docs.count(), least, recall, block)
+    prints = checkpointed(map_arrow(rows, lambda: printed(planes), "key long, n int, planes array<long>").withColumnRenamed("carry", "text_hash"))
+    nodes = checkpointed(prints.groupBy("key").agg(F.min("n").alias("n"), F.min("text_hash").alias("text_hash"), F.first("planes").alias("planes")).where("n > 0"))
+    looked = BITS + CHECKED * (planes > 1)
+    p = share_of_bits(least)
+    most = math.ceil(p * looked + 3.72 * math.sqrt(p * (1 - p) * looked))
+    sized = nodes.select("key", "n", "text_hash")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose whole sets have a Jaccard of least or more; only texts of some pair are read again."""
+        x, y = (sized.select(F.col("key").alias(k), F.col("n").alias(f"n_{k}"), F.col("text_hash").alias(f"h_{k}")) for k in "ab")
+        fit = checkpointed(pairs.join(x, "a").join(y, "b").where(f"least(n_a, n_b) >= {least} * greatest(n_a, n_b)"))
+        shown = fit.select(F.explode(F.array("h_a", "h_b")).alias("carry")).distinct()
+        texts = rows.join(shown, "carry", "left_semi").select("id", "text", "carry").dropDuplicates(["carry"])
+        sets = checkpointed(map_arrow(texts, lambda: listed, "key long, shingles array<long>").select("key", "shingles").dropDuplicates(["key"]))
+        s, t = (sets.select(F.col("key").alias(k), F.col("shingles").alias(f"shingles_{k}")) for k in "ab")
+        both = fit.select("a", "b", "n_a", "n_b").join(t, "b").join(s, "a").withColumn("shared", F.size(F.array_intersect("shingles_a", "shingles_b")))
+        return checkpointed(both.where(F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared")) >= least).select("a", "b"))
+
+    near = checkpointed(meet(nodes, planes, segs, most, True, block))
+    first = verified(near)
+    roots = connected_components(first).withColumnRenamed("node", "key")
+    # a text that no place proposed for any pair is in no pair
+    paired = near.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    grouped = checkpointed(nodes.join(paired, "key", "left_semi").join(roots, "key", "left").select("key", "planes", F.coalesce("root", "key").alias("group")))
+    rest = verified(meet(grouped, planes, segs, most, False, block).join(near, ["a", "b"], "left_anti"))
+    roots = connected_components(first.unionByName(rest)).withColumnRenamed("node", "key")
+    return prints.join(roots, "key", "left").select(F.col("id").alias(id_col), F.coalesce("root", "key").alias("group"), "text_hash")
+
+
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs without near duplicates: of each group the one of least id (of equal ids, of the
-    least text hash; a null id only in a group without another). All columns stay."""
-    return one_of_each(docs, near_duplicates(docs, id_col, text_col, **options), id_col, text_col)
+    """The rows of docs without near copies: of each group of near_copies the one of least id (of equal ids, of
+    the least text hash; a null id only in a group without another). All columns stay."""
+    return one_of_each(docs, near_copies(docs, id_col, text_col, **options), id_col, text_col)
 
 
 def one_of_each(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
