@@ -1,23 +1,27 @@
 """Language identification by compression.
 
 For each language a raw-content zstandard dictionary is made of labelled text. A text is cut into
-blocks, each is compressed with every dictionary, and the language whose dictionary gives the
-smallest total is chosen. Where the runner-up is nearly as small the result is marked rejected.
+blocks, each is compressed with every dictionary behind some text of the language (so that short ones
+differ in size, too), and the language whose dictionary gives the smallest total is chosen. Where the
+runner-up is nearly as small the result is marked rejected.
 
 Training: a bounded sample of labelled rows, ``docs_per_language`` with the smallest hashes of their
 ids and ``piece_chars`` characters from a place in each that the hash chooses; dictionaries hold
-``dictionary_bytes`` at most. Counts of labels cover all rows.
+``dictionary_bytes`` at most, and all of them together ``total_bytes``. Counts of labels cover all rows.
 
-Defined results: a null text or one without a letter is ``und`` with score 0. Ties go to the language
-whose name sorts first. Whole texts are compressed, whatever their length. Null labels teach nothing;
-without any label all texts are ``und``. Repeated rows give repeated results.
+Defined results: a null text or one without a letter (Unicode category L) is ``und`` with score 0. Ties
+go to the language whose name sorts first. Whole texts are compressed, whatever their length, all in the
+same way. Null labels and null ids teach nothing; without any label all texts are ``und``; an empty
+table gives no rows. Repeated rows give repeated results. Columns other than those named are not
+looked at.
 """
 
 from __future__ import annotations
 
-import re
+import math
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,13 +29,12 @@ from pyspark.sql import functions as F
 from .common import map_arrow, rows_of
 
 UNKNOWN = "und"
-NOISE = re.compile(r"[^\w\s]+|[\d_]+")
-#: More labels than this are not languages, and so many dictionaries are not sent to workers.
-MAX_LANGUAGES = 400
+NOISE = regex.compile(r"[^\p{L}\s]+")
 BLOCK_CHARS = 16384
-#: Texts of fewer letters are compressed behind some text of the language, at a higher level: alone
-#: they are too short for their sizes to differ.
-SHORT_CHARS, PRIME_BYTES, SHORT_LEVEL = 400, 1500, 12
+#: Bytes of a language's own text before each block.
+PRIME_BYTES = 1500
+#: Bytes of all dictionaries, which are sent to every worker.
+TOTAL_BYTES = 64 << 20
 
 
 def letters_only(text: str | None) -> str:
@@ -40,15 +43,15 @@ def letters_only(text: str | None) -> str:
 
 def train_dictionaries(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    docs_per_language: int = 150, piece_chars: int = 2000, dictionary_bytes: int = 100_000,
+    docs_per_language: int = 150, piece_chars: int = 2000, dictionary_bytes: int = 100_000, total_bytes: int = TOTAL_BYTES,
 ) -> dict[str, bytes]:
     """Language -> dictionary content, from a bounded sample of the labelled rows of docs."""
-    rows = docs.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(text_col).alias("text")).where("lang IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    rows = docs.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(text_col).alias("text")).where(F.col("lang").isNotNull() & F.col(id_col).isNotNull())
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
+    dictionary_bytes = min(dictionary_bytes, total_bytes // len(counts))
+    docs_per_language = max(1, min(docs_per_language, math.ceil(2 * dictionary_bytes / piece_chars)))
     # about four times the sample passes by its hash alone, before rows of a language meet
     share = F.element_at(F.create_map(*(x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 4.0 * docs_per_language / n))))), F.col("lang"))
     near = rows.where(F.pmod("h", F.lit(1 << 31)) < share * (1 << 31))
@@ -68,27 +71,26 @@ def _compressor(dictionary: bytes, level: int):
 
 
 class Classifier:
-    """dictionaries: language -> sample text, whose start primes short texts and whose rest is the dictionary."""
+    """dictionaries: language -> sample text, whose start goes before each block and whose rest is the dictionary."""
 
     def __init__(self, dictionaries: dict[str, bytes], level: int):
         self.langs = sorted(dictionaries)
         cut = {k: min(PRIME_BYTES, len(v) // 4) for k, v in dictionaries.items()}
-        self.long = [_compressor(dictionaries[k][cut[k] :], level) for k in self.langs]
-        self.short = [_compressor(dictionaries[k][cut[k] :], SHORT_LEVEL) for k in self.langs]
+        self.made = [_compressor(dictionaries[k][cut[k] :], level) for k in self.langs]
         self.primes = [dictionaries[k][: cut[k]] for k in self.langs]
-        self.primed = [len(c.compress(p)) for c, p in zip(self.short, self.primes)]
+        self.primed = [len(c.compress(p)) for c, p in zip(self.made, self.primes)]
 
     def sizes(self, text: str | None) -> list[int] | None:
         """Compressed bytes by language, 1 at least; None if there is nothing to go by."""
         clean = letters_only(text)
         if not clean or not self.langs:
             return None
-        if len(clean) < SHORT_CHARS:
-            raw = b" " + clean.encode("utf-8", "replace")
-            found = [len(c.compress(p + raw)) - n for c, p, n in zip(self.short, self.primes, self.primed)]
-            return [x + max(0, 1 - min(found)) for x in found]
-        blocks = [clean[i : i + BLOCK_CHARS].encode("utf-8", "replace") for i in range(0, len(clean), BLOCK_CHARS)]
-        return [sum(len(c.compress(b)) for b in blocks) for c in self.long]
+        found = [0] * len(self.langs)
+        for i in range(0, len(clean), BLOCK_CHARS):
+            raw = b" " + clean[i : i + BLOCK_CHARS].encode("utf-8", "replace")
+            for k, (c, p, n) in enumerate(zip(self.made, self.primes, self.primed)):
+                found[k] += len(c.compress(p + raw)) - n
+        return [x + max(0, 1 - min(found)) for x in found]
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc_id", text_col: str = "text", min_margin: float = 0.02, level: int = 5) -> DataFrame:
