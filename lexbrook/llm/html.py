@@ -2,14 +2,18 @@
 
 Each block of text passes points for its length and its commas, discounted by its share of link
 text, to the element that holds it, half of them to the next one out, a quarter further on. The
-best container (its score discounted by its own link share) is kept, with those siblings that score
-enough or are plain prose, and the headings beside it. Menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments never count and are never kept.
+best container (its score discounted by its own link share) is found. If it lies in an article (or else
+a main element, or else an element named as an article), all of that is kept; otherwise the
+container, with those siblings that score enough or are plain prose, and the headings beside it. Menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments never count and
+are never kept; what is so only by its name, and forms, count as such unless they hold the page's
+article (on a page without article or main element: more than half of its text).
 
-Defined results: a null, empty or textless page gives ''. Broken markup is read as browsers do where
+Defined results: a null, empty or textless page gives ''; an empty table gives no rows. Broken markup is read as browsers do where
 it matters: unclosed elements end with their parent, an open paragraph ends at the next block, an
 unfinished tag or comment at the end of the page is dropped, a stray ``<`` is text. Pages of any
-length are read whole and depth is not limited. Repeated rows give repeated results.
+length are read whole and depth is not limited. Repeated rows give repeated results. Ties go to the
+container that begins first. Columns other than those named or carried are not looked at.
 """
 
 from __future__ import annotations
@@ -31,15 +35,22 @@ INLINE = set(
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "thead": set(), "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
-#: Elements, roles and name parts of what is not the article.
-BOILERPLATE_TAGS = set("head nav footer aside form button select dialog menu svg canvas audio video object map datalist search fieldset".split())
+#: Elements, roles and names of what is not the article.
+BOILERPLATE_TAGS = set("head nav footer aside button select dialog menu svg canvas audio video object map datalist search fieldset".split())
 BOILERPLATE_ROLES = set("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form".split())
-BOILERPLATE_NAMES = set(
+COMMENT_NAMES = set("comment comments commentlist disqus respond replies reply feedback".split())
+BOILERPLATE_NAMES = COMMENT_NAMES | set(
     "ad ads adv advert adverts advertisement advertisements adsense banner banners promo promotion sponsor sponsored sponsors nav navbar navigation menu menus breadcrumb breadcrumbs"
     " sidebar sidebars aside footer foot masthead header topbar toolbar notice notices cookie cookies consent gdpr disclaimer popup modal overlay newsletter subscribe subscription signup login"
-    " comment comments commentlist disqus respond replies reply feedback share sharing social related recommended pagination pager widget widgets skip hidden".split()
+    " share sharing social related recommended pagination pager widget widgets skip hidden".split()
 )
+#: A name of several parts is boilerplate by its last part, or by its first one before one of these.
+HOLDERS = set("area bar block box button buttons container content form header inner items left link links list module panel posts right row section stories text thread top unit widget wrap wrapper".split())
+#: Parts that say what an element's inside has or lacks.
+SAYS_HAS = set("has have no not non with without is in hide show no1 sans".split())
 ARTICLE_NAMES = set("article content main post entry story text body page".split())
+#: Names of elements that are kept whole around the best container.
+WHOLE_NAMES = set("article articlebody article-body article-content articlecontent content main-content maincontent entry entry-content entrycontent post post-body post-content postbody postcontent story story-body storybody".split())
 PROSE = {"p", "pre", "blockquote", "li", "dd", "dt", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6", "figcaption", "summary"}
 HEADINGS = {"h1", "h2", "h3"}
 
@@ -49,10 +60,10 @@ NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "dropped", "favoured", "score", "chars", "links", "kept")
+    __slots__ = ("tag", "parent", "dropped", "suspect", "favoured", "whole", "score", "chars", "links", "kept")
 
-    def __init__(self, tag, parent, dropped, favoured=False):
-        self.tag, self.parent, self.dropped, self.favoured = tag, parent, dropped, favoured
+    def __init__(self, tag, parent, dropped, suspect="", favoured=False, whole=0):
+        self.tag, self.parent, self.dropped, self.suspect, self.favoured, self.whole = tag, parent, dropped, suspect, favoured, whole
         self.score, self.chars, self.links, self.kept = 0.0, 0, 0, False
 
     def worth(self) -> float:
@@ -60,25 +71,40 @@ class Node:
         return self.score * (1 - density) * (1.25 if self.favoured else 1.0)
 
 
-def _traits(tag: str, attrs: str, inside_article: bool) -> tuple[bool, bool]:
-    """Whether an element is boilerplate, and whether it is named like an article."""
+def _named(token: str) -> str:
+    """'comment' or 'name' if a word of class or id names what is not the article, else ''."""
+    parts = [x.lower() for x in NAME_PARTS.findall(token)]
+    if not parts or parts[0] in SAYS_HAS:
+        return ""
+    hit = parts[-1] if parts[-1] in BOILERPLATE_NAMES else parts[0] if parts[0] in BOILERPLATE_NAMES and parts[-1] in HOLDERS else ""
+    return "comment" if hit in COMMENT_NAMES else "name" if hit else ""
+
+
+def _traits(tag: str, attrs: str, inside_article: bool) -> tuple[bool, str, bool, int]:
+    """Whether an element is boilerplate, how it is suspected to be, whether it is named like an article,
+    and how surely it is to be kept whole (3: article, 2: main, 1: by its name)."""
     if tag in BOILERPLATE_TAGS or (tag == "header" and not inside_article):
-        return True, False
+        return True, "", False, 0
+    suspect = "form" if tag == "form" else ""
     favoured = tag in ("article", "main")
+    whole = {"article": 3, "main": 2}.get(tag, 0)
     if attrs and not attrs.isspace():
-        names: set[str] = set()
         for m in ATTRIBUTE.finditer(attrs):
             key, value = m[1].lower(), (m[2] or "").strip("\"'")
             if key in ("class", "id"):
-                names.update(x.lower() for x in NAME_PARTS.findall(value))
+                for token in value.split():
+                    if tag not in ("html", "body", "article", "main"):
+                        suspect = max(suspect, _named(token), key=("", "form", "name", "comment").index)
+                    favoured |= token.lower() in ARTICLE_NAMES or any(x.lower() in ARTICLE_NAMES for x in NAME_PARTS.findall(token))
+                    if token.lower() in WHOLE_NAMES and tag not in ("html", "body"):
+                        whole = max(whole, 1)
             elif key == "role" and value.lower() in BOILERPLATE_ROLES or key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-                return True, False
+                return True, "", False, 0
+            elif key == "role" and value.lower() in ("main", "article"):
+                favoured, whole = True, max(whole, 2)
             elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True, False
-        if tag not in ("html", "body", "article", "main") and names & BOILERPLATE_NAMES:
-            return True, False
-        favoured |= bool(names & ARTICLE_NAMES)
-    return False, favoured
+                return True, "", False, 0
+    return False, suspect, favoured, whole
 
 
 def main_text(page: str | None) -> str:
@@ -152,7 +178,8 @@ def main_text(page: str | None) -> str:
             continue
         if tag in INLINE:
             if tag not in VOID:
-                drops = _traits(tag, m[3], articles > 0)[0]
+                hard, suspect, *_ = _traits(tag, m[3], articles > 0)
+                drops = hard or suspect != ""
                 inline.append((tag, drops))
                 links += tag == "a"
                 muted += drops
@@ -180,13 +207,33 @@ def main_text(page: str | None) -> str:
             continue
         if tag == "body":  # an open head ends here
             close_to(next((k for k in range(1, len(stack)) if stack[k].tag == "head"), len(stack)))
-        dropped, favoured = _traits(tag, m[3], articles > 0)
-        node = Node(tag, stack[-1], stack[-1].dropped or dropped, favoured)
+        dropped, suspect, favoured, whole = _traits(tag, m[3], articles > 0)
+        node = Node(tag, stack[-1], stack[-1].dropped or dropped, suspect, favoured, whole)
         nodes.append(node)
         stack.append(node)
         articles += tag in ("article", "main")
     flush()
 
+    for owner, text, _ in blocks:
+        owner.chars += len(text)
+    for node in reversed(nodes):  # what an element holds, before suspects go
+        if node.parent:
+            node.parent.chars += node.chars
+            if node.tag in ("article", "main") or node.score:  # score: whether an article lies below
+                node.parent.score = 1.0
+    articles = root.score > 0
+    for node in nodes:
+        if node.suspect and not node.dropped:
+            holds = node.score > 0 if articles else 2 * node.chars > root.chars
+            node.dropped = node.suspect == "comment" or not holds
+        node.dropped |= node.parent is not None and node.parent.dropped
+    if blocks and all(owner.dropped for owner, _, _ in blocks):  # nothing is left: the largest suspect was the article
+        for node in nodes:
+            node.dropped = False
+    blocks = [x for x in blocks if not x[0].dropped]
+    for node in nodes:
+        node.score, node.chars = 0.0, 0
+
     for owner, text, linked in blocks:
         owner.chars += len(text)
         owner.links += linked
@@ -205,6 +252,17 @@ def main_text(page: str | None) -> str:
     best = max(nodes, key=Node.worth)
     if best.worth() <= 0:
         return ""
+    outer, node = None, best
+    while node is not None:  # the outermost of the surest kind
+        if node.whole and (outer is None or node.whole >= outer.whole):
+            outer = node
+        node = node.parent
+    if outer is not None:
+        outer.kept = True
+        menus = set() if outer.whole == 3 else {x for x in nodes if x.parent is outer and x is not best and x.chars and x.links > 0.6 * x.chars}
+        for node in nodes:
+            node.kept |= node.parent is not None and node.parent.kept and node not in menus
+        return "\n".join(text for owner, text, _ in blocks if owner.kept)
     best.kept = True
     if best.parent is not None:
         enough = max(10.0, 0.2 * best.worth())

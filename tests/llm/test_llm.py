@@ -101,6 +101,27 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+LONG = "This sentence is long enough, and has commas, so that it counts as prose. "
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><div class=body><p>{LONG}<p>{LONG}</div><ul><li>One<li>Two</ul><h4>Head</h4><p>Last</article>", [LONG, LONG, "One", "Two", "Head", "Last"]),
+        (f"<article><section><p>{LONG}<p>{LONG}</section><section><p>Short</section></article>", [LONG, LONG, "Short"]),
+        (f"<article><p>A lead without a stop<div><p>{LONG}<p>{LONG}</div></article>", ["A lead without a stop", LONG, LONG]),
+        (f"<article><div><p>{LONG}<p>{LONG}</div><div><p>End</div></article>", [LONG, LONG, "End"]),
+        (f"<body><div class='layout has-sidebar'><article><p>{LONG}</article><div class=sidebar><p>{LONG}</div></div>", [LONG]),
+        (f"<body><form><article><p>{LONG}<p>End</article></form><footer>f</footer>", [LONG, "End"]), (f"<body><form><div class=x><p>{LONG}<p>{LONG}</div></form><div class=footer>foot text</div>", [LONG, LONG]),
+        (f"<article><p>{LONG}<p class='related-work'>Related<section id='social-history'><p>History</section></article>", [LONG, "Related", "History"]),
+        (f"<article><p>{LONG}</article><div class='comment-list'><p>{LONG * 9}<p>{LONG * 9}</div>", [LONG]),
+        (f"<div class='post no-comments'><p>{LONG}<p>End</div><div class='site-footer'>x</div><div id='cookie-notice'>y</div>", [LONG, "End"]),
+    ],
+)
+def test_whole_articles_are_kept(page, text):
+    assert html.main_text(page) == "\n".join(x.strip() for x in text)
+
+
 def test_deep_and_broken_pages():
     assert html.main_text("<div>" * 20_000 + "<p>deep text, here</p>") == "deep text, here"
     random.seed(3)
