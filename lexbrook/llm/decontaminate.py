@@ -22,8 +22,8 @@ from .common import LOWER, UPPER, checkpointed, rows_of
 #: What separates words once A-Z are lower-cased.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: Bits of a packed k-gram for its place; the rest are of its hash.
-PLACE_BITS = 26
+#: Bits of a packed k-gram for its place, as many as an array can have places; the rest are of its hash, which only proposes.
+PLACE_BITS = 31
 
 
 def words_of(text: Column) -> Column:
