@@ -7,7 +7,7 @@ speaks of rights or licences, so that one-line notices are found within longer d
 
 Defined results: null is treated as the empty text; a text whose canonical form is empty has no
 licence. Documents without a find stay, with null ``license_id`` and empty ``notices``. Repeated rows
-stay repeated. If two known texts share a canonical form, the first name counts. Other columns of the
+stay repeated; an empty table gives no rows. If two known texts share a canonical form, the first name counts. Other columns of the
 input are not looked at.
 """
 
@@ -26,14 +26,13 @@ SPELLINGS = [
     ("programme", "program"), ("realise", "realize"), ("recognise", "recognize"), ("signalling", "signaling"), ("sub license", "sublicense"), ("utilisation", "utilization"),
     ("whilst", "while"), ("wilful", "willful"),
 ]
-#: A line that only claims copyright. The same pattern serves Java, RE2 and Python.
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: A line that only claims copyright: the word or sign with a year or another sign, or nothing but the reservation, so that no line
+#: of running text is taken for one, however it is wrapped. The same pattern serves Java, RE2 and Python.
+COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:©[^\n]*|copyright[^a-z0-9\n]*(?:\(c\)|©|by\b)[^\n]*|(?:copyright|\(c\))[^\n]*\b(?:19|20)[0-9][0-9]\b[^\n]*|all rights reserved[^a-z0-9\n]*)$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 #: Lines worth a lookup; it only spares work, as every known notice matches it.
 NOTICE_HINT = r"(?i)licen[cs]e|rights reserved|public domain|copyright"
 
-MAX_NOTICES = 1000
-
 #: Known texts of licences, and one-line notices.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -112,12 +111,10 @@ def scan(docs: DataFrame, known: DataFrame | None = None, notices: list[tuple[st
     """(id, digest, license_id, notices array<string>) for each row of docs.
 
     known: (digest, license_id), by default of the built-in texts; Spark broadcasts it if its size
-    allows, else both sides are dealt out by digest. notices: one-line texts, MAX_NOTICES at most; their
-    digests become a constant of the plan, so finding them moves no rows.
+    allows, else both sides are dealt out by digest. notices: one-line texts, as many as the caller's list has; their
+    digests become a constant of the plan, so finding them moves no rows (long lists belong in known).
     """
     spark = docs.sparkSession
-    if len(notices) > MAX_NOTICES:
-        raise ValueError(f"more than {MAX_NOTICES} notices; pass long lists as known texts")
     known = known_digests(spark, KNOWN) if known is None else known
     named = [(r["digest"], r["license_id"]) for r in known_digests(spark, notices, False).collect()] if notices else []
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(NOTICE_HINT))
