@@ -1,7 +1,8 @@
 """SpotSigs: fingerprints of documents from spots of content words behind common words.
 
-A spot starts at an anchor (a common word, or the start of a line) and takes the next
-``chain`` content words, words that are not anchors, wherever they stand further on in the text
+A spot starts at an anchor (a common word, the start of a line, or a content word whose own hash is 0 modulo
+OWN_STARTS, so that texts in which common words are rare or unknown have spots all over, too) and takes the
+next ``chain`` content words, words that are not anchors, wherever they stand further on in the text
 (fewer at its end). The fingerprint is the set of the spots' 32-bit hashes, written in hex and
 sorted, so it can be compared as it is. Two sets can only have a Jaccard of t or more if the smaller
 one has t times the larger one's size; the join deals sets out by ranges of size that follow from
@@ -9,14 +10,16 @@ this, and looks only at spots among the rarest of each set.
 
 Defined results: null is treated as the empty text, whose fingerprint is ''; two empty fingerprints
 are alike (1.0), an empty and another one are not (0.0). A text without any letter or digit is
-cut at white space instead. Equal texts have equal fingerprints. Whole texts are read. Columns other
-than the id and the text are not looked at.
+cut at white space instead. Equal texts have equal fingerprints, so ties and repeated rows are alike. Whole
+texts are read; an empty table gives no rows. Ids may be of any type that can be sorted; null ids come last.
+Columns other than the id and the text are not looked at.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,8 @@ ANCHORS = frozenset(
 )
 WORD = re.compile(r"\n|\w+")
 HASH_DIGITS = 8
+#: One content word in so many starts a spot of its own.
+OWN_STARTS = 16
 
 
 def spots(text: str, chain: int = 2, anchors: frozenset[str] = ANCHORS) -> set[str]:
@@ -47,6 +52,8 @@ def spots(text: str, chain: int = 2, anchors: frozenset[str] = ANCHORS) -> set[s
         elif w == "\n":
             starts.append(("", len(content)))
         else:
+            if crc32(w.encode("utf-8", "surrogatepass")) % OWN_STARTS == 0:
+                starts.append((w, len(content) + 1))
             content.append(w)
     if not content:
         words = [w for w in WORD.findall(text.lower()) if w != "\n"] or text.split()
@@ -123,32 +130,39 @@ def near_duplicates(prints: DataFrame, least: float = 0.8, id_col: str = "doc_id
     return found.select(p.alias("fingerprint_a"), q.alias("fingerprint_b"), "likeness"), members
 
 
-MAX_RANGES = 1024
-
-
-def with_next(docs: DataFrame, ranges: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def with_next(docs: DataFrame, ranges: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
     """Rows (part, id, text, borrowed) dealt out so that each range of ids, read in descending order,
-    ends with a borrowed copy of the first row of the next range (of the first range, after the last).
+    ends with a borrowed copy of the first row of the next range (of the first range, after the last); and the number of ranges.
 
-    Texts move once. Only the ranges' bounds and their first ids are collected, MAX_RANGES at most.
-    Ids are numbers; null ids come last.
+    Texts move once. Spark cuts the ids into ranges; only the first id of each is collected. Null ids come last.
     """
-    ids = docs.select(F.col(id_col).alias("id"))
-    bounds = ids.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)] or [0.5], 10_000)).first()[0] or []
-    cuts = sorted(set(bounds))
-    part = F.size(F.filter(F.array(*(F.lit(c) for c in cuts)), lambda c: F.col("id") >= c)) if cuts else F.lit(0)
-    part = F.coalesce(part, F.lit(0)).cast("int")
-    firsts = {r["part"]: r["first"] for r in ids.withColumn("part", part).groupBy("part").agg(F.max("id").alias("first")).collect()}
-    order = sorted(firsts, reverse=True)
-    before = {p: order[i - 1] for i, p in enumerate(order)}  # the part that borrows from p
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("part", part)
-    lends = F.lit(None).cast("int")
-    if order:
-        lend = F.create_map(*(x for p in order for x in (F.lit(p), F.struct(F.lit(firsts[p]).cast(ids.schema["id"].dataType).alias("first"), F.lit(before[p]).alias("to")))))
-        lent = F.element_at(lend, F.col("part"))
-        lends = F.when(F.col("id").eqNullSafe(lent["first"]), lent["to"])
-    copies = F.array_compact(F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("borrowed")), F.when(lends.isNotNull(), F.struct(lends.alias("part"), F.lit(True).alias("borrowed")))))
-    return rows.withColumn("c", F.explode(copies)).select(F.col("c.part").alias("part"), "id", "text", F.col("c.borrowed").alias("borrowed"))
+    sc = docs.sparkSession.sparkContext
+    ids = docs.select(F.col(id_col).alias("id")).where("id IS NOT NULL").repartitionByRange(ranges, F.col("id").desc())
+    firsts = sorted(r["first"] for r in ids.groupBy(F.spark_partition_id().alias("part")).agg(F.max("id").alias("first")).collect())
+    parts = max(1, len(firsts))
+    sent = sc.broadcast(firsts)
+
+    @F.arrow_udf("array<int>")
+    def places(ids: pa.Array) -> pa.Array:
+        """The part of each id, and the part that borrows the row if the id is its part's first."""
+        known = sent.value
+        there = ids.is_valid().to_numpy(zero_copy_only=False)
+        k = np.zeros(len(ids), np.int64)  # null ids are in the last part, that of the least ids
+        first = np.full(len(ids), not known)
+        if known:
+            values = ids.drop_null().to_numpy(zero_copy_only=False)
+            table = np.array(known, dtype=values.dtype)
+            k[there] = np.searchsorted(table, values)
+            first[there] = table[k[there]] == values
+        own, lent = len(known) - 1 - k if known else k, (len(known) - 2 - k) % parts if known else k
+        ends = np.cumsum(np.r_[0, 1 + first]).astype(np.int32)
+        flat = np.empty(ends[-1], np.int32)
+        flat[ends[:-1]] = own
+        flat[ends[1:][first] - 1] = lent[first]
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.select("id", "text", F.posexplode(places("id")).alias("borrowed", "part")).select("part", "id", "text", (F.col("borrowed") > 0).alias("borrowed")), parts
 
 
 def edited(text: str, other: str) -> str:
@@ -161,9 +175,8 @@ def edit_likeness(docs: DataFrame, ranges: int | None = None, id_col: str = "doc
     """For each document: its fingerprint, its edited text's (see ``edited``; the other is the next
     document in descending order of ids, the first after the last), and how alike its own is to the
     edited one's and to the next document's. Repeated ids stand in the order of their texts."""
-    tasks = max(8, docs.select(id_col).rdd.getNumPartitions())
-    ranges = min(MAX_RANGES, ranges or 4 * tasks)
-    dealt = with_next(docs, ranges, id_col, text_col).repartition(2 * tasks, "part").sortWithinPartitions("part", "borrowed", F.col("id").desc_nulls_last(), "text")
+    rows, parts = with_next(docs, ranges or max(8, docs.select(id_col).rdd.getNumPartitions()), id_col, text_col)
+    dealt = rows.repartitionById(parts, "part").sortWithinPartitions("part", "borrowed", F.col("id").desc_nulls_last(), "text")
 
     def run(batches):
         held = None  # (part, id, text, signature) waiting for the next row
