@@ -7,12 +7,13 @@ merges. Only words with a failing pair go through exact merging.
 
 Defined results: a null or empty text has no tokens and decodes to ''. Strings of added tokens
 (such as ``<|endoftext|>``) inside a text become their id, as the tokenizers library does. Any
-text is processed whole. Repeated rows give repeated results. Columns other than the id and the
-text are not looked at.
+text is processed whole. Repeated rows give repeated results; an empty table gives no rows. Of equal
+ranks the leftmost pair is merged first. Columns other than the id and the text are not looked at.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import sys
@@ -34,6 +35,8 @@ SPACES = LATIN_SPACES + r"\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Words whose tokens a worker remembers before it starts anew: a bound on its memory only.
 REMEMBERED = 120_000
+#: Words of more bytes are merged with a heap and not remembered.
+LONG_WORD = 1000
 #: The rank of a pair that no merge joins.
 NEVER = np.iinfo(np.int64).max
 #: A vocabulary file larger than this is refused: it is sent to every worker.
@@ -102,6 +105,7 @@ class Codec:
         keys = v.left[merged] * n + v.right[merged]
         order = np.argsort(keys)
         self.pair_keys, self.pair_rank, self.n = keys[order], v.rank[merged][order], n
+        self.rank_of = dict(zip(self.pair_keys.tolist(), self.pair_rank.tolist()))
         self.merged = np.zeros(int(v.rank.max()) + 2, np.int64)
         self.merged[v.rank[merged]] = merged
         if any(bytes([b]) not in v.id_of for b in range(256)):
@@ -186,6 +190,29 @@ class Codec:
             ids, of = ids[keep], of[keep]
         return done
 
+    def exact_long(self, word: bytes) -> np.ndarray:
+        """Merging by rank of one word, in time that grows little faster than its length: a heap holds the pairs by rank and place."""
+        ids = self.byte_ids[np.frombuffer(word, np.uint8)].tolist()
+        n = len(ids)
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        rank_of = self.rank_of
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := rank_of.get(a * self.n + b)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i, a, b = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] != a or j < 0 or ids[j] != b:
+                continue  # one of the two is merged by now
+            ids[i], ids[j] = int(self.merged[r]), -1
+            after[i] = k = after[j]
+            if k >= 0:
+                before[k] = i
+                if (s := rank_of.get(ids[i] * self.n + ids[k])) is not None:
+                    heapq.heappush(heap, (s, i, ids[i], ids[k]))
+            if (h := before[i]) >= 0 and (s := rank_of.get(ids[h] * self.n + ids[i])) is not None:
+                heapq.heappush(heap, (s, h, ids[h], ids[i]))
+        return np.array([t for t in ids if t >= 0], np.int64)
+
     def learn(self, words: list[str]) -> None:
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         cut = [self.greedy(w) for w in raw]
@@ -197,8 +224,12 @@ class Codec:
         bad = np.unique(owner[inside[~self.compatible(pairs // self.n, pairs % self.n)[back]]]).tolist()
         self.speculated += len(words)
         self.failed += len(bad)
-        for i, ids in zip(bad, self.exact([raw[i] for i in bad])):
+        short = [i for i in bad if len(raw[i]) <= LONG_WORD]
+        for i, ids in zip(short, self.exact([raw[i] for i in short])):
             cut[i] = ids
+        for i in bad:
+            if len(raw[i]) > LONG_WORD:
+                cut[i] = self.exact_long(raw[i])
         flat = np.concatenate(cut).astype(np.int32).tobytes() if cut else b""
         ends = (4 * np.cumsum([0, *map(len, cut)])).tolist()
         for i, w in enumerate(words):
@@ -225,7 +256,11 @@ class Codec:
         if new := [w for w in new if w not in self.known]:
             self.learn(new)
         known = self.known
-        return [b"".join([x if isinstance(x, bytes) else b"".join([known[w] for w in x]) for x in own]) for own in parts]
+        coded = [b"".join([x if isinstance(x, bytes) else b"".join([known[w] for w in x]) for x in own]) for own in parts]
+        for w in new:
+            if len(w) > LONG_WORD:
+                del known[w]
+        return coded
 
     def decode(self, ids: list[int]) -> str:
         tokens = self.tokens
