@@ -11,7 +11,11 @@ Kinds: ``email`` (letters and digits of the local part), ``iban``, ``ssn``, ``da
 
 Defined results: null text stays null without spans; empty text stays empty. Overlapping finds are
 taken from the left, the kinds in the order above. Texts are read whole. Repeated rows and values give
-equal results. Spans count code points of the original text.
+equal results; an empty table gives no rows. Spans count code points of the original text. Columns
+other than those named or carried are not looked at.
+
+A key is needed. Whoever holds it can turn pseudonyms back, so none is built in: ``session_key`` takes
+``lexbrook.pii.key`` from the session or, where that is unset, a random one that ends with the application.
 """
 
 from __future__ import annotations
@@ -19,9 +23,10 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import secrets
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .common import map_arrow, rows_of
 
@@ -35,7 +40,7 @@ FOUND = re.compile(
     |(?<![\w.@-])(?:
      (?P<iban>[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?!\w)
     |(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])
-    |(?P<ymd>\d{4}([-/.])\d{1,2}\5\d{1,2})(?![\w-])
+    |(?P<ymd>\d{4}([-/.])\d{1,2}\5\d{1,2})(?:(?=[Tt]\d{2}:)|(?![\w-]))
     |(?P<dmy>\d{1,2}([-/.])\d{1,2}\7\d{4})(?![\w-])
     |(?P<ipv4>\d{1,3}(?:\.\d{1,3}){3})(?!\w|\.\d)
     |(?P<number>\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\w-])
@@ -214,6 +219,16 @@ class Pseudonymizer:
         return out
 
 
+_SESSION_KEYS: dict[str, bytes] = {}
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The secret named in ``lexbrook.pii.key``; else a random one for the application, the same in all its jobs."""
+    if key := spark.conf.get("lexbrook.pii.key", ""):
+        return key.encode()
+    return _SESSION_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
 def apply_spans(text: str, spans: list[tuple[int, int, str, str]]) -> str:
     out, at = [], 0
     for start, end, _, new in spans:

@@ -64,15 +64,10 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op7_licenses"] = licenses.oracle()
 
 
-#: For tests only; set lexbrook.pii.key in the session to a secret of your own.
-DEMO_KEY = "a key for tests"
-
-
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its personal data replaced by pseudonyms of the same form."""
-    key = spark.conf.get("lexbrook.pii.key", DEMO_KEY).encode()
-    found = pii.pseudonymize(table(spark, sf_dir, "documents"), key)
+    """Every document with its personal data replaced by pseudonyms of the same form, under the session's key."""
+    found = pii.pseudonymize(table(spark, sf_dir, "documents"), pii.session_key(spark))
     return found.select(
         "doc_id", "text", F.size("spans").cast("long").alias("n_replaced"), F.array_join(F.transform("spans", lambda x: x["kind"]), ",").alias("kinds"),
         F.to_json("spans").alias("spans"),
