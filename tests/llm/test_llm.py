@@ -478,3 +478,111 @@ def test_pipeline_stages(spark, tmp_path):
     run = corpus_pipeline.run(spark, SF)
     assert sorted(r["ids_sha256"] for r in run.collect()) == sorted(r["ids_sha256"] for r in kept["bpe"].collect())
     assert isinstance(run.schema["ids"].dataType, T.ArrayType)
+
+
+# long texts, repeated rows, ties
+
+
+def test_long_words_and_runs_take_little_time():
+    import time
+
+    from tokenizers import Tokenizer
+
+    file = queries.tokenizer_file()
+    codec, lm = bpe.Codec(open(file, "rb").read()), toxicity.CharacterModel({"idiot": 9.0})
+    random.seed(2)
+    word = "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=20_000))
+    for w in (word, "a" * 5001, "ab" * 2000 + "c", "é" * 3000):
+        assert np.frombuffer(codec.encode([w])[0], np.int32).tolist() == Tokenizer.from_file(file).encode(w, add_special_tokens=False).ids
+    runs = ["%" * 1_000_000 + "a", "1" * 1_000_000 + "-a", "a" * 1_000_000, "ab" * 500_000, "_" * 1_000_000, "a1" * 100_000, " a" * 100_000]
+    restorer, p = toxicity.Restorer(lm), pii.Pseudonymizer(b"k")
+    for x in (*runs, word * 50):
+        start = time.time()
+        restorer.restore(x), codec.encode([x]), simhash.fingerprint(x), spotsigs.signature(x), html.main_text("<p>" + x), p.spans(x), langid.letters_only(x)
+        assert time.time() - start < 60, x[:9]
+
+
+def test_language_needs_a_letter(spark):
+    docs = spark.createDataFrame([(1, "² ½"), (2, "Ⅷ ①"), (3, "x")], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang"] for r in langid.identify(docs, {"de": b"der die das " * 50, "en": b"the of and " * 50}).collect()}
+    assert got[1] == got[2] == "und" and got[3] != "und"
+
+
+def test_language_is_that_of_the_smallest_total(spark, documents):
+    """Brute force: each text compressed as defined, one by one."""
+    import zstandard
+
+    dictionaries = langid.train_dictionaries(documents.where(fold_crc("doc_id", 5) != 0))
+    made = {}
+    for k, v in dictionaries.items():
+        cut = min(langid.PRIME_BYTES, len(v) // 4)
+        made[k] = v[:cut], zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(v[cut:], dict_type=zstandard.DICT_TYPE_RAWCONTENT), level=5, write_content_size=False, write_dict_id=False)
+    texts = {r["doc_id"]: langid.letters_only(r["text"]) for r in documents.collect()}
+    for r in langid.identify(documents, dictionaries).collect():
+        t = texts[r["doc_id"]]
+        if not t:
+            assert r["lang"] == "und" and r["score"] == 0
+            continue
+        blocks = [b" " + t[i : i + langid.BLOCK_CHARS].encode() for i in range(0, len(t), langid.BLOCK_CHARS)]
+        sizes = {k: sum(len(c.compress(p + b)) - len(c.compress(p)) for b in blocks) for k, (p, c) in made.items()}
+        assert r["lang"] == min(sorted(sizes), key=sizes.get)
+
+
+def test_toxicity_query_matches_plain_scoring(spark, documents):
+    """Brute force: each text restored and its telling words summed, one by one."""
+    docs = documents.select("doc_id", "text")
+    model = toxicity.train(docs.where(fold_crc("doc_id", 5) != 0), table(spark, SF, "labels").where(fold_crc("doc_id", 5) != 0))
+    lm = toxicity.CharacterModel(model["words"])
+    for r in queries.op4_toxicity(spark, SF).join(docs, "doc_id").collect():
+        words = set(re.findall(r"[^\W_]+", toxicity.Restorer(lm).restore(r["text"] or "")[0]))
+        z = model["bias"] + sum(w for k, w in model["weights"].items() if k in words)
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-z)) if z > -700 else 0.0) and r["predicted"] == (r["score"] >= 0.5)
+
+
+def test_repeated_rows_teach_once(spark):
+    rows = [(i, f"common words and {'scum' if i % 4 == 0 else 'friend'} w{i % 7}") for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    once, twice = (spark.createDataFrame(r, "doc_id long, text string") for r in (rows, rows + rows[:50] * 3))
+    assert toxicity.train(once, labels) == toxicity.train(twice, labels)
+
+
+@pytest.mark.parametrize("width", range(50, 121, 7))
+def test_licences_are_known_however_they_are_wrapped(spark, width):
+    import textwrap
+
+    rows = [(i, name, "\n\n".join(textwrap.fill(p, width) for p in ("Copyright (c) 2021 Someone\n\n" + text).split("\n\n"))) for i, (name, text) in enumerate(licenses.KNOWN)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, name string, text string")).collect()
+    assert {r["doc_id"]: r["license_id"] for r in got} == {i: name for i, name, _ in rows}
+
+
+def test_ids_of_any_type_have_a_next_text(spark):
+    docs = spark.createDataFrame([("b", "eins zwei"), ("a", "drei vier"), (None, "fünf sechs"), ("c", "")], "doc_id string, text string")
+    got = {r["doc_id"]: r["edited_sha256"] for r in spotsigs.edit_likeness(docs, ranges=3).collect()}
+    order = [("c", ""), ("b", "eins zwei"), ("a", "drei vier"), (None, "fünf sechs")]
+    for (i, t), (_, n) in zip(order, order[1:] + order[:1]):
+        assert got[i] == hashlib.sha256(spotsigs.edited(t, n).encode()).hexdigest()
+
+
+def test_texts_without_anchors_have_spots_all_over():
+    assert len(spotsigs.signature(" ".join(f"слово{i}" for i in range(500)))) > 15
+
+
+def test_pseudonym_query_matches_plain_replacement(spark, documents):
+    p = pii.Pseudonymizer(pii.session_key(spark))
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    for r in queries.op10_pii(spark, SF).collect():
+        t = texts[r["doc_id"]]
+        spans = p.spans(t) if t else []
+        assert r["text"] == (pii.apply_spans(t, spans) if t else t) and r["n_replaced"] == len(spans) and r["kinds"] == ",".join(s[2] for s in spans)
+
+
+def test_dates_before_a_time_are_found():
+    p = pii.Pseudonymizer(b"k")
+    (a, b, kind, new), = p.spans("at 2021-02-28T10:00:00Z")
+    assert kind == "date" and new == p.spans("on 2021-02-28.")[0][3]
+
+
+def test_keys_are_secret_and_last(spark):
+    assert pii.session_key(spark) == pii.session_key(spark) != b"a key for tests"
+    with pytest.raises(ValueError):
+        pii.pseudonymize(spark.createDataFrame([], DOCS), b"")
