@@ -1,17 +1,28 @@
-"""Cutting the lineage of tables that loops build up."""
+"""Cutting the lineage of tables that loops build up, and folders that all machines share."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A copy in the folder that the cluster names in spark.checkpoint.dir, which survives lost executors;
-    a local folder only where none is named."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir. Only where none is named and all runs in one
+    process (tests, a laptop) is it a local one."""
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ckpt"))
+    given = sc._jsc.sc().getCheckpointDir()
+    if given.isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ckpt"))
+        given = sc._jsc.sc().getCheckpointDir()
+    return given.get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A copy in the shared folder, which survives lost executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

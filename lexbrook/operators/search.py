@@ -1,11 +1,12 @@
-"""Full-text retrieval: postings, BM25, boolean queries, fusion, reranking, snippets.
+"""Full-text retrieval over postings: BM25, boolean queries, fusion, reranking, snippets.
 
-The index is a table of postings (term, field, doc, tf, positions). Queries are parsed on the driver into
-small trees; terms select their postings first, so only those of the query move.
+Queries are parsed on the driver into small trees. All terms of a query, of all its strategies, select their postings at once;
+these meet by document, and each tree is a condition on the postings of a document. No text is read before the last few rows.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass, field
 from functools import reduce
@@ -13,7 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import ACCENTED, PLAIN, col, folded, text, tokens
+from ..functions.text import ACCENTED, PLAIN, text, tokens
+from .index import Index, postings  # noqa: F401
+from .lineage import checkpointed
 
 #: Weights of fields and of signals.
 FIELD_WEIGHTS = {"decision_id": 0.8, "court": 0.8, "canton": 0.8, "docket_number": 2.0, "language": 0.8, "title": 6.0, "regeste": 5.0, "full_text": 1.2}
@@ -40,74 +43,65 @@ def words_of(query: str) -> list[str]:
     return [w for w in re.split(r"[^\w]+|_", fold(query)) if w]
 
 
-# index ---------------------------------------------------------------------------------------
-
+# BM25 ----------------------------------------------------------------------------------------
 
-def postings(df: DataFrame, fields: list[str], id_col: str = "decision_id") -> DataFrame:
-    """(doc, field, term, tf, positions) of all fields. Terms of one document meet in its own task."""
-    each = F.array(*(F.struct(F.lit(f).alias("field"), tokens(f).alias("words")) for f in fields))
-    flat = df.select(F.col(id_col).alias("doc"), F.explode(each).alias("x")).select("doc", "x.field", F.posexplode("x.words").alias("pos", "term"))
-    return flat.groupBy("doc", "field", "term").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("pos")).alias("positions"))
 
+def document_frequencies(index: DataFrame) -> DataFrame:
+    return index.groupBy("term").agg(F.countDistinct("doc").alias("df"))
 
-def lengths(df: DataFrame, fields: list[str], id_col: str = "decision_id") -> DataFrame:
-    return df.select(F.col(id_col).alias("doc"), sum((F.size(tokens(f)) for f in fields[1:]), F.size(tokens(fields[0]))).cast("long").alias("length"))
 
+def field_weight(fields: dict[str, float]) -> Column:
+    return F.coalesce(F.element_at(F.create_map(*(F.lit(x) for pair in fields.items() for x in pair)), F.col("field")), F.lit(0.0))
 
-def document_frequencies(index: DataFrame) -> DataFrame:
-    return index.groupBy("term").agg(F.countDistinct("doc").alias("df"))
 
+def length_in(index: Index, fields) -> str:
+    """The column of a posting that has the length of a document: that of the one field asked for, or of all."""
+    return "own" if len(list(fields)) == 1 and len(index.words) > 1 else "length"
 
-# BM25 ----------------------------------------------------------------------------------------
 
+def scored(asked: DataFrame, index: Index, fields: dict[str, float]) -> DataFrame:
+    """Postings of some terms as (doc, term, part): what a term adds to a document's BM25."""
+    per = asked.groupBy("doc", "term").agg(F.sum(F.col("tf") * field_weight(fields)).alias("f"), F.max(length_in(index, fields)).alias("length"))
+    per = per.join(F.broadcast(document_frequencies(asked)), "term")  # a row for each term of the queries
+    idf = F.log(1 + (F.lit(index.docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    mean = index.mean_length(list(fields)) or 1.0
+    return per.select("doc", "term", (idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("length") / mean))).alias("part"))
 
-def occurrences(words, term: str) -> Column:
-    return F.size(F.filter(words, lambda x: x == term))
 
+def bm25(index: Index, terms: list[str], fields: dict[str, float]) -> DataFrame:
+    """(doc, score) of the documents with any of the terms; higher is better."""
+    return scored(index.asked(terms, fields=list(fields)), index, fields).groupBy("doc").agg(F.sum("part").alias("score"))
 
-def bm25(df: DataFrame, terms: list[str], fields: dict[str, float], id_col: str = "decision_id") -> DataFrame:
-    """(doc, score) of the documents with any of the terms; higher is better.
 
-    The text is read once: term counts by field, length and document frequencies come from arrays of
-    each row, and only rows with a term are kept for scoring.
-    """
-    terms = list(dict.fromkeys(terms))
-    words = {f: tokens(f) for f in fields}
-    row = df.select(F.col(id_col).alias("doc"), *(w.alias("w_" + f) for f, w in words.items()))
-    counts = {t: sum((occurrences("w_" + f, t) * w for f, w in fields.items()), F.lit(0.0)) for t in terms}
-    length = sum((F.size("w_" + f) for f in fields), F.lit(0))
-    counted = row.select("doc", length.alias("length"), *(c.alias(f"f_{i}") for i, c in enumerate(counts.values())))
-    stats = counted.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), *(F.count(F.when(F.col(f"f_{i}") > 0, 1)).alias(f"df_{i}") for i in range(len(terms)))).first()
-    n, mean = stats["n"], stats["mean"] or 1.0
-    score = F.lit(0.0)
-    for i in range(len(terms)):
-        f = F.col(f"f_{i}")
-        idf = F.log(1 + (F.lit(n) - stats[f"df_{i}"] + 0.5) / (stats[f"df_{i}"] + 0.5))
-        score += F.when(f > 0, idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("length") / mean))).otherwise(0.0)
-    hit = reduce(lambda a, b: a | b, (F.col(f"f_{i}") > 0 for i in range(len(terms))), F.lit(False))
-    return counted.where(hit).select("doc", score.alias("score"))
-
-
-def bm25_batch(index: DataFrame, doc_lengths: DataFrame, queries: DataFrame, fields: dict[str, float]) -> DataFrame:
-    """(query_id, doc, score) for a table of queries (query_id, term), over postings.
+def bm25_batch(index: Index, queries: DataFrame, fields: dict[str, float]) -> DataFrame:
+    """(query_id, doc, score) for a table of queries (query_id, term), whose size is not bounded.
 
     A term's postings meet the queries that ask for it; frequent terms' postings can be split by AQE.
     """
-    weight = F.lit(1.0)
-    for f, w in fields.items():
-        weight = F.when(F.col("field") == f, w).otherwise(weight)
-    asked = index.join(queries.select("term").distinct(), "term", "left_semi")
-    per = asked.groupBy("doc", "term").agg(F.sum(F.col("tf") * weight).alias("f"))
-    df = document_frequencies(asked)
-    stats = doc_lengths.agg(F.count("*").alias("n"), F.avg("length").alias("mean")).first()
-    scored = per.join(df, "term").join(doc_lengths, "doc")
-    idf = F.log(1 + (F.lit(stats["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("length") / F.lit(stats["mean"] or 1.0)))
-    return queries.join(scored.withColumn("part", part), "term").groupBy("query_id", "doc").agg(F.sum("part").alias("score"))
+    asked = index.rows.join(queries.select("term").distinct(), "term", "left_semi")
+    if set(fields) < set(index.words):
+        asked = asked.where(F.col("field").isin(list(fields)))
+    per = asked.groupBy("doc", "term").agg(F.sum(F.col("tf") * field_weight(fields)).alias("f"), F.max(length_in(index, fields)).alias("length"))
+    idf = F.log(1 + (F.lit(index.docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    mean = index.mean_length(list(fields)) or 1.0
+    part = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("length") / mean))
+    parts = per.join(document_frequencies(asked), "term").select("doc", "term", part.alias("part"))
+    return queries.join(parts, "term").groupBy("query_id", "doc").agg(F.sum("part").alias("score"))
 
 
 def ranked(scores: DataFrame, by: str = "score", key: list[str] = (), doc: str = "doc") -> DataFrame:
-    return scores.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc(by), doc)))
+    """rank from 1, best first, equals by doc; without a key over all rows, which are dealt out by ranges and counted."""
+    order = [F.desc(by), F.asc(doc)]
+    if key:
+        return scores.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    dealt = checkpointed(scores.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    counts = {r["_part"]: r["n"] for r in dealt.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # a row for each partition
+    before, at = [F.lit(-1), F.lit(0)], 0
+    for part in sorted(counts):
+        before += [F.lit(part), F.lit(at)]
+        at += counts[part]
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return dealt.withColumn("rank", own + F.element_at(F.create_map(*before), F.col("_part"))).drop("_part")
 
 
 # query language ------------------------------------------------------------------------------
@@ -172,7 +166,7 @@ def parse(query: str) -> Query:
 
 
 def matches(q: Query, fields: list[str]) -> Column:
-    """A condition on the columns w_<field> of words (see ``tokens``)."""
+    """A condition on ``hits``, a document's postings array<struct<field, term, tf, positions>>."""
     if q.kind in ("and", "or"):
         parts = [matches(x, fields) for x in q.parts]
         return reduce((lambda a, b: a & b) if q.kind == "and" else (lambda a, b: a | b), parts, F.lit(q.kind == "and")) if parts else F.lit(False)
@@ -181,31 +175,69 @@ def matches(q: Query, fields: list[str]) -> Column:
     if not q.words:
         return F.lit(False)
     used = [q.column] if q.column in fields else fields
+    if q.kind == "prefix":
+        return F.exists("hits", lambda h: h["field"].isin(used) & h["term"].startswith(q.words[0]))
+    if q.kind == "term":
+        return F.exists("hits", lambda h: h["field"].isin(used) & (h["term"] == q.words[0]))
 
-    def one(f: str) -> Column:
-        c = F.col("w_" + f)
-        if q.kind == "prefix":
-            return F.exists(c, lambda x: x.startswith(q.words[0]))
-        if q.kind == "term":
-            return F.array_contains(c, q.words[0])
-        return F.concat(F.lit(" "), F.array_join(c, " "), F.lit(" ")).contains(" " + " ".join(q.words) + " ")
+    def places(f: str, i: int, word: str) -> Column:
+        """Where a phrase would begin that has the word at place i."""
+        own = F.get(F.filter("hits", lambda h: (h["field"] == f) & (h["term"] == word)), F.lit(0))["positions"]
+        return F.transform(F.coalesce(own, F.array().cast("array<int>")), lambda p: p - i)
 
-    return reduce(lambda a, b: a | b, map(one, used))
+    def phrase(f: str) -> Column:
+        return F.size(reduce(F.array_intersect, [places(f, i, w) for i, w in enumerate(q.words)])) > 0
+
+    return reduce(lambda a, b: a | b, map(phrase, used))
 
 
 def leaves(q: Query) -> list[str]:
     return list(dict.fromkeys(q.words if q.kind in ("term", "phrase") else [w for x in q.parts if x.kind != "not" for w in leaves(x)]))
 
 
-def search(df: DataFrame, query: str, fields: dict[str, float] | None = None, filters: Column | None = None, limit: int = 20, offset: int = 0, id_col: str = "decision_id") -> DataFrame:
-    """(doc, score) of the rows that match the query, best first. Filters are applied before anything is cut into words."""
+def all_words(q: Query, kinds: tuple[str, ...]) -> list[str]:
+    """Words of the parts of some kinds, those that must not be there as well."""
+    return list(q.words) if q.kind in kinds else [w for x in q.parts for w in all_words(x, kinds)]
+
+
+def run(index: Index, trees: list[tuple[str, Query]], fields: dict[str, float], allowed: DataFrame | None = None) -> DataFrame:
+    """(name, doc, score) of the documents that match each tree, from one reading of the postings of all of them.
+
+    allowed: (doc) that may be found; scores are those of the whole index.
+    """
+    terms, prefixes = (list(dict.fromkeys(w for _, q in trees for w in all_words(q, kinds))) for kinds in (("term", "phrase"), ("prefix",)))
+    asked = index.asked(terms, prefixes, list(fields))
+    length = length_in(index, fields)
+    per = asked.groupBy("doc").agg(F.collect_list(F.struct("field", "term", "tf", "positions")).alias("hits"), F.max(length).alias("length"))
+    if allowed is not None:
+        per = per.join(allowed, "doc", "left_semi")
+    known = {r["term"]: r["df"] for r in document_frequencies(asked.where(F.col("term").isin(terms))).collect()}  # a row for each term of the query
+    mean = index.mean_length(list(fields)) or 1.0
+    weights = F.create_map(*(F.lit(x) for pair in fields.items() for x in pair))
+
+    def part(t: str) -> Column:
+        f = F.aggregate(F.filter("hits", lambda h: h["term"] == t), F.lit(0.0), lambda a, h: a + h["tf"] * F.coalesce(F.element_at(weights, h["field"]), F.lit(0.0)))
+        idf = math.log(1 + (index.docs - known[t] + 0.5) / (known[t] + 0.5))
+        return idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("length") / mean))
+
+    parts = per.select("doc", "hits", *(part(t).alias(f"_{i}") for i, t in enumerate(known)))
+    at = {t: F.col(f"_{i}") for i, t in enumerate(known)}
+    found = [F.when(matches(q, list(fields)), F.struct(F.lit(name).alias("name"), sum((at[t] for t in leaves(q) if t in at), F.lit(0.0)).alias("score"))) for name, q in trees]
+    return parts.select("doc", F.explode(F.array_compact(F.array(*found))).alias("x")).select("x.name", "doc", "x.score")
+
+
+def search(df: DataFrame, query: str, fields: dict[str, float] | None = None, filters: Column | None = None, limit: int | None = 20, offset: int = 0, id_col: str = "decision_id", index: Index | None = None) -> DataFrame:
+    """(doc, score) of the rows that match the query, best first; without a limit all of them, in no order."""
     fields = fields or {f: w for f, w in FIELD_WEIGHTS.items() if f in df.columns}
-    q = parse(query)
-    rows = df if filters is None else df.where(filters)
-    worded = rows.select(id_col, *fields, *(tokens(f).alias("w_" + f) for f in fields)).where(matches(q, list(fields)))
-    hits = bm25(df, leaves(q), fields, id_col)
-    found = worded.select(F.col(id_col).alias("doc")).join(hits, "doc", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-    return found.orderBy(F.desc("score"), "doc").offset(offset).limit(limit)
+    index = index or Index.of(df, list(fields), id_col)
+    allowed = None if filters is None else df.where(filters).select(F.col(id_col).alias("doc"))
+    found = run(index, [("", parse(query))], fields, allowed).select("doc", "score")
+    return found if limit is None else found.orderBy(F.desc("score"), "doc").offset(offset).limit(limit)
+
+
+def total(df: DataFrame, query: str, fields: dict[str, float] | None = None, filters: Column | None = None, id_col: str = "decision_id", index: Index | None = None) -> DataFrame:
+    """(total) of the rows that match, beside a page of them."""
+    return search(df, query, fields, filters, None, 0, id_col, index).agg(F.count("*").alias("total"))
 
 
 def conjunctive(court=None, canton=None, language=None, date_from=None, date_to=None, chamber=None, decision_type=None) -> Column:
@@ -301,14 +333,31 @@ def signals(query: str, language: str | None = None) -> Column:
         out += F.when(bare == plain, w["docket_exact"]).when(bare.contains(plain), w["docket_partial"]).otherwise(0.0)
     if language:
         out += F.when(F.col("language") == language, w["language"]).otherwise(0.0)
+    if re.search(r"\b(?:urteil|entscheid|arret|jugement|decision|sentenza|decisione)\w*", fold(query)):
+        out += F.when(F.lower(text("title")).rlike(r"\b(?:urteil|entscheid|arrêt|jugement|décision|sentenza|decisione)"), w["intent"]).otherwise(0.0)
+    if re.search(r"\b(?:beschleunigt|accelere|acceleree|accelerata)\w*", fold(query)):
+        said = F.lower(F.concat_ws(" ", text("title"), text("regeste"), text("snippet"))).rlike(r"beschleunigte|accéléré|accelerata|accelerato")
+        out += F.when(said, w["accelerated"]).otherwise(0.0)
     if re.search(r"\b(?:asyl|asile|asilo)\w*", fold(query)):
         out += F.when(F.col("court") == "bvger", w["asylum"]).when(F.col("court") == "bger", -0.2).otherwise(0.0)
     return out
 
 
-def graph_signals(candidates: DataFrame, statutes: DataFrame | None = None, asked: list[str] = (), authority: DataFrame | None = None) -> DataFrame:
-    """Candidates (doc) with ``graph``: mentions of the statutes asked for, and authority."""
+def graph_signals(candidates: DataFrame, statutes: DataFrame | None = None, asked: list[str] = (), authority: DataFrame | None = None, citations: DataFrame | None = None, cited: list[str] = ()) -> DataFrame:
+    """Candidates (doc) with ``graph``: mentions of the statutes asked for, citations of the decisions asked for,
+    citations by other candidates (citations: source_decision_id, target_decision_id, mention_count), and authority."""
     out = candidates.withColumn("graph", F.lit(0.0))
+    w = WEIGHTS
+    if citations is not None:
+        if cited:
+            m = citations.where(F.col("target_decision_id").isin(list(cited))).groupBy(F.col("source_decision_id").alias("doc")).agg(F.sum("mention_count").alias("m"))
+            c = F.when(F.col("m") > 0, w["citation"] + F.least(F.lit(w["citation_cap"]), w["citation_per_hit"] * F.col("m"))).otherwise(0.0)
+            out = out.join(m, "doc", "left").withColumn("graph", F.col("graph") + c).drop("m")
+        pool = candidates.select("doc").distinct()
+        inner = citations.join(pool.withColumnRenamed("doc", "source_decision_id"), "source_decision_id", "left_semi").where("source_decision_id <> target_decision_id")
+        n = inner.groupBy(F.col("target_decision_id").alias("doc")).agg(F.countDistinct("source_decision_id").alias("n"))
+        p = F.when(F.col("n") >= w["in_pool_least"], F.least(F.lit(w["in_pool_cap"]), w["in_pool"] * F.col("n"))).otherwise(0.0)
+        out = out.join(n, "doc", "left").withColumn("graph", F.col("graph") + p).drop("n")
     if statutes is not None and asked:
         m = statutes.where(F.col("statute_id").isin(list(asked))).groupBy(F.col("decision_id").alias("doc")).agg(F.sum("mention_count").alias("m"))
         s = F.when(F.col("m") > 0, WEIGHTS["statute"] + F.least(F.lit(WEIGHTS["statute_cap"]), WEIGHTS["statute_per_mention"] * F.col("m"))).otherwise(0.0)
@@ -326,19 +375,29 @@ def rerank(candidates: DataFrame, query: str, language: str | None = None) -> Da
     return candidates.withColumn("relevance_score", total).orderBy(F.desc("relevance_score"), F.col("decision_date").desc_nulls_last(), "doc")
 
 
-def find(df: DataFrame, query: str, limit: int = 10, pool: int = 200, language: str | None = None, filters: Column | None = None) -> DataFrame:
-    """The whole way of a query: strategies, fusion, signals, order; one row a decision, never a column named rank."""
+def find(df: DataFrame, query: str, limit: int = 10, pool: int = 200, language: str | None = None, filters: Column | None = None, index: Index | None = None) -> DataFrame:
+    """The whole way of a query: strategies, fusion, signals, order; one row a decision, never a column named rank.
+
+    index: of df, by default made anew. The ``pool`` best of each strategy are fused, and only their rows are read.
+    """
     fields = {f: w for f, w in FIELD_WEIGHTS.items() if f in df.columns}
-    runs = []
-    for name, q, weight in strategies(query):
-        hits = search(df, q, fields, filters, pool)
-        runs.append(ranked(hits).withColumn("strategy", F.lit(name)).withColumn("weight", F.lit(weight)))
-    all_runs = reduce(lambda a, b: a.unionByName(b), runs)
-    fused = fuse(all_runs).join(all_runs.groupBy("doc").agg(F.max("score").alias("bm25")), "doc")
-    rows = fused.join(df, fused["doc"] == df["decision_id"]).withColumn("snippet", best_passage("full_text", words_of(query)))
+    index = index or Index.of(df, list(fields))
+    runs = strategies(query)
+    allowed = None if filters is None else df.where(filters).select(F.col("decision_id").alias("doc"))
+    hits = run(index, [(name, parse(q)) for name, q, _ in runs], fields, allowed)
+    weight = F.element_at(F.create_map(*(F.lit(x) for name, _, w in runs for x in (name, w))), F.col("name"))
+    best = ranked(hits, key=["name"]).where(F.col("rank") <= pool).withColumn("weight", weight)
+    fused = best.groupBy("doc").agg(F.sum(F.col("weight") / (RRF_CONSTANT + F.col("rank"))).alias("rrf"), F.countDistinct("name").alias("hits"), F.max("score").alias("bm25"))
+    # pool rows a strategy at most
+    rows = df.join(F.broadcast(fused), df["decision_id"] == fused["doc"]).withColumn("snippet", best_passage("full_text", words_of(query)))
     return rerank(rows, query, language).select("decision_id", "docket_number", "title", "snippet", "relevance_score").limit(limit)
 
 
+def by_id(df: DataFrame, wanted: str, id_col: str = "decision_id") -> DataFrame:
+    """The row of an id; the condition reaches the files."""
+    return df.where(F.col(id_col) == wanted)
+
+
 def best_passage(c, words: list[str], most: int = 300) -> Column:
     """The paragraph with most of the words, the first of equals, cut to a length."""
     parts = F.filter(F.split(text(c), r"\n\s*\n|\n"), lambda p: F.trim(p) != "")

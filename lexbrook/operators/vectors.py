@@ -76,9 +76,10 @@ def sparse_terms(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     return vectors.select(F.col(id_col).alias("id"), F.posexplode(vec_col).alias("token_id", "weight")).where(F.col("weight") > least).select("id", "token_id", F.col("weight").cast("double").alias("weight"))
 
 
-def sparse_search(terms: DataFrame, query: DataFrame, k: int) -> DataFrame:
-    """(id, score): the highest dot products with a query (token_id, w)."""
-    return terms.join(query, "token_id").groupBy("id").agg(F.sum(F.col("weight") * F.col("w")).alias("score")).orderBy(F.desc("score"), "id").limit(k)
+def sparse_search(terms: DataFrame, query: DataFrame, k: int | None) -> DataFrame:
+    """(id, score): the highest dot products with a query (token_id, w), best first; without k all of them, in no order."""
+    found = terms.join(query, "token_id").groupBy("id").agg(F.sum(F.col("weight") * F.col("w")).alias("score"))
+    return found if k is None else found.orderBy(F.desc("score"), "id").limit(k)
 
 
 def best_chunk(chunks: DataFrame, query: list[float], k: int, doc_col: str, vec_col: str = "embedding") -> DataFrame:

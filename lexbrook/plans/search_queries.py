@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import structure
 from ..operators import search, vectors
+from ..operators.index import index_for
 from .base import decisions
 from .registry import query, table
 
@@ -17,6 +18,20 @@ def documents(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("decision_id"), F.col("text").alias("full_text"))
 
 
+def indexed(spark, sf_dir):
+    """The index of the decisions, made once an application. Its documents are those of the table, under the ids of decisions."""
+    d = decisions(spark, sf_dir)
+    return index_for(spark, f"decisions of {sf_dir}", lambda: d, [f for f in search.FIELD_WEIGHTS if f in d.columns])
+
+
+def of_documents(found):
+    """Decisions' ids as those of the documents."""
+    return found.withColumn("doc", F.substring("doc", 2, 20).cast("long"))
+
+
+TEXT_ONLY = {"full_text": 1.2}
+
+
 def bm25_sql(terms: list[str], name: str = "b") -> str:
     counts = ", ".join(f"1.2 * len([x for x in t if x = '{w}']) AS f{i}" for i, w in enumerate(terms))
     stats = ", ".join(f"count(CASE WHEN f{i} > 0 THEN 1 END) AS d{i}" for i in range(len(terms)))
@@ -27,21 +42,20 @@ def bm25_sql(terms: list[str], name: str = "b") -> str:
 
 @query(rf"WITH {WORDS}, e AS (SELECT doc, unnest(t) AS term FROM w) SELECT term, count(DISTINCT doc) AS df, count(*) AS cf FROM e GROUP BY term")
 def postings_df(spark, sf_dir):
-    index = search.postings(documents(spark, sf_dir), ["full_text"])
+    index = indexed(spark, sf_dir).rows.where("field = 'full_text'")
     return index.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
 @query(f"WITH {WORDS}, {bm25_sql(['trash', 'idiot', 'dans', 'mentre'])} SELECT doc, round(score, 6) AS score FROM b ORDER BY score DESC, doc LIMIT 20")
 def bm25_topk(spark, sf_dir):
-    hits = search.bm25(documents(spark, sf_dir), ["trash", "idiot", "dans", "mentre"], {"full_text": 1.2})
+    hits = of_documents(search.bm25(indexed(spark, sf_dir), ["trash", "idiot", "dans", "mentre"], TEXT_ONLY))
     return hits.select("doc", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc").limit(20)
 
 
 @query(f"WITH {WORDS}, {bm25_sql(['scum', 'loser'], 'qa')}, {bm25_sql(['der', 'nicht'], 'qb')} SELECT 0 AS query_id, doc, round(score, 6) AS score FROM qa UNION ALL SELECT 1, doc, round(score, 6) FROM qb")
 def bm25_batch(spark, sf_dir):
-    d = documents(spark, sf_dir)
     queries = spark.createDataFrame([(0, "scum"), (0, "loser"), (1, "der"), (1, "nicht")], "query_id int, term string")
-    return search.bm25_batch(search.postings(d, ["full_text"]), search.lengths(d, ["full_text"]), queries, {"full_text": 1.2}).select("query_id", "doc", F.round("score", 6).alias("score"))
+    return of_documents(search.bm25_batch(indexed(spark, sf_dir), queries, TEXT_ONLY)).select("query_id", "doc", F.round("score", 6).alias("score"))
 
 
 HAS = lambda w: f"list_contains(t, '{w}')"
@@ -52,15 +66,14 @@ HAS = lambda w: f"list_contains(t, '{w}')"
 )
 def boolean_search(spark, sf_dir):
     q = search.parse('(the OR der) "of the" thn* NOT loser')
-    d = documents(spark, sf_dir).select("decision_id", search.tokens("full_text").alias("w_full_text"))
-    return d.where(search.matches(q, ["full_text"])).select(F.col("decision_id").alias("doc"))
+    return of_documents(search.run(indexed(spark, sf_dir), [("", q)], TEXT_ONLY)).select("doc")
 
 
 @query(
     f"""WITH {WORDS}, {bm25_sql(['trash', 'clown'])} SELECT doc, round(score, 6) AS score FROM b JOIN w USING (doc) WHERE {HAS('trash')} AND {HAS('clown')} ORDER BY round(score, 6) DESC, doc LIMIT 10 OFFSET 2"""
 )
 def search_paged(spark, sf_dir):
-    hits = search.search(documents(spark, sf_dir), "trash AND clown", {"full_text": 1.2}, limit=100_000)
+    hits = of_documents(search.search(decisions(spark, sf_dir), "trash AND clown", TEXT_ONLY, limit=None, index=indexed(spark, sf_dir)))
     return hits.select("doc", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc").offset(2).limit(10)
 
 
@@ -70,9 +83,9 @@ def search_paged(spark, sf_dir):
     SELECT doc, round(sum(w / (60 + k)), 9) AS rrf, count(DISTINCT s) AS hits FROM r GROUP BY doc"""
 )
 def rrf_fusion(spark, sf_dir):
-    d = documents(spark, sf_dir)
+    index = indexed(spark, sf_dir)
     runs = [(("scum", "loser"), "one", 1.3), (("pathetic",), "two", 0.85)]
-    ranked = [search.ranked(search.bm25(d, list(t), {"full_text": 1.2}).withColumn("score", F.round("score", 9))).select("doc", "rank", F.lit(n).alias("strategy"), F.lit(w).alias("weight")) for t, n, w in runs]
+    ranked = [search.ranked(of_documents(search.bm25(index, list(t), TEXT_ONLY)).withColumn("score", F.round("score", 9))).select("doc", "rank", F.lit(n).alias("strategy"), F.lit(w).alias("weight")) for t, n, w in runs]
     return search.fuse(ranked[0].unionByName(ranked[1])).select("doc", F.round("rrf", 9).alias("rrf"), "hits")
 
 
@@ -86,7 +99,7 @@ def rrf_fusion(spark, sf_dir):
 )
 def composite_rerank(spark, sf_dir):
     d = documents(spark, sf_dir)
-    hits = search.ranked(search.bm25(d, ["trash", "clown"], {"full_text": 1.2}).withColumn("key", F.round("score", 9)), "key")
+    hits = search.ranked(of_documents(search.bm25(indexed(spark, sf_dir), ["trash", "clown"], TEXT_ONLY)).withColumn("key", F.round("score", 9)), "key")
     rows = hits.join(d, hits["doc"] == d["decision_id"]).select(
         "doc", F.col("score").alias("bm25"), (1.3 / (60 + F.col("rank"))).alias("rrf"), F.lit(1).alias("hits"), F.substring("full_text", 1, 200).alias("snippet"), F.substring("full_text", 1, 60).alias("title"),
         F.lit(None).cast("string").alias("regeste"), F.lit(None).cast("string").alias("docket_number"), F.lit(None).cast("string").alias("decision_date"),
@@ -119,7 +132,7 @@ def knn_in_partition(spark, sf_dir):
 def sparse_search(spark, sf_dir):
     terms = vectors.sparse_terms(table(spark, sf_dir, "embeddings"))
     query_terms = terms.where("id = 0").select("token_id", F.col("weight").alias("w"))
-    return vectors.sparse_search(terms, query_terms, 1_000_000).select("id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "id").limit(20)
+    return vectors.sparse_search(terms, query_terms, None).select("id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "id").limit(20)
 
 
 @query(
@@ -149,4 +162,4 @@ def structure_paragraphs(spark, sf_dir):
 @query()
 def find_decisions(spark, sf_dir):
     """The flagship: strategies, BM25, fusion, signals and passages for a query in natural language."""
-    return search.find(decisions(spark, sf_dir), "trash clown worthless", limit=20, language="en")
+    return search.find(decisions(spark, sf_dir), "trash clown worthless", limit=20, language="en", index=indexed(spark, sf_dir))
