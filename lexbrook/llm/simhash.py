@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, map_arrow, rows_of
+from .common import checkpointed, map_arrow, release_memory, rows_of
 from .components import connected_components
 
 BITS = 64
@@ -42,6 +42,8 @@ BITS = 64
 COUNTED = 1 << 14
 #: Fingerprints of a place that are compared in one task; larger places are split.
 BLOCK = 4096
+#: Rows of places that a Python worker takes at a time.
+HELD = 1 << 16
 #: Bits of a second plane that are looked at beside a place's own.
 CHECKED = 48
 #: Crowded places that are broadcast at most; more of them are joined by a shuffle.
@@ -196,7 +198,7 @@ def meet(nodes: DataFrame, planes: int, cut: int, most: int, forest: bool, block
         for b in batches:
             held.append(b)
             n_held += b.num_rows
-            if n_held < 1 << 17:
+            if n_held < HELD:
                 continue
             t = pa.Table.from_batches(held)
             ends = [t.column(i).to_numpy() for i in range(3)]
@@ -207,6 +209,8 @@ def meet(nodes: DataFrame, planes: int, cut: int, most: int, forest: bool, block
             held, n_held = t.slice(cut_at).combine_chunks().to_batches(), t.num_rows - cut_at
         if n_held:
             yield from found(pa.Table.from_batches(held))
+        held.clear()
+        release_memory()
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
