@@ -63,9 +63,11 @@ def _unless_ignored(new: Column, old: str) -> Column:
 def apply_failures(queue: DataFrame, failures: DataFrame, now: str, delay_days: int = 1) -> DataFrame:
     """The queue after failed fetches (key, error), one row each; several of one key in a batch count each.
 
-    Ignored rows keep their state but for when and why they were seen last.
+    Ignored rows keep their state but for when and why they were seen last. Of several errors of a key the last one by ``failed_at``
+    counts, if failures have that column; of equals the one that sorts last.
     """
-    per = failures.groupBy(*KEY).agg(F.count("*").alias("_n"), F.substring(F.last("error"), 1, 500).alias("_error"))
+    order = F.struct(*(c for c in ("failed_at", "error") if c in failures.columns))
+    per = failures.groupBy(*KEY).agg(F.count("*").alias("_n"), F.substring(F.max_by("error", order), 1, 500).alias("_error"))
     both = queue.withColumn("_old", F.lit(True)).join(per, KEY, "full_outer")
     hit = F.col("_n").isNotNull()
     retry = F.date_add(F.lit(now).cast("date"), delay_days).cast("string")

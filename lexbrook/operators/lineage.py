@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,3 +27,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """A copy in the shared folder, which survives lost executors."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
+    """df with a number from 1 in the order given, without bringing all rows into one task: rows are dealt out by ranges,
+    numbered there and counted; only the counts, one a partition, are collected."""
+    dealt = checkpointed(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    before, at = [F.lit(-1), F.lit(0).cast("long")], 0
+    for r in sorted(dealt.groupBy("_part").agg(F.count("*").alias("n")).collect()):
+        before += [F.lit(r["_part"]), F.lit(at).cast("long")]
+        at += r["n"]
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return dealt.withColumn(name, own + F.element_at(F.create_map(*before), F.col("_part"))).drop("_part")

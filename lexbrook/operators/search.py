@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ACCENTED, PLAIN, text, tokens
 from .index import Index, postings  # noqa: F401
-from .lineage import checkpointed
+from .lineage import numbered
 
 #: Weights of fields and of signals.
 FIELD_WEIGHTS = {"decision_id": 0.8, "court": 0.8, "canton": 0.8, "docket_number": 2.0, "language": 0.8, "title": 6.0, "regeste": 5.0, "full_text": 1.2}
@@ -94,14 +94,7 @@ def ranked(scores: DataFrame, by: str = "score", key: list[str] = (), doc: str =
     order = [F.desc(by), F.asc(doc)]
     if key:
         return scores.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
-    dealt = checkpointed(scores.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    counts = {r["_part"]: r["n"] for r in dealt.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # a row for each partition
-    before, at = [F.lit(-1), F.lit(0)], 0
-    for part in sorted(counts):
-        before += [F.lit(part), F.lit(at)]
-        at += counts[part]
-    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return dealt.withColumn("rank", own + F.element_at(F.create_map(*before), F.col("_part"))).drop("_part")
+    return numbered(scores, "rank", *order)
 
 
 # query language ------------------------------------------------------------------------------

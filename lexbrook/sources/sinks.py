@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,18 +54,42 @@ def append_new(df: DataFrame, path: str, key: list[str], order=(), required: lis
     dedup.insert_or_ignore(df, existing, key, list(order) or [F.lit(1)], list(required)).write.mode("append").parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def versions(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
+    """(number, version, place) of all committed versions, the last one at the end."""
+    fs, folder = _files(spark, f"{path}/_commits")
+    if not fs.exists(folder):
+        return []
+    names = sorted(f.getPath().getName() for f in fs.listStatus(folder))
+    return [(int(n), v, f"{path}/v={v}~{u}") for n, v, u in (x.split("~") for x in names if x.count("~") == 2)]
+
+
 def versioned(df: DataFrame, path: str, version: str) -> str:
-    """Write a rebuilt table beside the old one; a failed write leaves the pointer as it was. Returns the place."""
+    """Write a rebuilt table beside the old ones and commit it by creating one empty file, whose name says all, so there is no moment
+    at which no version or half a version counts. A place is never written twice. Returns the place."""
     spark = df.sparkSession
-    place = f"{path}/v={version}"
-    df.write.mode("overwrite").parquet(place)
-    spark.createDataFrame([(version, place)], "version string, place string").coalesce(1).write.mode("overwrite").json(f"{path}/current")
+    if "~" in version or "/" in version:
+        raise ValueError("a version is named without ~ and /")
+    unique = uuid.uuid4().hex
+    place = f"{path}/v={version}~{unique}"
+    df.write.parquet(place)
+    number = max((n for n, _, _ in versions(spark, path)), default=-1) + 1
+    fs, commit = _files(spark, f"{path}/_commits/{number:020d}~{version}~{unique}")
+    fs.create(commit, False).close()
     return place
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(spark.read.json(f"{path}/current").first()["place"])
+    """The version committed last."""
+    if not (known := versions(spark, path)):
+        raise FileNotFoundError(f"no version is committed in {path}")
+    return spark.read.parquet(known[-1][2])
 
 
 def event_log(df: DataFrame, path: str) -> None:
+    """Append events; a write is one job, whose files count together or not at all, and readers ignore what is not committed."""
     df.write.mode("append").parquet(path)

@@ -71,8 +71,13 @@ def run_to_memory(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
     return spark.table(name)
 
 
+def unseen_within(stream: DataFrame, key: str, ts: str = "ts", ttl: str = "7 days") -> DataFrame:
+    """Events whose key has not come within a time: ids are state that expires with the watermark, so a key may come again later."""
+    return stream.withWatermark(ts, ttl).dropDuplicatesWithinWatermark([key])
+
+
 class GapQueue:
-    """The queue of missing decisions, kept in versions: each batch of events writes a new one."""
+    """The queue of missing decisions, kept in versions: each batch of events commits a new one, once."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -80,17 +85,15 @@ class GapQueue:
     def read(self) -> DataFrame:
         from ..sources import sinks
 
-        try:
-            return sinks.current(self.spark, self.path)
-        except Exception as e:  # nothing written yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            return self.spark.createDataFrame([], coverage.QUEUE)
+        known = sinks.versions(self.spark, self.path)
+        return sinks.current(self.spark, self.path) if known else self.spark.createDataFrame([], coverage.QUEUE)
 
     def apply(self, events: DataFrame, epoch: int, now: str) -> None:
-        """Failed (error not null) and done fetches of a batch."""
+        """Failed (error not null) and done fetches of a batch; an epoch that is committed already is not applied again."""
         from ..sources import sinks
 
+        if any(int(v) >= epoch for _, v, _ in sinks.versions(self.spark, self.path)):
+            return
         queue = coverage.apply_failures(self.read(), events.where("error IS NOT NULL"), now)
         sinks.versioned(coverage.apply_resolved(queue, events.where("error IS NULL"), now), self.path, str(epoch))
 
