@@ -7,18 +7,21 @@ of the word alone: p(w|h) = (c(h w) + mu p(w)) / (c(h) + mu), with c(h w) taken
 step and c(h) at the upper end, p(w) = (c(w) + 1) / (N + V + 1). mu = MU c(h) ** POWER follows the number of
 different words seen after h, which grows like a power of its count.
 
-The filter is made of shards by the grams' hashes, each built in one task from a bounded share of
-the corpus and sized for its own grams, so it grows with the corpus. What is broadcast at a time is
-bounded: bigrams' shards are sent in passes of ``pass_bytes`` at most, always with the unigrams'
-(as many as the vocabulary has words, far fewer). A pass scores the tokens whose bigram falls in its
-shards; the passes' sums add up to the text's score.
+The filter is made of shards by the grams' hashes, each built in a task of its own from a bounded share of
+the corpus and sized for its own grams, so it grows with the corpus. Bigrams' shards are broadcast
+in passes of ``pass_bytes`` at most; the driver holds one pass at a time, and each is let go before the next. A
+pass scores the tokens whose bigram falls in its shards; the passes' sums add up to the text's score. The
+unigrams' filter goes along with all passes: it grows with the vocabulary, by about 1.5 to 3 bytes a word,
+and is the one thing here that is sent whole without a fixed bound.
 
 Exact unigram scores come beside it: counts of the ``heavy`` most frequent words are broadcast (a bounded
 table), the other words of a document are joined with their counts by hash.
 
 Words are told apart by 64-bit hashes. Defined results: null is treated as the empty text, which is
 one end token; without training texts every word is unknown (N = V = 0). Rows that share id and
-text have equal results and all stay. Texts are read whole. Other columns are not looked at.
+text have equal results and all stay; an empty table gives no rows. Texts are read whole. Which rows
+teach is the caller's choice; rows with a null id teach like others if they are in ``train``. Other
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -168,7 +171,8 @@ def build_filter(texts: DataFrame, counts: DataFrame, shards: int) -> DataFrame:
 
     schema = "place int, h long, c long"
     found = texts.select("text").mapInArrow(bigrams, schema).unionByName(counts.select("h", "c").unionByName(starts).mapInArrow(unigrams, schema))
-    return checkpointed(found.repartition(shards, "place").mapInArrow(build, "kind int, shard int, bits binary"))
+    # both filters of a shard are one task's
+    return checkpointed(found.repartitionById(shards, F.floor(F.col("place") / 2).cast("int")).mapInArrow(build, "kind int, shard int, bits binary"))
 
 
 class Filter:
@@ -315,7 +319,11 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
     for i, part in enumerate(passes):
         sent = sc.broadcast(collected(1, part))
         schema = f"id {id_name}, th long, score double" + (", n_tokens long, known long, log double" if i == 0 else "")
-        scored.append(rows.select("id", "th", "text").mapInArrow(one_pass(sent, i == 0), schema).withColumn("idh", F.xxhash64("id")))
+        found = rows.select("id", "th", "text").mapInArrow(one_pass(sent, i == 0), schema).withColumn("idh", F.xxhash64("id"))
+        if len(passes) > 1:  # a few numbers a document; then the pass's shards are needed no more
+            found = checkpointed(found)
+            sent.destroy()
+        scored.append(found)
     out = scored[0]
     if scored[1:]:  # each copy of a row adds the same
         rest = reduce(lambda a, b: a.unionByName(b), scored[1:]).groupBy("idh", "th").agg((F.sum("score") / F.count("*") * len(scored[1:])).alias("more"))

@@ -111,8 +111,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log probability of every document, learned from the folds that are not held out."""
+    """Log probability of every document, learned from the folds that are not held out; null ids have no fold and teach nothing."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    fold = F.coalesce(fold_crc("doc_id", 7), F.lit(-1))
-    found = lmscore.score(docs, docs.where(fold != 2))
-    return found.select("doc_id", (fold == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    found = lmscore.score(docs, docs.where(fold_crc("doc_id", 7) != 2))
+    return found.select("doc_id", (F.coalesce(fold_crc("doc_id", 7), F.lit(-1)) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
