@@ -91,18 +91,27 @@ def document_citations(c) -> Column:
 
 
 def amendment_references(c) -> Column:
-    """array<struct<kind, year, page, context, url>>; context: 80 characters on both sides."""
-    around = every(c, rf"(?s).{{0,80}}?{AMENDMENT}(?=(.{{0,80}}))", 0)
-
-    def parts(x):
-        kind, year, page = (F.regexp_extract(x, rf"(?s){AMENDMENT}", k) for k in (1, 2, 3))
+    """array<struct<kind, year, page, context, url>>; context: 80 characters on both sides.
+
+    The text is cut behind each reference, so each piece ends with one, and what follows is the next pieces' beginning.
+    """
+    mark = "\x01"
+    pieces = F.split(F.regexp_replace(F.translate(text(c), mark, " "), AMENDMENT, f"$0{mark}"), mark)
+    ends = F.slice(pieces, 1, F.size(pieces) - 1)
+
+    def parts(x, i):
+        kind, year, page = (F.regexp_extract(x, rf"(?s){AMENDMENT}$", k) for k in (1, 2, 3))
+        n = F.length(kind) + F.length(year) + F.length(page) + 2
+        # a piece has nine characters or more, so ten of them reach far enough
+        before = F.array_join(F.slice(pieces, F.greatest(i - 9, F.lit(1)), F.least(i + 1, F.lit(11))), "")
+        around = F.concat(F.substr(before, F.greatest(F.length(before) - n - 79, F.lit(1))), F.substr(F.array_join(F.slice(pieces, i + 2, 11), ""), F.lit(1), F.lit(80)))
         url = F.lit(None).cast("string")
         for k, form in AMENDMENT_URLS.items():
             head = form.split("{year}")[0]
             url = F.when(kind == k, F.concat(F.lit(head), year, F.lit("/"), page)).otherwise(url)
-        return F.struct(kind.alias("kind"), year.cast("int").alias("year"), page.cast("int").alias("page"), F.trim(F.replace(x, F.lit("\n"), F.lit(" "))).alias("context"), url.alias("url"))
+        return F.struct(kind.alias("kind"), year.cast("int").alias("year"), page.cast("int").alias("page"), F.trim(F.replace(around, F.lit("\n"), F.lit(" "))).alias("context"), url.alias("url"))
 
-    return F.transform(around, parts)
+    return F.transform(ends, parts)
 
 
 def docket_candidates(c) -> Column:
