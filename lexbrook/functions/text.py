@@ -48,6 +48,11 @@ def text(c) -> Column:
     return F.coalesce(col(c), F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 # identifiers ---------------------------------------------------------------------------------
 
 

@@ -76,6 +76,12 @@ def duplicate_groups(df: DataFrame, *keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("decision_id")), "|").alias("ids")).where("n > 1")
 
 
+def count_of_duplicate_groups(df: DataFrame, *keys) -> DataFrame:
+    """(groups, rows): how many keys are there more than once, and how many rows they have; counts only, no lists."""
+    per = df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    return per.agg(F.count("*").alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+
+
 def content_duplicates(df: DataFrame) -> DataFrame:
     hashed = df.where(F.length(text("full_text")) > 0).withColumn("hash", content_hash("full_text"))
     return hashed.groupBy("hash").agg(F.count("*").alias("n"), F.min("decision_id").alias("first_id")).where("n > 1")

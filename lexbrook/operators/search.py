@@ -441,3 +441,15 @@ def find_case(cases: DataFrame, topic: str, difficulty: int | None = None, langu
     scored = topic_scores(cases, topic, language).where("score > 0")
     inside = F.lit(0) if difficulty is None else F.when(F.col("difficulty") <= difficulty, 0).otherwise(1)
     return scored.withColumn("_out", inside).orderBy("_out", F.desc("score"), position).limit(1).drop("_out")
+
+
+def rerank_with(candidates: DataFrame, scorer, top: int = 30, weight: float = 1.4, by: str = "relevance_score", doc: str = "doc") -> DataFrame:
+    """The first candidates with a second opinion: scorer(DataFrame) gives (doc, opinion); the others keep their order below.
+
+    Any model can be plugged in; without one nothing changes.
+    """
+    if scorer is None:
+        return candidates
+    first = candidates.orderBy(F.desc(by), doc).limit(top)
+    opinion = scorer(first).select(doc, "opinion")
+    return candidates.join(F.broadcast(opinion), doc, "left").withColumn(by, F.col(by) + weight * F.coalesce("opinion", F.lit(0.0))).drop("opinion").orderBy(F.desc(by), doc)  # top rows

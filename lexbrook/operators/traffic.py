@@ -64,6 +64,51 @@ def reach(rows: DataFrame, client: str = "client", cohort: str = "cohort", appro
     return rows.groupBy(client).agg(n.alias("n_cohorts"))
 
 
+#: Distinct cohorts of a cell are told exactly up to this number; beyond it the number itself stands for "so many or more".
+EXACT_COHORTS = 50_000
+
+
+def reach_told(rows: DataFrame, client: str = "client", cohort: str = "cohort", most: int = EXACT_COHORTS) -> DataFrame:
+    """The exact reach of each client as it is published: counted in full, told up to a number, with a mark beyond it."""
+    n = F.col("n_cohorts")
+    return reach(rows, client, cohort).select(client, F.least(n, F.lit(most)).alias("n_cohorts"), (n > most).alias("more"))
+
+
+def highest_reach(daily: DataFrame, client: str = "client", n: str = "n_cohorts") -> DataFrame:
+    """The highest daily reach of each client."""
+    return daily.groupBy(client).agg(F.max(n).alias("reach"))
+
+
+def all_clients(*frames: DataFrame) -> DataFrame:
+    """(client) that any of several tables has."""
+    out = frames[0].select("client")
+    for f in frames[1:]:
+        out = out.unionByName(f.select("client"))
+    return out.distinct()
+
+
+def usage_totals(rows: DataFrame, windows: dict[str, Column]) -> DataFrame:
+    """(period, n): the rows within each of several conditions, in one pass."""
+    counts = rows.agg(*(F.count(F.when(c, 1)).alias(k) for k, c in windows.items()))
+    return counts.select(F.explode(F.array(*(F.struct(F.lit(k).alias("period"), F.col(k).alias("n")) for k in windows))).alias("x")).select("x.*")
+
+
+def rates(rows: DataFrame, *keys, ok: Column, empty: Column) -> DataFrame:
+    """Calls by key, and which shares of them went well or came back empty, in per cent."""
+    share = lambda c: F.round(100 * F.count(F.when(c, 1)) / F.count("*"), 2)
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), share(ok).alias("ok_pct"), share(empty).alias("empty_pct"))
+
+
+def feature_usage(rows: DataFrame, today: str, feature: str = "feature", ts: str = "used_at") -> DataFrame:
+    """Uses of each feature today and ever."""
+    day = F.col(ts).cast("string").startswith(today)
+    return rows.groupBy(feature).agg(F.count(F.when(day, 1)).alias("today"), F.count("*").alias("ever"))
+
+
+def last_uses(rows: DataFrame, n: int = 10, ts: str = "used_at", id_col: str = "id") -> DataFrame:
+    return rows.orderBy(F.desc(ts), F.desc(id_col)).limit(n)
+
+
 def status_histogram(rows: DataFrame, status: str = "status") -> DataFrame:
     return rows.groupBy(status_bucket(status).alias("bucket")).agg(F.count("*").alias("n"))
 
@@ -74,12 +119,6 @@ def hourly(rows: DataFrame, ts: str = "ts", last: int = 48) -> DataFrame:
     return h.orderBy(F.desc("hour")).limit(last).orderBy("hour")
 
 
-def by_index(values: str, *shares: float) -> list[Column]:
-    """Percentiles as the element at int(n * share) of the sorted values."""
-    s = F.array_sort(F.collect_list(values))
-    return [F.get(s, F.floor(F.size(s) * p).cast("int")).alias(f"p{round(p * 100)}") for p in shares]
-
-
 def latency_summary(rows: DataFrame, value: str, *keys, shares=(0.5, 0.95, 0.99)) -> DataFrame:
     """Percentiles by index, by counting instead of collecting: places come from a running count of equal values."""
     counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("c"))
