@@ -117,9 +117,9 @@ def articles_with_law(spark, sf_dir):
     return library.with_law(lower, a).select("article_id", "sr_number", "law_title")
 
 
-@query(f"SELECT article_id, sr_number, text FROM ({ARTICLES}) WHERE upper(sr_number) = upper('Brand#13') AND article_num = '7'")
+@query(f"SELECT article_id, sr_number, text FROM ({ARTICLES}) WHERE upper(sr_number) = upper('Brand#10') AND article_num = '6'")
 def law_article(spark, sf_dir):
-    return library.article_of(articles(spark, sf_dir), "Brand#13", "7").select("article_id", "sr_number", "text")
+    return library.article_of(articles(spark, sf_dir), "Brand#10", "6").select("article_id", "sr_number", "text")
 
 
 @query("SELECT CASE doc_id % 4 WHEN 0 THEN 'AS' WHEN 1 THEN 'BBl' WHEN 2 THEN 'FF' ELSE 'RO' END AS kind, count(*) AS n, CAST(min(1990 + doc_id % 30) AS INTEGER) AS first_year, CAST(max(1990 + doc_id % 30) AS INTEGER) AS last_year FROM documents GROUP BY 1")
