@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col, text
+from .text import col, let, text
 
 #: The pattern of a statute reference.
 ORDINAL = r"(?:bis|ter|quater|quinquies|sexies)"
@@ -59,10 +59,14 @@ def statute_references(c) -> Column:
 
 
 def first_by(items: Column, key: str, fields: list[str]) -> Column:
-    """The first struct of each key, in order."""
-    keys = F.transform(items, lambda x: x[key])
-    own = F.filter(F.transform(items, lambda x, i: F.struct(x.alias("x"), (F.array_position(keys, x[key]) == i + 1).alias("first"))), lambda y: y["first"])
-    return F.transform(own, lambda y: F.struct(*(y["x"][f].alias(f) for f in fields)))
+    """The first struct of each key, in order: sorted by key and place, then by place again."""
+
+    def kept(s):
+        marked = F.transform(s, lambda y, j: F.struct(y["i"].alias("i"), y["x"].alias("x"), F.coalesce(F.get(s, j - 1)["k"] != y["k"], F.lit(True)).alias("first")))
+        return F.array_sort(F.filter(marked, lambda y: y["first"]))
+
+    placed = F.transform(items, lambda x, i: F.struct(x[key].alias("k"), i.alias("i"), x.alias("x")))
+    return F.transform(let(F.array_sort(placed), kept), lambda y: F.struct(*(y["x"][f].alias(f) for f in fields)))
 
 
 def normalized_citation(raw) -> Column:

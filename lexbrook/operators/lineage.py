@@ -29,6 +29,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark: SparkSession, name: str, make) -> DataFrame:
+    """A table of the shared folder under a name; made from make() when it is asked for first in this application."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _STORED:
+        path = f"{shared_folder(spark)}/table-{abs(hash(key)):x}"
+        make().write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
 def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
     """df with a number from 1 in the order given, without bringing all rows into one task: rows are dealt out by ranges,
     numbered there and counted; only the counts, one a partition, are collected."""

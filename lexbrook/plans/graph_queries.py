@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import graph
+from ..operators.lineage import stored
 from .base import WITH, decisions
 from .registry import query
 from .text_queries import NORM, A, B, C_, D_, E_
@@ -36,9 +37,10 @@ targets AS (SELECT * FROM p1 UNION ALL SELECT * FROM p2 UNION ALL SELECT * FROM
 
 
 def built(spark, sf_dir):
+    """Decisions, citations and what they resolve to; texts are searched and joined once an application, not once a query."""
     d = decisions(spark, sf_dir)
-    edges = graph.citation_edges(d, F.col("refs"))
-    return d, edges, graph.resolve(edges, graph.vertices(d))
+    edges = stored(spark, f"citations of {sf_dir}", lambda: graph.citation_edges(d, F.col("refs")))
+    return d, edges, stored(spark, f"targets of {sf_dir}", lambda: graph.resolve(edges, graph.vertices(d)))
 
 
 @query("SELECT 'd' || doc_id AS decision_id, unnest(['ART.' || (doc_id % 50 + 1) || '.ABS.' || (doc_id % 4 + 1) || '.OR', 'ART.' || (doc_id % 30 + 1) || '.ZGB']) AS statute_id, 1 AS mention_count FROM documents")
@@ -51,6 +53,25 @@ def citation_edges(spark, sf_dir):
     return graph.citation_edges(decisions(spark, sf_dir), F.col("refs"))
 
 
+#: Whole texts with their references behind them, parsed by both sides.
+BODIES = f"{WITH}, t AS (SELECT decision_id, full_text || chr(10) || refs AS b FROM decisions)"
+REPORT, DOCKET1, DOCKET2, BARE = r"\bBGE\s+\d{1,3}\s+[IVX]{1,4}\s+\d{1,4}\b", r"\b[A-Z0-9]{1,4}[._-]\d{1,6}[/_]\d{4}\b", r"\b[A-Z]{1,6}\.\d{4}\.\d{1,6}\b", r"\b\d{1,3}\s+[IVX]{1,4}\s+\d{1,4}\b"
+
+
+@query(rf"""{BODIES}, c AS (SELECT decision_id, 'bge' AS kind, unnest(regexp_extract_all(b, '(?i){REPORT}')) AS raw FROM t UNION ALL SELECT decision_id, 'docket', unnest(regexp_extract_all(b, '{DOCKET1}') || regexp_extract_all(b, '{DOCKET2}') || regexp_extract_all(regexp_replace(b, '(?i){REPORT}', ' | ', 'g'), '{BARE}')) FROM t),
+    n AS (SELECT decision_id, kind, CASE WHEN kind = 'bge' OR regexp_matches(raw, '^{BARE}$') THEN regexp_replace(upper(raw), '\s+', ' ', 'g') ELSE regexp_replace(regexp_replace(translate(upper(raw), '-./', '___'), '_+', '_', 'g'), '^_+|_+$', '', 'g') END AS ref FROM c)
+    SELECT decision_id AS source_decision_id, ref AS target_ref, min(kind) AS target_type FROM n GROUP BY 1, 2""")
+def citations_of_whole_texts(spark, sf_dir):
+    body = F.concat_ws("\n", "full_text", "refs")
+    return graph.citation_edges(decisions(spark, sf_dir), body).select("source_decision_id", "target_ref", "target_type")
+
+
+@query(rf"""{BODIES}, m AS (SELECT decision_id, unnest(regexp_extract_all(b, '\b(?i:art(?:ikel|icle|icolo)?\.?)\s*\d+\s*(?:Abs\.\s*\d+\s*)?[A-Z][A-Z0-9]{{1,11}}\b')) AS raw FROM t)
+    SELECT DISTINCT decision_id, 'ART.' || regexp_extract(raw, '(?i)art[a-z.]*\s*(\d+)', 1) || CASE WHEN raw LIKE '%Abs.%' THEN '.ABS.' || regexp_extract(raw, 'Abs\.\s*(\d+)', 1) ELSE '' END || '.' || regexp_extract(raw, '([A-Z][A-Z0-9]{{1,11}})$', 1) AS statute_id FROM m""")
+def statutes_of_whole_texts(spark, sf_dir):
+    return graph.statute_edges(decisions(spark, sf_dir), F.concat_ws("\n", "full_text", "refs")).select("decision_id", "statute_id")
+
+
 @query(f"{TARGETS} SELECT src AS source_decision_id, ref AS target_ref, tgt AS target_decision_id, match_type, conf AS confidence_score FROM targets")
 def confidence_score(spark, sf_dir):
     return built(spark, sf_dir)[2]
