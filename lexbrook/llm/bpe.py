@@ -8,7 +8,8 @@ merges. Only words with a failing pair go through exact merging.
 Defined results: a null or empty text has no tokens and decodes to ''. Strings of added tokens
 (such as ``<|endoftext|>``) inside a text become their id, as the tokenizers library does. Any
 text is processed whole. Repeated rows give repeated results; an empty table gives no rows. Of equal
-ranks the leftmost pair is merged first. Columns other than the id and the text are not looked at.
+ranks the leftmost pair is merged first. Columns other than the id, the text and those carried are not
+looked at.
 """
 
 from __future__ import annotations
@@ -286,8 +287,8 @@ def _send(df: DataFrame, tokenizer: str):
     return df.sparkSession.sparkContext.broadcast(raw)
 
 
-def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
-    """(id, ids array<int>) for each row of docs; tokenizer: a file of the tokenizers library on the driver.
+def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False, carry: list[str] | None = None) -> DataFrame:
+    """(id, ids array<int>, carry) for each row of docs; tokenizer: a file of the tokenizers library on the driver.
 
     decoded: also ``decoded``, the text that the ids stand for, by the same worker, so that ids need not
     travel twice.
@@ -307,7 +308,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
 
         return f
 
-    return map_arrow(rows_of(docs, id_col, text_col), make, "ids array<int>" + ", decoded string" * decoded).withColumnRenamed("id", id_col)
+    return map_arrow(rows_of(docs, id_col, text_col, carry), make, "ids array<int>" + ", decoded string" * decoded).withColumnRenamed("id", id_col)
 
 
 def bpe_decode(coded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
