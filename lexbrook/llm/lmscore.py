@@ -27,8 +27,8 @@ columns are not looked at.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -76,23 +76,14 @@ class Tokens:
 
     def __init__(self, texts: list[str | None]):
         words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]  # of bytes, lower() changes A-Z only
-        known: dict[bytes, int] = {END: 0}
         for ws in words:
-            for w in ws:
-                if w not in known:
-                    known[w] = len(known)
-        h = xxhash.xxh64_intdigest
-        self.hashes = np.fromiter((h(w) for w in known), np.uint64, len(known))
-        self.sizes = np.fromiter((len(ws) + 1 for ws in words), np.int64, len(words))
+            ws.append(END)
+        flat = list(chain.from_iterable(words))
+        known = dict.fromkeys(flat)
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
+        self.sizes = np.fromiter(map(len, words), np.int64, len(words))
         self.starts = np.r_[0, np.cumsum(self.sizes)]
-        get = known.__getitem__
-
-        def stream() -> Iterator[int]:
-            for ws in words:
-                yield from map(get, ws)
-                yield 0
-
-        self.index = np.fromiter(stream(), np.int64, int(self.starts[-1]))
+        self.index = np.fromiter(map(dict(zip(known, range(len(known)))).__getitem__, flat), np.int64, len(flat))
 
     def bigrams(self) -> np.ndarray:
         h = self.hashes[self.index]
@@ -214,12 +205,16 @@ HIGH = np.r_[0.0, np.maximum(BASE ** np.arange(1, LEVELS + 1), 1.0)]
 MIDDLE = np.r_[0.0, np.sqrt(BASE ** np.arange(LEVELS) * np.maximum(1.0, np.ceil(BASE ** np.arange(1, LEVELS + 1)) - 1))]
 
 
+#: By the levels of a context and of a pair: the context's count, and mu.
+COUNTS = np.maximum(HIGH[:, None], LOW[None, :])
+MUS = MU * np.maximum(COUNTS, 1.0) ** POWER
+
+
 def log_probabilities(words: np.ndarray, befores: np.ndarray, pairs: np.ndarray, total: float, kinds: float) -> np.ndarray:
     """log10 p of each token from the levels of it, of the token before and of both."""
-    alone = (MIDDLE[words] + 1) / (total + kinds + 1)
-    count = np.maximum(HIGH[befores], LOW[pairs])
-    mu = MU * np.maximum(count, 1.0) ** POWER
-    return np.log10((LOW[pairs] + mu * alone) / (count + mu))
+    alone = (MIDDLE + 1) / (total + kinds + 1)
+    both = befores.astype(np.int64) * COUNTS.shape[1] + pairs
+    return np.log10((LOW[pairs] + MUS.ravel()[both] * alone[words]) * (1 / (COUNTS + MUS)).ravel()[both])
 
 
 def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", pass_bytes: int = PASS_BYTES, heavy: int = HEAVY) -> DataFrame:
@@ -268,28 +263,6 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
     id_name = kind.simpleString()
     rows = _rows(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
 
-    # exact counts of the rarer words, by a join; rows that share id and text are counted by a mark each, and their sums divided by that
-    def rare(batches):
-        known = top_sent.value[0]
-        for b in pieces(batches, "text", PIECE):
-            t = Tokens(b.column(2).to_pylist())
-            signed = t.hashes.view(np.int64)
-            is_rare = ~found_in(known, signed)[0]
-            row = np.repeat(np.arange(b.num_rows), t.sizes)
-            use = is_rare[t.index]
-            pair, n = np.unique(row[use] * len(signed) + t.index[use], return_counts=True)
-            row, word = pair // len(signed), pair % len(signed)
-            marked = np.unique(row)
-            at = pa.array(np.r_[row, marked])
-            h = np.r_[signed[word], b.column(1).to_numpy()[marked]]  # the marks' hashes only spread them
-            yield pa.record_batch([b.column(0).take(at), b.column(1).take(at), pa.array(h), pa.array(np.r_[n, np.zeros(len(marked), np.int64)])], names=["id", "th", "h", "n"])
-
-    lower = rows.select("id", "th", "text").mapInArrow(rare, f"id {id_name}, th long, h long, n long")
-    joined = lower.select(F.xxhash64("id").alias("idh"), "th", "h", "n").join(counts.where(F.col("c") < least), "h", "left")
-    rare_part = joined.groupBy("idh", "th").agg(
-        F.count(F.when(F.col("n") == 0, 1)).alias("copies"), F.sum(F.when(F.col("c").isNotNull(), F.col("n"))).alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_log")
-    )
-
     def one_pass(sent, first: bool):
         def run(batches):
             single, f = alone.value, sent.value
@@ -308,34 +281,40 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
                 cut = t.starts[:-1]
                 columns = [np.add.reduceat(logs, cut)]
                 if first:
-                    there, k = found_in(known, t.hashes.view(np.int64))
-                    own = np.where(there, known_c[k] if len(known) else 0, 0)[t.index]
-                    columns += [t.sizes, np.add.reduceat(own > 0, cut, dtype=np.int64), np.add.reduceat(np.log10(own + 1.0), cut)]
-                yield pa.record_batch([b.column(0), b.column(1), *map(pa.array, columns)], names=["id", "th", "score", "n_tokens", "known", "log"][: 2 + len(columns)])
+                    signed = t.hashes.view(np.int64)
+                    there, k = found_in(known, signed)
+                    own = np.where(there, known_c[k] if len(known) else 0, 0)
+                    columns += [t.sizes, np.add.reduceat((own > 0)[t.index], cut, dtype=np.int64), np.add.reduceat(np.log10(own + 1.0)[t.index], cut)]
+                    # the rarer words of each text with their numbers, for a join with their exact counts
+                    use = np.flatnonzero(~there[t.index])
+                    row = np.searchsorted(t.starts, use, "right") - 1
+                    pair, n = np.unique(row * len(signed) + t.index[use], return_counts=True)
+                    ends = pa.array(np.searchsorted(pair // len(signed), np.arange(b.num_rows + 1)).astype(np.int32))
+                    columns += [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (signed[pair % len(signed)], n.astype(np.int32))]
+                yield pa.record_batch([b.column(0), b.column(1), *(c if isinstance(c, pa.Array) else pa.array(c) for c in columns)], names=["id", "th", "score", "n_tokens", "known", "log", "rare", "times"][: 2 + len(columns)])
 
         return run
 
     scored = []
     for i, part in enumerate(passes):
         sent = sc.broadcast(collected(1, part))
-        schema = f"id {id_name}, th long, score double" + (", n_tokens long, known long, log double" if i == 0 else "")
+        schema = f"id {id_name}, th long, score double" + (", n_tokens long, known long, log double, rare array<long>, times array<int>" if i == 0 else "")
+        # a few numbers and the rare words of a document; then the pass's shards are needed no more
         found = rows.select("id", "th", "text").mapInArrow(one_pass(sent, i == 0), schema).withColumn("idh", F.xxhash64("id"))
-        if len(passes) > 1:  # a few numbers a document; then the pass's shards are needed no more
-            found = checkpointed(found)
-            sent.destroy()
-        scored.append(found)
+        scored.append(checkpointed(found.withColumn("row", F.monotonically_increasing_id()) if i == 0 else found))
+        sent.destroy()
     out = scored[0]
+    lower = out.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("h"), F.col("x.times").alias("n"))
+    joined = lower.join(counts.where(F.col("c") < least), "h").groupBy("row").agg(F.sum("n").alias("rare_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("rare_log"))
     if scored[1:]:  # each copy of a row adds the same
         rest = reduce(lambda a, b: a.unionByName(b), scored[1:]).groupBy("idh", "th").agg((F.sum("score") / F.count("*") * len(scored[1:])).alias("more"))
         out = out.join(rest, ["idh", "th"]).withColumn("score", F.col("score") + F.col("more"))
-    out = out.join(rare_part, ["idh", "th"], "left")
-    copies = F.coalesce("copies", F.lit(1))
-    return out.select(
+    return out.join(joined, "row", "left").select(
         F.col("id").alias(id_col),
         "n_tokens",
-        (F.col("known") + F.coalesce(F.col("rare_known") / copies, F.lit(0))).cast("long").alias("n_known"),
+        (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("log") + F.coalesce(F.col("rare_log") / copies, F.lit(0.0)) - F.col("n_tokens") * math.log10(total + kinds + 1)).alias("base_score"),
+        (F.col("log") + F.coalesce("rare_log", F.lit(0.0)) - F.col("n_tokens") * math.log10(total + kinds + 1)).alias("base_score"),
         "score",
     )
 
