@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import graph
+from ..operators import graph, search
 from ..operators.lineage import stored
 from .base import WITH, decisions
 from .registry import query
+from .search_queries import TEXT_ONLY, TOK, indexed
 from .text_queries import NORM, A, B, C_, D_, E_
 
 EDGES = f"""{WITH}, nodes AS (SELECT decision_id, court, canton, decision_date, {NORM} AS docket_norm FROM decisions),
@@ -118,23 +119,6 @@ def citations_of(spark, sf_dir):
     return graph.citations_of(edges, targets, "d5", limit=None).select("direction", "other", "target_ref")
 
 
-PRIOR = "SELECT doc_id AS a, doc_id - doc_id % 7 - 1 AS b FROM documents WHERE doc_id % 7 <> 0 AND doc_id - doc_id % 7 - 1 >= 0"
-
-
-@query(
-    f"""WITH RECURSIVE prior AS (SELECT 'd' || a AS a, 'd' || b AS b FROM ({PRIOR})), start AS (SELECT 'd' || doc_id AS s FROM documents WHERE doc_id % 100 = 9),
-    up AS (SELECT s, s AS id, 0 AS k FROM start UNION ALL SELECT up.s, prior.b, up.k - 1 FROM up JOIN prior ON prior.a = up.id WHERE up.k > -10),
-    down AS (SELECT s, s AS id, 0 AS k FROM start UNION ALL SELECT down.s, prior.a, down.k + 1 FROM down JOIN prior ON prior.b = down.id WHERE down.k < 10),
-    w AS (SELECT s, id, max(k) AS k FROM up GROUP BY s, id UNION SELECT s, id, min(k) FROM down GROUP BY s, id)
-    SELECT s AS start, id AS decision_id, CAST(k AS INT) AS distance FROM w"""
-)
-def appeal_chain_recursive(spark, sf_dir):
-    d = decisions(spark, sf_dir)
-    k = F.col("doc_id") - F.col("doc_id") % 7 - 1
-    prior = d.where((F.col("doc_id") % 7 != 0) & (k >= 0)).select("decision_id", F.concat(F.lit("d"), k.cast("string")).alias("prior_id"))
-    return graph.appeal_chain(prior, d.where("doc_id % 100 = 9").select("decision_id"), depth=10)  # as its SQL does
-
-
 INSTANCES = "SELECT doc_id AS a, doc_id - 1 AS b FROM documents WHERE doc_id % 16 <> 0 AND doc_id >= 1"
 
 
@@ -152,7 +136,9 @@ def appeal_chain_whole(spark, sf_dir):
     return graph.appeal_chain(prior, linked)
 
 
-@query(f"{WITH} SELECT substring(decision_date, 1, 4) AS year, count(*) AS n FROM decisions WHERE doc_id % 3 = 0 AND regexp_matches(substring(decision_date, 1, 4), '^[0-9]{{4}}$') GROUP BY 1")
-def trend(spark, sf_dir):
-    d = decisions(spark, sf_dir)
-    return graph.trend(d, d.where("doc_id % 3 = 0"))
+@query(f"""{WITH}, w AS (SELECT doc_id, {TOK} AS t FROM documents) SELECT substring(decision_date, 1, 4) AS year, count(*) AS n FROM decisions JOIN w USING (doc_id)
+    WHERE (list_contains(t, 'trash') OR list_contains(t, 'der')) AND regexp_matches(substring(decision_date, 1, 4), '^[0-9]{{4}}$') GROUP BY 1""")
+def trend_of_search(spark, sf_dir):
+    """Decisions by year that a search finds, all of them."""
+    found = search.search(decisions(spark, sf_dir), "trash OR der", TEXT_ONLY, limit=None, index=indexed(spark, sf_dir))
+    return graph.trend(decisions(spark, sf_dir), found.select(F.col("doc").alias("decision_id")))

@@ -47,7 +47,12 @@ def reach_hll(spark, sf_dir):
     return traffic.reach(log(spark, sf_dir), approximate=True)
 
 
-@query()
+@query(
+    f"""WITH {LOG}, h AS (SELECT client, ('0x' || substring(sha256(cohort), 1, 16))::UBIGINT AS h FROM log), g AS (SELECT client, h & 4095 AS reg, h >> 12 AS rest FROM h),
+    r AS (SELECT client, reg, max(CASE WHEN rest = 0 THEN 53 ELSE bit_count(xor(rest::BIGINT, rest::BIGINT - 1)) END) AS r FROM g GROUP BY 1, 2),
+    s AS (SELECT client, sum(pow(2.0, -r)) AS s, count(*) AS used FROM r GROUP BY 1), e AS (SELECT client, used, (0.7213 / (1 + 1.079 / 4096)) * 4096 * 4096 / (s + (4096 - used)) AS raw FROM s)
+    SELECT client, CAST(round(CASE WHEN raw <= 10240 AND used < 4096 THEN 4096.0 * ln(4096.0 / (4096 - used)) ELSE raw END) AS BIGINT) AS estimate FROM e"""
+)
 def hyperloglog(spark, sf_dir):
     return traffic.hyperloglog(log(spark, sf_dir), "client", "cohort")
 
