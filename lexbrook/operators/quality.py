@@ -72,10 +72,23 @@ def failed_gates(df: DataFrame, limit: str, max_date_pct: float, max_text_pct: f
 
 
 def duplicate_groups(df: DataFrame, *keys) -> DataFrame:
-    """Keys that more than one row has, with their rows' ids."""
+    """Keys that more than one row has, with their rows' ids in one text: for reports, where groups are small. Where a key may have a
+    large share of all rows, ``duplicate_members`` says the same without a list."""
     return df.groupBy(*keys).agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("decision_id")), "|").alias("ids")).where("n > 1")
 
 
+def duplicate_counts(df: DataFrame, *keys) -> DataFrame:
+    """Keys that more than one row has; counted before rows meet, so a common key does no harm."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def duplicate_members(df: DataFrame, *keys) -> DataFrame:
+    """(keys, decision_id, representative) of each row that shares its key; the representative is the least id. Null keys are shared like others."""
+    least = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("decision_id").alias("representative")).where("_n > 1").drop("_n")
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
+    return df.alias("d").join(least.alias("g"), same).select(*(F.col(f"d.{k}") for k in keys), "d.decision_id", "g.representative")
+
+
 def count_of_duplicate_groups(df: DataFrame, *keys) -> DataFrame:
     """(groups, rows): how many keys are there more than once, and how many rows they have; counts only, no lists."""
     per = df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")

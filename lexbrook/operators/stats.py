@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import text
+from .lineage import numbered
 
 FIRST_DATE = "1800-01-01"
 
@@ -102,18 +103,8 @@ def page_of(df: DataFrame, order: list[Column], size: int) -> DataFrame:
 
     Places come from the sizes of the ranges, so no task sees all rows.
     """
-    spark = df.sparkSession
-    parts = max(2, df.rdd.getNumPartitions())
-    ranged = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    ranged = ranged.persist()
-    sizes = {r["_part"]: r["n"] for r in ranged.groupBy("_part").agg(F.count("*").alias("n")).collect()}
-    before, total = {}, 0
-    for p in sorted(sizes):
-        before[p], total = total, total + sizes[p]
-    offsets = spark.createDataFrame([(p, b) for p, b in before.items()] or [(0, 0)], "_part int, _before long")
-    w = Window.partitionBy("_part").orderBy(*order)
-    place = ranged.join(F.broadcast(offsets), "_part").withColumn("place", F.col("_before") + F.row_number().over(w) - 1)
-    return place.withColumn("page", F.floor(F.col("place") / size)).drop("_part", "_before")
+    place = numbered(df, "place", *order).withColumn("place", F.col("place") - 1)
+    return place.withColumn("page", F.floor(F.col("place") / size))
 
 
 def sitemap_chunks(df: DataFrame, size: int, *keys) -> DataFrame:

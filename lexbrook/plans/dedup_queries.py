@@ -119,4 +119,9 @@ def duplicate_groups(spark, sf_dir):
 
 @query(f"{WITH}, g AS (SELECT court, docket_number, count(*) AS n FROM decisions GROUP BY court, docket_number HAVING count(*) > 1) SELECT court, count(*) AS groups, CAST(sum(n - 1) AS BIGINT) AS superfluous FROM g GROUP BY court")
 def duplicates_by_court(spark, sf_dir):
-    return quality.duplicates_by_court(quality.duplicate_groups(decisions(spark, sf_dir), "court", "docket_number"))
+    return quality.duplicates_by_court(quality.duplicate_counts(decisions(spark, sf_dir), "court", "docket_number"))
+
+
+@query(f"{WITH}, g AS (SELECT court, docket_number, min(decision_id) AS representative FROM decisions GROUP BY court, docket_number HAVING count(*) > 1) SELECT court, docket_number, decision_id, representative FROM decisions JOIN g USING (court, docket_number)")
+def duplicate_members(spark, sf_dir):
+    return quality.duplicate_members(decisions(spark, sf_dir), "court", "docket_number")
