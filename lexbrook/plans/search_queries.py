@@ -144,7 +144,22 @@ def chunk_knn(spark, sf_dir):
     return vectors.best_chunk(e, q, 40, "doc_of").select("doc", F.round("distance", 5).alias("distance")).orderBy("distance", "doc").limit(10)
 
 
-@query()
+HEADING = structure.SECTION.removeprefix("(?dimuU)")
+TRIMMED = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
+
+
+@query(
+    rf"""WITH d AS (SELECT 'd' || doc_id AS decision_id, text AS t FROM documents WHERE text <> ''),
+    s AS (SELECT *, string_split(regexp_replace(t, '(?im){HEADING}', chr(1) || '\0', 'g'), chr(1)) AS raw, [x for x in list_transform(regexp_split_to_array(t, '\n\s*\n'), lambda x: {TRIMMED.format("x")}) if x <> ''] AS ps FROM d),
+    k AS (SELECT *, list_filter(list_transform(range(1, len(raw) + 1), lambda i: CASE WHEN (i = 1 AND length(raw[i]) > 50) OR (i > 1 AND length({TRIMMED.format("raw[i]")}) >= 50) THEN {TRIMMED.format("raw[i]")} END), lambda x: x IS NOT NULL) AS sec,
+        list_transform(range(1, len(ps) + 1), lambda i: list_sum(list_transform(ps[1:i], lambda x: length(x)))) AS c FROM s),
+    b AS (SELECT *, list_min(list_filter(range(1, len(ps)), lambda i: c[i] >= c[len(ps)] // 3)) AS s1 FROM k),
+    e AS (SELECT *, list_min(list_filter(range(1, len(ps)), lambda i: i > s1 AND c[i] - c[s1] >= c[len(ps)] // 3)) AS s2 FROM b),
+    p AS (SELECT *, CASE WHEN len(ps) <= 3 THEN ps WHEN s1 IS NULL THEN [array_to_string(ps, chr(10) || chr(10))] WHEN s2 IS NULL THEN [array_to_string(ps[1:s1], chr(10) || chr(10)), array_to_string(ps[s1 + 1:len(ps)], chr(10) || chr(10))]
+        ELSE [array_to_string(ps[1:s1], chr(10) || chr(10)), array_to_string(ps[s1 + 1:s2], chr(10) || chr(10)), array_to_string(ps[s2 + 1:len(ps)], chr(10) || chr(10))] END AS runs FROM e),
+    f AS (SELECT decision_id, CASE WHEN length(t) < 100 THEN [t] WHEN len(raw) > 1 AND len(sec) > 1 THEN sec[1:3] WHEN len(runs) > 1 THEN runs ELSE [t, substring(t, length(t) // 3 + 1, 500), substring(t, 2 * length(t) // 3 + 1, 500)] END AS cs FROM p)
+    SELECT decision_id, unnest(range(len(cs))) AS position, unnest(list_transform(cs, lambda x: substring(x, 1, 500))) AS chunk FROM f"""
+)
 def chunk_explode(spark, sf_dir):
     return structure.chunk_table(decisions(spark, sf_dir))
 
