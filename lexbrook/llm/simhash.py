@@ -46,6 +46,8 @@ BLOCK = 4096
 HELD = 1 << 16
 #: Bits of a second plane that are looked at beside a place's own.
 CHECKED = 48
+#: Steps of distance in which a place's groups are joined, the nearest first.
+STEPS = 6
 #: Crowded places that are broadcast at most; more of them are joined by a shuffle.
 MOST_SENT = 100_000
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -107,41 +109,43 @@ def variants(n: int) -> list[int]:
     return [signed(m & ~(1 << i)) for m in segments(n) for i in range(BITS) if m >> i & 1]
 
 
-def linked(place: np.ndarray, planes: list[np.ndarray], key: np.ndarray, group: np.ndarray, most: int, forest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of keys (a, b) of the same place and different groups whose planes differ in ``most`` bits or fewer together.
-
-    Rows are sorted by place. forest: pairs that join two groups of the place, after which these are one; else all pairs.
-    """
+def linked(place: np.ndarray, planes: list[np.ndarray], key: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of keys (a, b) of the same place whose planes differ in ``most`` bits or fewer together: those that join two groups
+    of the place, after which these are one, nearer pairs first. Rows are sorted by place."""
     n = len(place)
     start = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if n else np.zeros(0, np.int64)
     size = np.diff(np.r_[start, n])
-    left = np.repeat(start + size, size) - np.arange(n)  # rows of the place from here on, this one included
-    # labels are told apart within a place: the first row of each group there
-    order = np.lexsort((group, place))
-    new = np.r_[True, (place[order][1:] != place[order][:-1]) | (group[order][1:] != group[order][:-1])] if n else np.zeros(0, bool)
-    label = np.empty(n, np.int64)
-    label[order] = order[new][np.cumsum(new) - 1]
-    at = np.flatnonzero(left > 1)
-    ends = start + size
-    for d in range(1, int(size.max(initial=1))):
-        at = at[left[at] > d]
-        near = at[label[at] != label[at + d]]
-        differ = np.zeros(len(near), np.int64)
-        for x in planes:
-            differ += np.bitwise_count(x[near] ^ x[near + d])
-        near = near[differ <= most]
-        if forest:
+    of = np.repeat(np.arange(len(start)), size)
+    left = (start + size)[of] - np.arange(n) if n else start  # rows of the place from here on, this one included
+    label = np.arange(n)
+
+    def near(rows: np.ndarray, limit: int) -> Iterator[tuple[int, np.ndarray]]:
+        """By distance in the table, the rows whose partner that far on is within the limit and has another label."""
+        for d in range(1, int(size.max(initial=1))):
+            rows = rows[left[rows] > d]
+            other = rows[(label[rows] != label[rows + d]) & (key[rows] != key[rows + d])]
+            differ = np.zeros(len(other), np.int64)
+            for x in planes:
+                differ += np.bitwise_count(x[other] ^ x[other + d])
+            yield d, other[differ <= limit]
+
+    met = np.zeros(len(start), bool)  # places with any pair; few, so that only they are looked at again
+    for _, found in near(np.flatnonzero(left > 1), most):
+        met[of[found]] = True
+    rows = np.flatnonzero(met[of]) if n else start
+    for step in range(1, STEPS + 1) if most >= STEPS * 2 else [STEPS]:
+        for d, found in near(rows, most * step // STEPS):
             kept = []
-            for i in near.tolist():
+            for i in found.tolist():
                 a, b = label[i], label[i + d]
                 if a != b:
-                    k = np.searchsorted(start, i, "right") - 1
-                    own = label[start[k] : ends[k]]
+                    k = of[i]
+                    own = label[start[k] : start[k] + size[k]]
                     own[own == max(a, b)] = min(a, b)
                     kept.append(i)
-            near = np.array(kept, np.int64)
-        if len(near):
-            yield key[near], key[near + d]
+            if kept:
+                at = np.array(kept, np.int64)
+                yield key[at], key[at + d]
 
 
 def crowded_places(nodes: DataFrame, planes: int, cut: int, block: int) -> DataFrame:
@@ -159,18 +163,18 @@ def crowded_places(nodes: DataFrame, planes: int, cut: int, block: int) -> DataF
     return at.select(slot.alias("slot"), rest.alias("rest"), "n").groupBy("slot", "rest").agg(F.ceil(2 * F.max("n") / block).cast("int").alias("blocks"))
 
 
-def meet(nodes: DataFrame, planes: int, cut: int, most: int, forest: bool, block: int = BLOCK) -> DataFrame:
+def meet(nodes: DataFrame, planes: int, cut: int, most: int, block: int = BLOCK) -> DataFrame:
     """(a, b): pairs of keys that meet at a place and differ in ``most`` of the bits looked at or fewer (see ``linked``).
 
-    nodes: (key, planes array<long>, group). A row for each plane and bit left out holds that plane, the key and, if there are
+    nodes: (key, planes array<long>). A row for each plane and bit left out holds that plane, the key and, if there are
     more planes, CHECKED bits of the next one, which are looked at as well.
     """
     masks = F.lit(variants(cut))
     plane = F.floor(F.col("slot") / BITS).cast("int")
-    every = nodes.select("key", "planes", *([] if forest else ["group"]), F.explode(F.sequence(F.lit(0), F.lit(planes * BITS - 1))).alias("slot"))
+    every = nodes.select("key", "planes", F.explode(F.sequence(F.lit(0), F.lit(planes * BITS - 1))).alias("slot"))
     check = F.get("planes", (plane + 1) % planes) if planes > 1 else F.lit(0).cast("long")
     tag = F.shiftleft(check, BITS - CHECKED).bitwiseOR(F.col("slot"))
-    rows = every.select(tag.alias("tag"), F.get("planes", plane).alias("x"), *every.columns[:1], *([] if forest else ["group"]))
+    rows = every.select(tag.alias("tag"), F.get("planes", plane).alias("x"), "key")
     slot = F.col("tag").bitwiseAND((1 << BITS - CHECKED) - 1).cast("int")
     rest = F.col("x").bitwiseAND(F.element_at(masks, slot % BITS + 1))
     crowded = checkpointed(crowded_places(nodes, planes, cut, block))
@@ -189,10 +193,10 @@ def meet(nodes: DataFrame, planes: int, cut: int, most: int, forest: bool, block
         n_held = 0
 
         def found(t: pa.Table):
-            slot, rest, pair, tag, x, key, *group = (t.column(i).to_numpy() for i in range(t.num_columns))
+            slot, rest, pair, tag, x, key = (t.column(i).to_numpy() for i in range(t.num_columns))
             place = np.cumsum(np.r_[False, (slot[1:] != slot[:-1]) | (rest[1:] != rest[:-1]) | (pair[1:] != pair[:-1])])
             looked = [x.view(np.uint64), *([tag.view(np.uint64)] if planes > 1 else [])]  # the slots of a place are equal
-            for a, b in linked(place, looked, key, group[0] if group else key, most, forest):
+            for a, b in linked(place, looked, key, most):
                 yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
         for b in batches:
@@ -219,7 +223,7 @@ def links(distinct: DataFrame, max_bits: int, block: int = BLOCK) -> DataFrame:
     """(a, b): edges between different fingerprints (fp) whose components are those of all links of max_bits."""
     if max_bits < 1:
         return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    return meet(distinct.select(F.col("fp").alias("key"), F.array("fp").alias("planes")), 1, max_bits // 2 + 1, max_bits, True, block)
+    return meet(distinct.select(F.col("fp").alias("key"), F.array("fp").alias("planes")), 1, max_bits // 2 + 1, max_bits, block)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_bits: int = 4, seed: int = 42, block: int = BLOCK) -> DataFrame:
@@ -254,13 +258,14 @@ def shape(n: int, least: float, recall: float = 0.999, block: int = BLOCK) -> tu
     return math.ceil(math.log(1 - recall) / math.log(1 - meets) / cut), cut
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, recall: float = 0.999, block: int = BLOCK, cut: tuple[int, int] | None = None) -> DataFrame:
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, recall: float = 0.999, block: int = BLOCK, sets_in_block: int = 512, cut: tuple[int, int] | None = None) -> DataFrame:
     """(id, group, text_hash) for each row of docs; group is the same just for rows that are linked.
 
-    Candidates are pairs that meet in the index and differ, in the planes looked at, in no more bits than pairs of
-    Jaccard ``least`` do but for one in ten thousand; each place first proposes what joins its groups, then, once these are verified,
-    all pairs that still are in different groups. ``recall`` is that of a pair of just ``least``; likelier pairs are
-    found more surely. cut: (planes, segments of each), by default as ``shape`` says.
+    Candidates are pairs that meet in the index and differ in no more bits than pairs of Jaccard ``least`` do but for one in ten
+    thousand; candidates that are connected form a family. Sets of a family's texts meet in one task (of a large family in blocks, each
+    two of them in a task of its own) and are compared there exactly, so what leaves a task is only what joins two groups.
+    ``recall`` is that a pair of just ``least`` meets; likelier pairs are found more surely. cut: (planes, segments of each), by
+    default as ``shape`` says.
     """
 
     def printed(planes: int):
@@ -284,30 +289,60 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     looked = BITS + CHECKED * (planes > 1)
     p = share_of_bits(least)
     most = math.ceil(p * looked + 3.72 * math.sqrt(p * (1 - p) * looked))
-    sized = nodes.select("key", "n", "text_hash")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose whole sets have a Jaccard of least or more; only texts of some pair are read again."""
-        x, y = (sized.select(F.col("key").alias(k), F.col("n").alias(f"n_{k}"), F.col("text_hash").alias(f"h_{k}")) for k in "ab")
-        fit = checkpointed(pairs.join(x, "a").join(y, "b").where(f"least(n_a, n_b) >= {least} * greatest(n_a, n_b)"))
-        shown = fit.select(F.explode(F.array("h_a", "h_b")).alias("carry")).distinct()
-        texts = rows.join(shown, "carry", "left_semi").select("id", "text", "carry").dropDuplicates(["carry"])
-        sets = checkpointed(map_arrow(texts, lambda: listed, "key long, shingles array<long>").select("key", "shingles").dropDuplicates(["key"]))
-        s, t = (sets.select(F.col("key").alias(k), F.col("shingles").alias(f"shingles_{k}")) for k in "ab")
-        both = fit.select("a", "b", "n_a", "n_b").join(t, "b").join(s, "a").withColumn("shared", F.size(F.array_intersect("shingles_a", "shingles_b")))
-        return checkpointed(both.where(F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared")) >= least).select("a", "b"))
-
-    near = checkpointed(meet(nodes, planes, segs, most, True, block))
-    first = verified(near)
-    roots = connected_components(first).withColumnRenamed("node", "key")
-    # a text that no place proposed for any pair is in no pair
-    paired = near.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    grouped = checkpointed(nodes.join(paired, "key", "left_semi").join(roots, "key", "left").select("key", "planes", F.coalesce("root", "key").alias("group")))
-    rest = verified(meet(grouped, planes, segs, most, False, block).join(near, ["a", "b"], "left_anti"))
-    roots = connected_components(first.unionByName(rest)).withColumnRenamed("node", "key")
+    whole = BITS * planes
+    most_in_all = math.ceil(p * whole + 3.72 * math.sqrt(p * (1 - p) * whole))
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """The pairs that are near in all planes; this leaves nearly none that met by chance, so few sets are compared."""
+        x, y = (nodes.select(F.col("key").alias(k), F.col("planes").alias(f"p_{k}")) for k in "ab")
+        differ = F.aggregate(F.zip_with("p_a", "p_b", lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda n, d: n + d)
+        return pairs.join(x, "a").join(y, "b").where(differ <= most_in_all).select("a", "b")
+
+    tried = checkpointed(alike(meet(nodes, planes, segs, most, block)))
+    families = checkpointed(connected_components(tried).select(F.col("node").alias("key"), F.col("root").alias("family")))
+    blocks = checkpointed(families.groupBy("family").agg(F.ceil(F.count("*") / sets_in_block).cast("int").alias("blocks")))
+    members = checkpointed(families.join(blocks, "family").join(nodes.select("key", "text_hash"), "key"))
+    shown = members.select(F.col("text_hash").alias("carry")).distinct()
+    texts = rows.join(F.broadcast(shown) if members.count() <= MOST_SENT else shown, "carry", "left_semi").select("id", "text", "carry").dropDuplicates(["carry"])
+    sets = map_arrow(texts, lambda: listed, "key long, shingles array<long>").select("key", "shingles").dropDuplicates(["key"])
+    own = F.pmod(F.xxhash64("key"), "blocks").cast("int")
+    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda q: F.least(own, q) * F.col("blocks") + F.greatest(own, q))
+    met = members.join(sets, "key").select("family", F.explode(pair).alias("pair"), "key", "shingles")
+    links = checkpointed(met.groupBy("family", "pair").applyInArrow(lambda t: joined(t, least), "a long, b long").distinct())
+    roots = connected_components(links).withColumnRenamed("node", "key")
     return prints.join(roots, "key", "left").select(F.col("id").alias(id_col), F.coalesce("root", "key").alias("group"), "text_hash")
 
 
+def joined(met: pa.Table, least: float) -> pa.Table:
+    """Links (a, b) between sets (key, shingles): enough to join all that have a pair of a Jaccard of ``least`` or more.
+
+    Each set is counted against the later ones by way of the shingles that it shares with them, nothing is counted twice.
+    """
+    keys = met["key"].to_numpy()
+    lists = met["shingles"].combine_chunks()
+    sizes = lists.value_lengths().to_numpy().astype(np.int64)
+    words = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
+    ends = np.cumsum(sizes)
+    order = np.argsort(words, kind="stable")  # so owners of a shingle stand in order
+    owner, cuts = np.repeat(np.arange(len(keys)), sizes)[order], np.searchsorted(words[order], np.arange(words.max(initial=-1) + 2))
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words))  # where each shingle of each set stands among its owners
+    label = np.arange(len(keys))
+    found: list[tuple[int, int]] = []
+    for i in range(len(keys) - 1):
+        own = np.arange(ends[i] - sizes[i], ends[i])
+        begin, n = place[own] + 1, cuts[words[own] + 1] - place[own] - 1  # the owners behind this set
+        at = np.repeat(begin - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        shared = np.bincount(owner[at], minlength=len(keys))[i + 1 :]
+        union = sizes[i] + sizes[i + 1 :] - shared
+        for j in (np.flatnonzero((shared >= least * union) & (label[i + 1 :] != label[i])) + i + 1).tolist():
+            a, b = label[i], label[j]
+            if a != b:
+                label[label == max(a, b)] = min(a, b)
+                found.append((int(min(keys[i], keys[j])), int(max(keys[i], keys[j]))))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of docs without near copies: of each group of near_copies the one of least id (of equal ids, of
     the least text hash; a null id only in a group without another). All columns stay."""
