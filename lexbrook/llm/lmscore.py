@@ -28,10 +28,10 @@ from __future__ import annotations
 
 import math
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,16 +74,20 @@ END_HASH = np.uint64(xxhash.xxh64_intdigest(END))
 class Tokens:
     """The tokens of some texts in a row: distinct hashes, each token's index in them, where texts begin."""
 
-    def __init__(self, texts: list[str | None]):
-        words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]  # of bytes, lower() changes A-Z only
-        for ws in words:
-            ws.append(END)
-        flat = list(chain.from_iterable(words))
-        known = dict.fromkeys(flat)
+    def __init__(self, texts: pa.Array):
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))  # A-Z only; at either end of a text there may be empty words
+        flat = lists.flatten()
+        kept = pc.binary_length(flat).to_numpy() > 0
+        row = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy())[kept]
+        words = flat.filter(pa.array(kept)).dictionary_encode()
+        known = [END, *words.dictionary.cast(pa.binary()).to_pylist()]
         self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
-        self.sizes = np.fromiter(map(len, words), np.int64, len(words))
+        self.sizes = np.bincount(row, minlength=len(texts)) + 1
         self.starts = np.r_[0, np.cumsum(self.sizes)]
-        self.index = np.fromiter(map(dict(zip(known, range(len(known)))).__getitem__, flat), np.int64, len(flat))
+        inside = np.ones(self.starts[-1], bool)
+        inside[self.starts[1:] - 1] = False
+        self.index = np.zeros(self.starts[-1], np.int64)
+        self.index[inside] = words.indices.to_numpy() + 1
 
     def bigrams(self) -> np.ndarray:
         h = self.hashes[self.index]
@@ -102,7 +106,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in pieces(batches, "text", PIECE):
-            t = Tokens(b.column(0).to_pylist())
+            t = Tokens(b.column(0))
             yield pa.record_batch([pa.array(t.hashes.view(np.int64)), pa.array(np.bincount(t.index, minlength=len(t.hashes)))], names=["h", "c"])
 
     counted = texts.select("text").mapInArrow(run, "h long, c long").where("c > 0")
@@ -136,7 +140,7 @@ def build_filter(texts: DataFrame, counts: DataFrame, shards: int) -> DataFrame:
 
     def bigrams(batches):
         for b in pieces(batches, "text", PIECE):
-            yield frame(1, *np.unique(Tokens(b.column(0).to_pylist()).bigrams(), return_counts=True))
+            yield frame(1, *np.unique(Tokens(b.column(0)).bigrams(), return_counts=True))
 
     starts = counts.where(F.col("h") == int(END_HASH.astype(np.int64))).select(F.lit(int(START_HASH.astype(np.int64))).alias("h"), "c")  # as many as ends
 
@@ -269,7 +273,7 @@ def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: s
             known, known_c = top_sent.value
             start_level = single.levels(mix(np.array([START_HASH])))
             for b in pieces(batches, "text", PIECE):
-                t = Tokens(b.column(2).to_pylist())
+                t = Tokens(b.column(2))
                 word = single.levels(mix(t.hashes))[t.index]
                 before = np.empty_like(word)
                 before[1:] = word[:-1]

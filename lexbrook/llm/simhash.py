@@ -14,7 +14,7 @@ no pair is left out.
 
 ``near_duplicates`` links fingerprints by their bits. ``near_copies`` links texts whose sets of
 shingles have a Jaccard of ``least`` or more: candidates come from the same index, cut as ``shape`` says,
-and every link is verified exactly on the whole sets.
+and are compared exactly on the whole sets, family by family.
 
 Defined results: null is treated as the empty text; a text without words has fingerprint zero and is
 linked like any other (near_copies: all texts without words are one group); with fewer words than a
