@@ -25,6 +25,9 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Bits of a packed k-gram for its place, as many as an array can have places; the rest are of its hash, which only proposes.
 PLACE_BITS = 31
 
+#: Items that a file of the checkpoint holds, about.
+ITEMS_IN_FILE = 20_000
+
 
 def words_of(text: Column) -> Column:
     """Lower-cased words; A-Z only."""
@@ -67,7 +70,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, k: int = 5, window: int = 6
     more = [F.col("text").alias("own"), "carry"] if carry else []
     asked = items.select(F.col(item_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("item_words")).where(F.size("item_words") > 0)
     # equal items are looked for once
-    texts = checkpointed(asked.groupBy("item_words").agg(F.collect_list("item").alias("items")).withColumn("key", F.xxhash64("item_words")))
+    once = asked.groupBy("item_words").agg(F.collect_list("item").alias("items")).withColumn("key", F.xxhash64("item_words"))
+    texts = checkpointed(once.coalesce(items.count() // ITEMS_IN_FILE + 1))  # not a file for each of a few items
     n = F.size("item_words")
     lengths = sorted(r["n"] for r in texts.where(n < span).select(n.alias("n")).distinct().collect())  # fewer numbers than span
     prints = _fingerprints(texts.withColumn("words", F.col("item_words")), ["key", "item_words"], k, window, lengths).where(((F.col("gram") == 0) & (n >= span)) | (F.col("gram") == n))
