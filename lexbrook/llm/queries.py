@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html, langid, licenses, lmscore, pii, simhash, spotsigs, toxicity
+from . import bpe, decontaminate, html, langid, licenses, lmscore, pii, resampling, simhash, spotsigs, toxicity
 from .common import fold_crc, table
 
 QUERIES: dict = {}
@@ -115,3 +115,13 @@ def op5_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = lmscore.score(docs, docs.where(fold_crc("doc_id", 7) != 2))
     return found.select("doc_id", (F.coalesce(fold_crc("doc_id", 7), F.lit(-1)) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight by the words of the benchmark, and the rank of the tenth that is drawn."""
+    found = resampling.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLES["op11_resampling"] = resampling.oracle()
