@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html, langid, licenses, lmscore, pii, resampling, simhash, spotsigs, toxicity
+from . import bpe, convtrie, decontaminate, html, langid, licenses, lmscore, pii, quality, resampling, simhash, spotsigs, toxicity
 from .common import fold_crc, table
 
 QUERIES: dict = {}
@@ -125,3 +125,21 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_resampling"] = resampling.oracle()
+
+
+@query
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels of the folds that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs.where(fold_crc("doc_id", 4) != 2), table(spark, sf_dir, "labels").where(fold_crc("doc_id", 4) != 2))
+    found = quality.score(docs, model)
+    return found.select("doc_id", (F.coalesce(fold_crc("doc_id", 4), F.lit(-1)) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op13_convtrie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt so that those of a family begin alike."""
+    return convtrie.trie(*convtrie.rebuilt(convtrie.coded(table(spark, sf_dir, "conversations"))))
+
+
+ORACLES["op13_convtrie"] = convtrie.oracle()
