@@ -7,9 +7,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .vectorindex import VectorIndex
+
 SPARSE_LEAST = 0.01
 
 
@@ -22,47 +24,13 @@ def cosine(a, b) -> Column:
     return F.when(norm > 0, dot(a, b) / norm).otherwise(0.0)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding", partition: str | None = None, block: int = 256) -> DataFrame:
-    """(query_id, id, similarity, rank): the k nearest of each query by cosine, ties by id.
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding", partition: str | None = None) -> DataFrame:
+    """(query_id, id, similarity, rank): the k nearest of each query by cosine, ties by id, without an index.
 
-    queries (query_id, query) is a stated set; they are taken in blocks of a fixed size, and every
-    partition of vectors keeps its own k best for each query before rows meet. ``partition`` restricts
-    a query to vectors with its value in that column.
+    queries (query_id, query) is a table of any size; packs of its rows meet blocks of vectors, each pair of them once. ``partition``
+    restricts a query to vectors with its value in that column. For many searches over the same vectors write a ``VectorIndex``.
     """
-    spark = vectors.sparkSession
-    id_type = vectors.schema[id_col].dataType.simpleString()
-    cols = [c for c in ("query_id", "query", partition) if c]
-    out = None
-    rows = queries.select(*cols).toPandas()
-    for i in range(0, max(1, len(rows)), block):
-        part = rows.iloc[i : i + block]
-        q = np.array([np.asarray(x, float) for x in part["query"]]) if len(part) else np.zeros((0, 1))
-        sent = spark.sparkContext.broadcast((part["query_id"].tolist(), q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300), part[partition].tolist() if partition else None))
-
-        def run(batches: Iterator[pd.DataFrame], sent=sent):
-            ids, q, only = sent.value
-            best: list[list[tuple]] = [[] for _ in ids]
-            for b in batches:
-                b = b[b[vec_col].notna()]
-                if not len(b) or not ids:
-                    continue
-                v = np.array([np.asarray(x, float) for x in b[vec_col]])
-                sims = (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)) @ q.T
-                own = b[id_col].tolist()
-                at = b[partition].to_numpy() if partition else None
-                for j in range(len(ids)):
-                    s = sims[:, j] if at is None else np.where(at == only[j], sims[:, j], -np.inf)
-                    top = np.argpartition(-s, k - 1)[: k] if len(s) > k else np.arange(len(s))
-                    edge = s[top].min()
-                    top = np.flatnonzero((s >= edge) & (s > -np.inf))  # ties at the edge stay until ids decide
-                    best[j] = sorted(best[j] + [(-s[t], own[t]) for t in top])[:k]
-            yield pd.DataFrame([(ids[j], i, -s) for j, x in enumerate(best) for s, i in x], columns=["query_id", "id", "similarity"])
-
-        id_kind = queries.schema["query_id"].dataType.simpleString()
-        found = vectors.select(*dict.fromkeys([id_col, vec_col, *([partition] if partition else [])])).mapInPandas(run, f"query_id {id_kind}, id {id_type}, similarity double")
-        out = found if out is None else out.unionByName(found)
-    w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id")
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return VectorIndex.build(vectors, id_col, vec_col, scope=partition, cells=1).search(queries, k, scope=partition)
 
 
 def nearest_to(vectors: DataFrame, query: list[float], k: int, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import structure
-from ..operators import search, vectors
+from ..operators import search, vectorindex, vectors
 from ..operators.index import index_for
+from ..operators.lineage import shared_folder, stored
 from .base import decisions
 from .registry import query, table
 
@@ -24,6 +25,14 @@ def indexed(spark, sf_dir):
     return index_for(spark, f"decisions of {sf_dir}", lambda: d, [f for f in search.FIELD_WEIGHTS if f in d.columns])
 
 
+def vector_index(spark, sf_dir):
+    """The index of the embeddings, made once an application."""
+    made = lambda: vectorindex.VectorIndex.write(table(spark, sf_dir, "embeddings"), folder).cells
+    folder = f"{shared_folder(spark)}/vectors-{abs(hash((spark.sparkContext.applicationId, sf_dir))):x}"
+    stored(spark, f"cells of the embeddings of {sf_dir}", made)
+    return vectorindex.VectorIndex.open(spark, folder)
+
+
 def of_documents(found):
     """Decisions' ids as those of the documents."""
     return found.withColumn("doc", F.substring("doc", 2, 20).cast("long"))
@@ -114,7 +123,7 @@ def composite_rerank(spark, sf_dir):
 def knn_cosine(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-    return vectors.nearest(e, q, 10).select("query_id", "id", F.round("similarity", 5).alias("similarity"), F.col("rank").cast("long").alias("rank"))
+    return vector_index(spark, sf_dir).search(q, 10, exact=True).select("query_id", "id", F.round("similarity", 5).alias("similarity"), F.col("rank").cast("long").alias("rank"))
 
 
 @query("""WITH q AS (SELECT vec_id AS query_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 50 = 0), s AS (SELECT query_id, vec_id AS id, list_cosine_similarity(embedding::DOUBLE[], e) AS sim FROM q JOIN embeddings USING (label)),
@@ -125,6 +134,16 @@ def knn_in_partition(spark, sf_dir):
     return vectors.nearest(e, q, 5, partition="label").select("query_id", "id", F.round("similarity", 5).alias("similarity"))
 
 
+@query("""SELECT count(*) AS n_queries, 10 * count(*) AS n_pairs, true AS enough FROM embeddings WHERE vec_id % 50 = 0""")
+def knn_recall(spark, sf_dir):
+    """Of the ten nearest, the share that a search finds with as many cells as a sample asks for: nine in ten or more."""
+    e = table(spark, sf_dir, "embeddings")
+    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    index = vector_index(spark, sf_dir)
+    r = vectorindex.recall(index.search(q, 10, probes=index.probes_for(10)), index.search(q, 10, exact=True))
+    return r.select("n_queries", "n_pairs", (F.col("recall") >= 0.9).alias("enough"))
+
+
 @query(
     """WITH t AS (SELECT vec_id AS id, unnest(embedding)::DOUBLE AS weight, unnest(range(len(embedding))) AS token_id FROM embeddings), s AS (SELECT * FROM t WHERE CAST(weight AS FLOAT) > 0.01),
     q AS (SELECT token_id, weight AS w FROM s WHERE id = 0) SELECT id, round(sum(weight * w), 6) AS score FROM s JOIN q USING (token_id) GROUP BY id ORDER BY score DESC, id LIMIT 20"""
