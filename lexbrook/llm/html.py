@@ -7,7 +7,9 @@ a main element, or else an element named as an article), all of that is kept; ot
 container, with those siblings that score enough or are plain prose, and the headings beside it. Menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments never count and
 are never kept; what is so only by its name, and forms, count as such unless they hold the page's
-article (on a page without article or main element: more than half of its text).
+article (on a page without article or main element: more than half of its text). One such word among others in the class
+of a paragraph of prose, and a set of fields without a field, say nothing. Of several articles beside each other the best is
+the page's; the others are kept only if they lie in it.
 
 Defined results: a null, empty or textless page gives ''; an empty table gives no rows. Broken markup is read as browsers do where
 it matters: unclosed elements end with their parent, an open paragraph ends at the next block, an
@@ -36,12 +38,13 @@ CLOSES_P = set("address article aside blockquote center details dialog dir div d
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "thead": set(), "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
 #: Elements, roles and names of what is not the article.
-BOILERPLATE_TAGS = set("head nav footer aside button select dialog menu svg canvas audio video object map datalist search fieldset".split())
+BOILERPLATE_TAGS = set("head nav footer aside button select dialog menu svg canvas audio video object map datalist search".split())
 BOILERPLATE_ROLES = set("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar form".split())
 COMMENT_NAMES = set("comment comments commentlist disqus respond replies reply feedback".split())
-BOILERPLATE_NAMES = COMMENT_NAMES | set(
-    "ad ads adv advert adverts advertisement advertisements adsense banner banners promo promotion sponsor sponsored sponsors nav navbar navigation menu menus breadcrumb breadcrumbs"
-    " sidebar sidebars aside footer foot masthead header topbar toolbar notice notices cookie cookies consent gdpr disclaimer popup modal overlay newsletter subscribe subscription signup login"
+ADVERT_NAMES = set("ad ads adv advert adverts advertisement advertisements adsense promo sponsor sponsored sponsors cookie cookies consent gdpr".split())
+BOILERPLATE_NAMES = COMMENT_NAMES | ADVERT_NAMES | set(
+    "banner banners promotion nav navbar navigation menu menus breadcrumb breadcrumbs"
+    " sidebar sidebars aside footer foot masthead header topbar toolbar notice notices disclaimer popup modal overlay newsletter subscribe subscription signup login"
     " share sharing social related recommended pagination pager widget widgets skip hidden".split()
 )
 #: A name of several parts is boilerplate by its last part, or by its first one before one of these.
@@ -53,6 +56,9 @@ ARTICLE_NAMES = set("article content main post entry story text body page".split
 WHOLE_NAMES = set("article articlebody article-body article-content articlecontent content main-content maincontent entry entry-content entrycontent post post-body post-content postbody postcontent story story-body storybody".split())
 PROSE = {"p", "pre", "blockquote", "li", "dd", "dt", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6", "figcaption", "summary"}
 HEADINGS = {"h1", "h2", "h3"}
+#: How surely an element is not the article, from not at all on.
+SUSPICIONS = ("", "weak", "fields", "form", "name", "advert", "comment")
+SENTENCE_ENDS = (".", "!", "?", ":", "…", "»", '"', "”")
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|type)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -60,11 +66,11 @@ NAME_PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "dropped", "suspect", "favoured", "whole", "score", "chars", "links", "kept")
+    __slots__ = ("tag", "parent", "dropped", "suspect", "favoured", "whole", "score", "chars", "links", "kept", "prose", "fields")
 
     def __init__(self, tag, parent, dropped, suspect="", favoured=False, whole=0):
         self.tag, self.parent, self.dropped, self.suspect, self.favoured, self.whole = tag, parent, dropped, suspect, favoured, whole
-        self.score, self.chars, self.links, self.kept = 0.0, 0, 0, False
+        self.score, self.chars, self.links, self.kept, self.prose, self.fields = 0.0, 0, 0, False, False, False
 
     def worth(self) -> float:
         density = self.links / self.chars if self.chars else 0.0
@@ -72,12 +78,12 @@ class Node:
 
 
 def _named(token: str) -> str:
-    """'comment' or 'name' if a word of class or id names what is not the article, else ''."""
+    """'comment', 'advert' or 'name' if a word of class or id names what is not the article, else ''."""
     parts = [x.lower() for x in NAME_PARTS.findall(token)]
     if not parts or parts[0] in SAYS_HAS:
         return ""
     hit = parts[-1] if parts[-1] in BOILERPLATE_NAMES else parts[0] if parts[0] in BOILERPLATE_NAMES and parts[-1] in HOLDERS else ""
-    return "comment" if hit in COMMENT_NAMES else "name" if hit else ""
+    return "comment" if hit in COMMENT_NAMES else "advert" if hit in ADVERT_NAMES else "name" if hit else ""
 
 
 def _traits(tag: str, attrs: str, inside_article: bool) -> tuple[bool, str, bool, int]:
@@ -85,16 +91,21 @@ def _traits(tag: str, attrs: str, inside_article: bool) -> tuple[bool, str, bool
     and how surely it is to be kept whole (3: article, 2: main, 1: by its name)."""
     if tag in BOILERPLATE_TAGS or (tag == "header" and not inside_article):
         return True, "", False, 0
-    suspect = "form" if tag == "form" else ""
+    suspect = {"form": "form", "fieldset": "fields"}.get(tag, "")
     favoured = tag in ("article", "main")
     whole = {"article": 3, "main": 2}.get(tag, 0)
     if attrs and not attrs.isspace():
         for m in ATTRIBUTE.finditer(attrs):
             key, value = m[1].lower(), (m[2] or "").strip("\"'")
             if key in ("class", "id"):
-                for token in value.split():
-                    if tag not in ("html", "body", "article", "main"):
-                        suspect = max(suspect, _named(token), key=("", "form", "name", "comment").index)
+                tokens = value.split()
+                if tokens and tag not in ("html", "body", "article", "main"):
+                    named = [_named(token) for token in tokens]
+                    most = max(named, key=SUSPICIONS.index)
+                    if most == "name" and "" in named and (tag in PROSE or tag in INLINE):
+                        most = "weak"
+                    suspect = max(suspect, most, key=SUSPICIONS.index)
+                for token in tokens:
                     favoured |= token.lower() in ARTICLE_NAMES or any(x.lower() in ARTICLE_NAMES for x in NAME_PARTS.findall(token))
                     if token.lower() in WHOLE_NAMES and tag not in ("html", "body"):
                         whole = max(whole, 1)
@@ -169,6 +180,9 @@ def main_text(page: str | None) -> str:
                         flush()
                         break
             continue
+        if tag in ("select", "textarea", "button") or tag == "input" and not re.search(r"type\s*=\s*[\"']?hidden", m[3], re.I):
+            for node in stack:
+                node.fields = True
         if tag in RAW:
             flush_at = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = flush_at.end() if flush_at else n
@@ -179,7 +193,7 @@ def main_text(page: str | None) -> str:
         if tag in INLINE:
             if tag not in VOID:
                 hard, suspect, *_ = _traits(tag, m[3], articles > 0)
-                drops = hard or suspect != ""
+                drops = hard or suspect not in ("", "weak")
                 inline.append((tag, drops))
                 links += tag == "a"
                 muted += drops
@@ -214,25 +228,29 @@ def main_text(page: str | None) -> str:
         articles += tag in ("article", "main")
     flush()
 
-    for owner, text, _ in blocks:
+    for owner, text, linked in blocks:
         owner.chars += len(text)
+        owner.links += linked
+        owner.prose |= len(text) > 80 or text.endswith(SENTENCE_ENDS)
     for node in reversed(nodes):  # what an element holds, before suspects go
         if node.parent:
             node.parent.chars += node.chars
+            node.parent.links += node.links
             if node.tag in ("article", "main") or node.score:  # score: whether an article lies below
                 node.parent.score = 1.0
     articles = root.score > 0
     for node in nodes:
         if node.suspect and not node.dropped:
             holds = node.score > 0 if articles else 2 * node.chars > root.chars
-            node.dropped = node.suspect == "comment" or not holds
+            text = 4 * node.links <= node.chars and (node.prose if node.suspect == "weak" else node.suspect == "fields" and not node.fields)
+            node.dropped = node.suspect == "comment" or not holds and not text
         node.dropped |= node.parent is not None and node.parent.dropped
     if blocks and all(owner.dropped for owner, _, _ in blocks):  # nothing is left: the largest suspect was the article
         for node in nodes:
             node.dropped = False
     blocks = [x for x in blocks if not x[0].dropped]
     for node in nodes:
-        node.score, node.chars = 0.0, 0
+        node.score, node.chars, node.links = 0.0, 0, 0
 
     for owner, text, linked in blocks:
         owner.chars += len(text)
@@ -250,8 +268,10 @@ def main_text(page: str | None) -> str:
             node.parent.chars += node.chars
             node.parent.links += node.links
     best = max(nodes, key=Node.worth)
-    if best.worth() <= 0:
-        return ""
+    if best.worth() <= 0:  # links alone: the article, or main element, with the most text, if there is one
+        best = max(nodes, key=lambda x: (x.whole, x.chars) if x.whole >= 2 and x.chars else (0, 0))
+        if best.whole < 2 or not best.chars:
+            return ""
     outer, node = None, best
     while node is not None:  # the outermost of the surest kind
         if node.whole and (outer is None or node.whole >= outer.whole):
@@ -276,7 +296,9 @@ def main_text(page: str | None) -> str:
                     node.kept = True
                 elif node.tag in PROSE and node in own:
                     text, linked = " ".join(t for t, _ in own[node]), sum(k for _, k in own[node])
-                    node.kept = len(text) > 80 and linked / len(text) < 0.25 or not linked and text.endswith((".", "!", "?"))
+                    node.kept = len(text) > 80 and linked / len(text) < 0.25 or not linked
+                elif node.chars and 4 * node.links <= node.chars:  # lists, notes and tables beside the container
+                    node.kept = True
     for node in nodes:
         node.kept |= node.parent is not None and node.parent.kept
     return "\n".join(text for owner, text, _ in blocks if owner.kept)
