@@ -7,9 +7,13 @@ on each other at the place of the find, and all windows of window + k - 1 item w
 there are hits. Items shorter than that are one window of their own: documents keep all their
 grams of just those lengths for them.
 
+Each pair of a document and an item text that a hash proposes is a row of its own until its words are compared, so a
+passage that very many items share makes rows, never one row with all of them.
+
 Defined results: null has no words; an item without words is never found; a document's words are
-hit by any occurrence of a window, overlapping ones too. Repeated documents stay; repeated items count
-each. Hashes only propose; words are compared. Other columns are not looked at.
+hit by any occurrence of a window, overlapping ones too. Repeated documents stay, with equal results. An item id is
+listed once, however many items of that id are found; an item without an id hits words and is not listed. Without documents
+there are no rows, without items no hits. Hashes only propose; words are compared. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -69,33 +73,34 @@ def decontaminate(docs: DataFrame, items: DataFrame, k: int = 5, window: int = 6
     rows = rows_of(docs, id_col, text_col, carry).withColumn("row", F.xxhash64("id", "text")).withColumn("row2", F.hash("text"))
     more = [F.col("text").alias("own"), "carry"] if carry else []
     asked = items.select(F.col(item_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("item_words")).where(F.size("item_words") > 0)
-    # equal items are looked for once
-    once = asked.groupBy("item_words").agg(F.collect_list("item").alias("items")).withColumn("key", F.xxhash64("item_words"))
-    texts = checkpointed(once.coalesce(items.count() // ITEMS_IN_FILE + 1))  # not a file for each of a few items
+    asked = checkpointed(asked.withColumn("key", F.xxhash64("item_words")).coalesce(items.count() // ITEMS_IN_FILE + 1))  # not a file for each of a few items
+    texts = asked.select("key", "item_words").distinct()  # equal items are looked for once
     n = F.size("item_words")
     lengths = sorted(r["n"] for r in texts.where(n < span).select(n.alias("n")).distinct().collect())  # fewer numbers than span
     prints = _fingerprints(texts.withColumn("words", F.col("item_words")), ["key", "item_words"], k, window, lengths).where(((F.col("gram") == 0) & (n >= span)) | (F.col("gram") == n))
     prints = prints.select("key", "gram", "hash", F.col("at").alias("item_at"))
     own = _fingerprints(rows.select("row", "row2", words_of(F.col("text")).alias("words")), ["row", "row2"], k, window, lengths)
-    met = own.join(prints, ["gram", "hash"]).groupBy("row", "row2", "key").agg(F.collect_set(F.col("at") - F.col("item_at")).alias("shifts"))
-    proposed = met.join(texts, "key").groupBy("row", "row2").agg(F.collect_list(F.struct("item_words", "items", "shifts")).alias("proposed"))
-    laid = rows.join(proposed, ["row", "row2"], "left").select("id", words_of(F.col("text")).alias("words"), "proposed", *more)
-    # for each item: where its windows that agree begin in the document
-    agree = f"""transform(proposed, c -> named_struct('items', c.items, 'n', least({span}, size(c.item_words)), 'starts',
-        flatten(transform(c.shifts, s -> transform(filter(
-            sequence(0, size(c.item_words) - least({span}, size(c.item_words))),
-            j -> s + j >= 0 AND s + j + least({span}, size(c.item_words)) <= size(words)
-                 AND slice(words, s + j + 1, least({span}, size(c.item_words))) = slice(c.item_words, j + 1, least({span}, size(c.item_words)))),
-            j -> s + j)))))"""
-    found = laid.withColumn("agree", F.filter(F.expr(agree), lambda c: F.size(c["starts"]) > 0))
-    places = F.flatten(F.transform("agree", lambda c: F.flatten(F.transform(c["starts"], lambda s: F.sequence(s, s + c["n"] - 1)))))
+    met = own.join(prints, ["gram", "hash"]).select("row", "row2", "key", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    proposed = checkpointed(met.groupBy("row", "row2", "key").agg(F.collect_list("shift").alias("shifts")))
+    # the documents that are proposed, once each, laid on one item text a row
+    found_in = rows.join(proposed.select("row", "row2").distinct(), ["row", "row2"], "left_semi").select("row", "row2", "text").dropDuplicates(["row", "row2"])
+    laid = proposed.join(texts, "key").join(found_in.select("row", "row2", words_of(F.col("text")).alias("words")), ["row", "row2"])
+    # where the item's windows that agree begin in the document
+    starts = f"""flatten(transform(shifts, s -> transform(filter(
+        sequence(0, size(item_words) - least({span}, size(item_words))),
+        j -> s + j >= 0 AND s + j + least({span}, size(item_words)) <= size(words)
+             AND slice(words, s + j + 1, least({span}, size(item_words))) = slice(item_words, j + 1, least({span}, size(item_words)))),
+        j -> s + j)))"""
+    agree = checkpointed(laid.select("row", "row2", "key", F.least(F.lit(span), n).alias("n"), F.expr(starts).alias("starts")).where(F.size("starts") > 0))
+    places = agree.select("row", "row2", F.explode(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("n") - 1)))).alias("place")).distinct()
+    hit = places.groupBy("row", "row2").agg(F.count("*").alias("n_hit"))
+    listed = agree.select("row", "row2", "key").distinct().join(asked.select("key", "item").distinct(), "key").groupBy("row", "row2").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    all_rows = rows.select("id", "row", "row2", F.size(words_of(F.col("text"))).cast("long").alias("n_words"), *more)
+    found = all_rows.join(hit.join(listed, ["row", "row2"], "left"), ["row", "row2"], "left")
     return found.select(
-        F.col("id").alias(id_col),
-        F.size("words").cast("long").alias("n_words"),
-        F.coalesce(F.size(F.array_distinct(places)), F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.array_sort(F.flatten(F.transform("agree", lambda c: c["items"]))), F.array().cast("array<string>")).alias("items"),
+        F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         *([F.col("own").alias(text_col), "carry"] if carry else []),
-    ).withColumn("contaminated", F.col("n_hit") > 0)
+    ).withColumn("contaminated", F.col("n_hit") > 0)
 
 
 def oracle(span: int = 10) -> str:
@@ -107,6 +112,6 @@ def oracle(span: int = 10) -> str:
     dw AS (SELECT rid, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM b) WHERE len(ws) >= n)),
     m AS (SELECT rid, item_id, n, i FROM dw JOIN bw USING (n, g)),
     h AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM m) GROUP BY rid),
-    t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM m) GROUP BY rid)
+    t AS (SELECT rid, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM m) GROUP BY rid)
     SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)"""
