@@ -3,7 +3,9 @@
 A posting is (term, field, doc, tf, positions, own, length): own is the number of words of the field in the
 document, length that of all indexed fields. On disk postings lie in folders by a hash of the term and, within, in files by a
 hash of the document, so that a frequent term is spread over ``shards`` tasks; files are sorted by term, so a query
-reads the row groups of its terms only.
+reads the row groups of its terms only. Beside them lie the number of documents of each term, in folders by the same
+hash, and, if asked for, the documents' own columns in folders by a hash of the id, sorted by id: the few rows of a
+result are fetched from the row groups that hold them.
 """
 
 from __future__ import annotations
@@ -39,17 +41,30 @@ def _placed(df: DataFrame, fields: list[str], id_col: str, shards: int) -> DataF
     return flat.select("*", bucket_of("term").alias("bucket"), F.pmod(F.xxhash64("doc"), F.lit(shards)).cast("int").alias("shard"))
 
 
+def folder_of(doc, folders: int) -> Column:
+    return F.pmod(F.xxhash64(doc), F.lit(folders)).cast("int")
+
+
 def bucket_of(term) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
 
 
+#: Documents that a folder of the store holds, about, and bytes of a row group.
+FOLDER_DOCS, GROUP_BYTES = 20_000, 1 << 20
+
+
 @dataclass
 class Index:
-    """Postings, and what scores need to know of all documents: their number and their words, by field and in all."""
+    """Postings, and what scores need to know of all documents: their number and their words, by field and in all; documents
+    by term; and the store of documents, if there is one."""
 
     rows: DataFrame
     docs: int
     words: dict[str, int]
+    terms: DataFrame | None = None
+    store: DataFrame | None = None
+    folders: int = 1
+    id_col: str = "decision_id"
 
     @classmethod
     def of(cls, df: DataFrame, fields: list[str], id_col: str = "decision_id") -> Index:
@@ -58,30 +73,62 @@ class Index:
         return cls(postings(df, fields, id_col).withColumn("bucket", bucket_of("term")), counted["n"], {f: counted[f"w_{f}"] or 0 for f in fields})
 
     @classmethod
-    def write(cls, df: DataFrame, path: str, fields: list[str], id_col: str = "decision_id") -> Index:
-        """Make an index on disk: words are dealt out once, by term and document, and counted where they land."""
+    def write(cls, df: DataFrame, path: str, fields: list[str], id_col: str = "decision_id", keep: list[str] | None = None) -> Index:
+        """Make an index on disk: words are dealt out once, by term and document, and counted where they land. ``keep``: columns of
+        the documents to be fetched by id."""
         spark = df.sparkSession
-        chars = df.agg(sum((F.coalesce(F.sum(F.length(col(f).cast("string"))), F.lit(0)) for f in fields), F.lit(0))).first()[0]
-        shards = max(1, -(-chars // SHARD_CHARS))
+        sized = df.agg(sum((F.coalesce(F.sum(F.length(col(f).cast("string"))), F.lit(0)) for f in fields), F.lit(0)).alias("chars"), F.count("*").alias("n")).first()
+        shards = max(1, -(-sized["chars"] // SHARD_CHARS))
         dealt = _placed(df, fields, id_col, shards).repartition(BUCKETS * shards, "bucket", "shard")
         _counted(dealt, "bucket", "shard").drop("shard").sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
-        docs = df.where(col(id_col).isNotNull()).agg(F.countDistinct(col(id_col)).alias("docs"), *(F.coalesce(F.sum(F.size(tokens(f))), F.lit(0)).alias(f"w_{f}") for f in fields))
-        docs.coalesce(1).write.mode("overwrite").parquet(f"{path}/totals")
+        written = spark.read.parquet(f"{path}/postings")
+        written.groupBy("bucket", "term").agg(F.countDistinct("doc").alias("df")).repartition("bucket").sortWithinPartitions("term").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/terms")
+        used = {r["field"]: r["n"] for r in written.groupBy("field").agg(F.sum("tf").alias("n")).collect()}  # a row a field
+        folders = max(1, sized["n"] // FOLDER_DOCS)
+        if keep is not None:
+            own = df.where(F.col(id_col).isNotNull()).select(*dict.fromkeys([id_col, *keep])).withColumn("folder", folder_of(id_col, folders))
+            own.repartition(folders, "folder").sortWithinPartitions("folder", id_col).write.mode("overwrite").option("parquet.block.size", GROUP_BYTES).partitionBy("folder").parquet(f"{path}/store")
+        docs = df.where(col(id_col).isNotNull()).agg(F.countDistinct(col(id_col)).alias("docs"), F.lit(folders).alias("folders"), F.lit(keep is not None).alias("kept"), F.lit(id_col).alias("id_col"))
+        docs.select("*", *(F.lit(used.get(f, 0)).cast("long").alias(f"w_{f}") for f in fields)).coalesce(1).write.mode("overwrite").parquet(f"{path}/totals")
         return cls.open(spark, path)
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> Index:
         total = spark.read.parquet(f"{path}/totals").first().asDict()
-        return cls(spark.read.parquet(f"{path}/postings"), total.pop("docs"), {f[2:]: n for f, n in total.items()})
+        store = spark.read.parquet(f"{path}/store") if total["kept"] else None
+        words = {f[2:]: n for f, n in total.items() if f.startswith("w_")}
+        return cls(spark.read.parquet(f"{path}/postings"), total["docs"], words, spark.read.parquet(f"{path}/terms"), store, total["folders"], total["id_col"])
+
+    def frequencies(self, terms: list[str], fields: list[str] | None = None) -> dict[str, int]:
+        """In how many documents each term is; terms that are in none are left out. A row a term is collected."""
+        terms = sorted(set(terms))
+        if not terms:
+            return {}
+        if self.terms is None or (fields is not None and not set(fields) >= set(self.words)):
+            found = self.asked(terms, fields=fields).groupBy("term").agg(F.countDistinct("doc").alias("df"))
+        else:
+            found = self.terms.where(F.col("bucket").isin(self._buckets(terms)) & F.col("term").isin(terms))
+        return {r["term"]: r["df"] for r in found.select("term", "df").collect()}
+
+    def fetch(self, ids: list) -> DataFrame:
+        """The stored rows of some ids. Folders are told from the ids, and the ids reach the files as equalities, so only row groups
+        are read that may hold one."""
+        spark, ids = self.store.sparkSession, sorted(set(ids))
+        most = "spark.sql.parquet.pushdown.inFilterThreshold"
+        spark.conf.set(most, str(max(int(spark.conf.get(most)), len(ids))))
+        if not ids:
+            return self.store.drop("folder").limit(0)
+        folders = [r[0] for r in spark.createDataFrame([(x,) for x in ids], f"id {self.store.schema[self.id_col].dataType.simpleString()}").select(folder_of("id", self.folders)).distinct().collect()]
+        return self.store.where(F.col("folder").isin(folders) & F.col(self.id_col).isin(ids)).drop("folder")
+
+    def _buckets(self, terms: list[str]) -> list[int]:
+        spark = self.rows.sparkSession
+        return [r[0] for r in spark.range(1).select(F.explode(F.array(*(bucket_of(F.lit(t)) for t in terms))).alias("b")).distinct().collect()]
 
     def asked(self, terms: list[str], prefixes: list[str] = (), fields: list[str] | None = None) -> DataFrame:
         """The postings of some terms and of all that begin with a prefix; only those buckets are read that can hold them."""
         terms, prefixes = sorted(set(terms)), sorted(set(prefixes))
-        spark = self.rows.sparkSession
-        wanted = F.lit(False)
-        if terms:
-            buckets = [r[0] for r in spark.range(1).select(F.explode(F.array(*(bucket_of(F.lit(t)) for t in terms))).alias("b")).distinct().collect()]
-            wanted = F.col("bucket").isin(buckets) & F.col("term").isin(terms)
+        wanted = F.col("bucket").isin(self._buckets(terms)) & F.col("term").isin(terms) if terms else F.lit(False)
         for p in prefixes:
             wanted |= F.col("term").startswith(p)
         out = self.rows.where(wanted)
@@ -95,9 +142,9 @@ class Index:
 _OPENED: dict[tuple, Index] = {}
 
 
-def index_for(spark: SparkSession, name: str, make, fields: list[str], id_col: str = "decision_id") -> Index:
+def index_for(spark: SparkSession, name: str, make, fields: list[str], id_col: str = "decision_id", keep: list[str] | None = None) -> Index:
     """The index of that name in the shared folder; made from make() when it is asked for first in this application."""
     key = (spark.sparkContext.applicationId, name)
     if key not in _OPENED:
-        _OPENED[key] = Index.write(make(), f"{shared_folder(spark)}/index-{abs(hash(key)):x}", fields, id_col)
+        _OPENED[key] = Index.write(make(), f"{shared_folder(spark)}/index-{abs(hash(key)):x}", fields, id_col, keep)
     return _OPENED[key]

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import ACCENTED, PLAIN, text, tokens
+from .compounds import of_words
 from .index import Index, postings  # noqa: F401
 from .lineage import numbered
 
@@ -25,12 +26,24 @@ WEIGHTS = {
     "statute": 2.2, "statute_per_mention": 0.25, "statute_cap": 1.2, "citation": 2.4, "citation_per_hit": 0.30, "citation_cap": 1.2,
     "authority": 0.03, "authority_cap": 1.0, "in_pool": 0.5, "in_pool_cap": 1.2, "in_pool_least": 2, "language": 0.9, "asylum": 1.7, "intent": 0.65, "accelerated": 0.9,
 }
-STRATEGY_WEIGHTS = {"and": 1.3, "or": 1.0, "phrase": 1.15, "regeste": 1.05, "title": 0.95, "expanded": 0.85, "raw": 1.5}
+STRATEGY_WEIGHTS = {"nl_and": 1.3, "nl_or": 1.0, "quoted": 1.15, "regeste_focus": 1.05, "title_focus": 0.95, "nl_or_expanded": 0.85, "raw": 1.5}
+#: Own choice: strategies of the rarest words, of the rarest pairs, and of the query's language.
+ANCHOR_WEIGHT, PAIR_WEIGHT, LANGUAGE_WEIGHT, ANCHORS, PAIRS = 0.9, 1.1, 1.1, 2, 3
 RRF_CONSTANT, K1, B = 60, 1.2, 0.75
-#: A small dictionary of synonyms across languages.
+#: A small dictionary of synonyms across languages and from everyday words to those of the law; pass a larger one as a table's rows.
 SYNONYMS = {
-    "kündigung": ["résiliation", "disdetta"], "miete": ["bail", "locazione"], "asyl": ["asile", "asilo"], "haftung": ["responsabilité", "responsabilità"],
-    "arbeitsvertrag": ["contrat de travail", "contratto di lavoro"], "steuer": ["impôt", "imposta"], "vertrag": ["contrat", "contratto"], "scheidung": ["divorce", "divorzio"],
+    "kündigung": ["résiliation", "disdetta"], "miete": ["bail", "locazione"], "mietrecht": ["mietzins", "kündigung", "bail"], "asyl": ["asile", "asilo", "schutz"], "asile": ["asyl", "asilo"],
+    "wegweisung": ["renvoi", "allontanamento"], "renvoi": ["wegweisung", "allontanamento"], "haftung": ["responsabilité", "responsabilità"], "arbeitsvertrag": ["contrat de travail", "contratto di lavoro"],
+    "steuer": ["impôt", "imposta"], "vertrag": ["contrat", "contratto"], "scheidung": ["divorce", "divorzio"], "hundebiss": ["tierhalterhaftung", "haftpflicht"], "autounfall": ["haftpflicht", "kausalzusammenhang"],
+    "erbschaft": ["erbrecht", "pflichtteil"], "geschäftsführer": ["organverantwortlichkeit", "sorgfaltspflicht"], "geschaeftsfuehrer": ["organverantwortlichkeit", "sorgfaltspflicht"],
+    "beschleunigtes": ["verkürzte", "accéléré"], "windpark": ["parc éolien", "parco eolico"], "baubewilligung": ["permis de construire", "licenza edilizia"],
+}
+#: Own choice: words that carry no meaning in a question, by language, folded.
+QUESTION_WORDS = {
+    "de": set("der die das den dem des ein eine einer eines einem einen und oder im in zu zum zur von vom mit für fur ich suche ist sind wird wurde uber über auf bei nach nicht urteil entscheid wie was wann kann darf".split()),
+    "fr": set("le la les l un une des du de d et ou en dans sur pour par avec je cherche est sont qui que quoi quand comment au aux ce cette arret jugement il elle ne pas".split()),
+    "it": set("il lo la gli i le un una dei delle del della di e o in nel nella su per con da cerco sono che quando come al alla sentenza decisione non".split()),
+    "en": set("the a an and or of in on for by with i am is are was were what when how which looking decision judgment not to".split()),
 }
 _FOLD = str.maketrans(ACCENTED, PLAIN)
 
@@ -204,7 +217,7 @@ def run(index: Index, trees: list[tuple[str, Query]], fields: dict[str, float],
     per = asked.groupBy("doc").agg(F.collect_list(F.struct("field", "term", "tf", "positions")).alias("hits"), F.max(length).alias("length"))
     if allowed is not None:
         per = per.join(allowed, "doc", "left_semi")
-    known = {r["term"]: r["df"] for r in document_frequencies(asked.where(F.col("term").isin(terms))).collect()}  # a row for each term of the query
+    known = index.frequencies(terms, list(fields))
     mean = index.mean_length(list(fields)) or 1.0
     weights = F.create_map(*(F.lit(x) for pair in fields.items() for x in pair))
 
@@ -279,23 +292,69 @@ def umlaut_variants(word: str) -> list[str]:
     return [w for w in dict.fromkeys((out, back)) if w != word.lower()]
 
 
-def expansions(words: list[str], synonyms: dict[str, list[str]] = SYNONYMS) -> list[str]:
+def expansions(words: list[str], synonyms: dict[str, list[str]] = SYNONYMS, compounds: dict[str, list[str]] | None = None) -> list[str]:
+    """Words that stand beside those of a query: synonyms, the other way to write umlauts, and the parts of compounds (word: parts)."""
     known = {fold(k): v for k, v in synonyms.items()}
     out = [x for w in words for s in known.get(w, []) for x in words_of(s)] + [fold(v) for w in words for v in umlaut_variants(w)]
+    out += [p for w in words for p in (compounds or {}).get(w, [])]
     return list(dict.fromkeys(x for x in out if x not in words))
 
 
-def strategies(query: str, synonyms: dict[str, list[str]] = SYNONYMS, expander=None) -> list[tuple[str, str, float]]:
-    """(name, query, weight) of the searches that stand for a query. expander: more terms for a query, none by default."""
+def query_languages(query: str) -> list[str]:
+    """Languages whose small words a query has, those with most first; none if it has none of them."""
+    ws = words_of(query)
+    counts = {k: sum(w in own for w in ws) for k, own in QUESTION_WORDS.items()}
+    most = max(counts.values())
+    return [k for k, n in sorted(counts.items(), key=lambda x: -x[1]) if n and 2 * n > most]
+
+
+def content_words(query: str) -> list[str]:
+    """The words of a query without small ones: those of its languages, or of all if they leave nothing."""
+    small = set().union(*(QUESTION_WORDS[k] for k in query_languages(query)), {"d", "l"})
+    ws = [w for w in dict.fromkeys(words_of(query)) if len(w) > 1 or w.isdigit()]
+    return [w for w in ws if w not in small] or ws
+
+
+def anchors(words: list[str], frequencies: dict[str, int] | None, docs: int) -> tuple[list[str], list[tuple[str, str]]]:
+    """The rarest words of a query and its rarest pairs of neighbours.
+
+    Words that no document has are no anchors. A pair's rarity is what chance would give, the product of its
+    frequencies. Without frequencies longer words count as rarer.
+    """
+    if frequencies is None:
+        n = {w: 1 / len(w) for w in words}
+        docs = 1
+    else:
+        n = {w: frequencies[w] for w in words if frequencies.get(w)}
+    long = [w for w in words if w in n and len(w) > 3]
+    single = sorted(long, key=lambda w: (n[w], words.index(w)))[:ANCHORS]
+    near = [(a, b) for a, b in zip(long, long[1:], strict=False)]
+    return single, sorted(near, key=lambda p: (n[p[0]] * n[p[1]] / max(1, docs), words.index(p[0])))[:PAIRS]
+
+
+def strategies(
+    query: str, synonyms: dict[str, list[str]] = SYNONYMS, expander=None, frequencies: dict[str, int] | None = None, docs: int = 1, compounds: dict[str, list[str]] | None = None, fields=FIELD_WEIGHTS,
+) -> list[tuple[str, str, float]]:
+    """(name, query, weight) of the searches that stand for a query, surest first.
+
+    expander: more terms for a query, none by default. frequencies: documents by term, from the index, to choose anchors by;
+    compounds: parts of the query's compounds. A query in one language asks for documents in that language, too.
+    """
     if intent(query) == "explicit":
         return [("raw", query, STRATEGY_WEIGHTS["raw"])]
-    ws = words_of(query)
-    out = [("and", " AND ".join(ws), STRATEGY_WEIGHTS["and"]), ("or", " OR ".join(ws), STRATEGY_WEIGHTS["or"])]
-    if len(ws) > 1:
-        out.append(("phrase", '"' + " ".join(ws) + '"', STRATEGY_WEIGHTS["phrase"]))
-    out += [(f, " OR ".join(f"{f}:{w}" for w in ws), STRATEGY_WEIGHTS[f]) for f in ("regeste", "title")]
-    if more := expansions(ws, synonyms) + list(expander(query) if expander else []):
-        out.append(("expanded", " OR ".join([*ws, *more]), STRATEGY_WEIGHTS["expanded"]))
+    ws = content_words(query)
+    out = [("nl_and", " AND ".join(ws))]
+    if len(words_of(query)) > 1:
+        out.append(("quoted", '"' + " ".join(words_of(query)) + '"'))
+    out += [(f"{f}_focus", " OR ".join(f"{f}:{w}" for w in ws)) for f in ("regeste", "title") if f in fields]
+    out = [(name, q, STRATEGY_WEIGHTS[name]) for name, q in out]
+    single, pairs = anchors(ws, frequencies, docs)
+    out += [(f"anchor_pair_{a}_{b}", f"{a} AND {b}", PAIR_WEIGHT) for a, b in pairs] + [(f"anchor_{w}", w, ANCHOR_WEIGHT) for w in single if len(ws) > 1]
+    if "language" in fields:
+        out += [(f"lang_{k}_and", " AND ".join([f"language:{k}", *ws]), LANGUAGE_WEIGHT) for k in query_languages(query)[:1] if k != "en"]
+    out.append(("nl_or", " OR ".join(ws), STRATEGY_WEIGHTS["nl_or"]))
+    if more := expansions(ws, synonyms, compounds) + list(expander(query) if expander else []):
+        out.append(("nl_or_expanded", " OR ".join([*ws, *more]), STRATEGY_WEIGHTS["nl_or_expanded"]))
     return out
 
 
@@ -368,20 +427,27 @@ def rerank(candidates: DataFrame, query: str, language: str | None = None) -> Da
     return candidates.withColumn("relevance_score", total).orderBy(F.desc("relevance_score"), F.col("decision_date").desc_nulls_last(), "doc")
 
 
-def find(df: DataFrame, query: str, limit: int = 10, pool: int = 200, language: str | None = None, filters: Column | None = None, index: Index | None = None) -> DataFrame:
+def find(
+    df: DataFrame, query: str, limit: int = 10, pool: int = 200, language: str | None = None, filters: Column | None = None, index: Index | None = None, compounds: DataFrame | None = None,
+) -> DataFrame:
     """The whole way of a query: strategies, fusion, signals, order; one row a decision, never a column named rank.
 
-    index: of df, by default made anew. The ``pool`` best of each strategy are fused, and only their rows are read.
+    index: of df, by default made anew. The ``pool`` best of each strategy are fused; only their rows are read, if the
+    index has a store of documents, else df is read once. compounds: (term, parts), to look up the query's words in.
     """
     fields = {f: w for f, w in FIELD_WEIGHTS.items() if f in df.columns}
     index = index or Index.of(df, list(fields))
-    runs = strategies(query)
+    ws = content_words(query)
+    runs = strategies(query, frequencies=index.frequencies(ws, list(fields)), docs=index.docs, compounds=of_words(compounds, ws) if compounds is not None else None, fields=fields)
     allowed = None if filters is None else df.where(filters).select(F.col("decision_id").alias("doc"))
     hits = run(index, [(name, parse(q)) for name, q, _ in runs], fields, allowed)
     weight = F.element_at(F.create_map(*(F.lit(x) for name, _, w in runs for x in (name, w))), F.col("name"))
     best = ranked(hits, key=["name"]).where(F.col("rank") <= pool).withColumn("weight", weight)
     fused = best.groupBy("doc").agg(F.sum(F.col("weight") / (RRF_CONSTANT + F.col("rank"))).alias("rrf"), F.countDistinct("name").alias("hits"), F.max("score").alias("bm25"))
-    # pool rows a strategy at most
+    if index.store is not None:  # pool rows a strategy at most, of one id and three numbers
+        found = fused.collect()
+        fused = df.sparkSession.createDataFrame(found, fused.schema)
+        df = index.fetch([r["doc"] for r in found])
     rows = df.join(F.broadcast(fused), df["decision_id"] == fused["doc"]).withColumn("snippet", best_passage("full_text", words_of(query)))
     return rerank(rows, query, language).select("decision_id", "docket_number", "title", "snippet", "relevance_score").limit(limit)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import structure
-from ..operators import search, vectorindex, vectors
+from ..functions.text import tokens
+from ..operators import compounds, search, vectorindex, vectors
 from ..operators.index import index_for
 from ..operators.lineage import shared_folder, stored
 from .base import decisions
@@ -22,7 +23,7 @@ def documents(spark, sf_dir):
 def indexed(spark, sf_dir):
     """The index of the decisions, made once an application. Its documents are those of the table, under the ids of decisions."""
     d = decisions(spark, sf_dir)
-    return index_for(spark, f"decisions of {sf_dir}", lambda: d, [f for f in search.FIELD_WEIGHTS if f in d.columns])
+    return index_for(spark, f"decisions of {sf_dir}", lambda: d, [f for f in search.FIELD_WEIGHTS if f in d.columns], keep=[f for f in (*search.FIELD_WEIGHTS, "decision_date") if f in d.columns])
 
 
 def vector_index(spark, sf_dir):
@@ -163,6 +164,39 @@ def chunk_knn(spark, sf_dir):
     return vectors.best_chunk(e, q, 40, "doc_of").select("doc", F.round("distance", 5).alias("distance")).orderBy("distance", "doc").limit(10)
 
 
+QUESTION = "Je cherche un arrêt sur that this with than ther inthe"
+ASKED = ["that", "this", "with", "than", "ther", "inthe"]
+
+
+@query(
+    f"""WITH {WORDS}, d AS (SELECT DISTINCT doc, unnest(t) AS term FROM w), n AS (SELECT term, count(*) AS df FROM d WHERE term IN {tuple(ASKED)} GROUP BY term),
+    a AS (SELECT term, row_number() OVER (ORDER BY df, list_position({ASKED}, term)) AS o FROM n),
+    c AS (SELECT term, df, row_number() OVER (ORDER BY list_position({ASKED}, term)) AS i FROM n),
+    p AS (SELECT x.term AS a, y.term AS b, row_number() OVER (ORDER BY x.df * y.df, x.i) AS o FROM c x JOIN c y ON y.i = x.i + 1)
+    SELECT 'anchor_pair_' || a || '_' || b AS name, x.doc FROM p JOIN d x ON x.term = a JOIN d y ON y.term = b AND y.doc = x.doc WHERE o <= 3
+    UNION ALL SELECT 'anchor_' || term, doc FROM a JOIN d USING (term) WHERE o <= 2
+    UNION ALL SELECT 'lang_fr_and', doc_id FROM documents WHERE lang = 'fr' AND (SELECT count(*) FROM d WHERE doc = doc_id AND term IN {tuple(ASKED)}) = {len(ASKED)}"""
+)
+def anchored(spark, sf_dir):
+    """What a question's anchors, pairs of anchors and language find: strategies chosen by the index's frequencies."""
+    index, fields = indexed(spark, sf_dir), {"full_text": 1.2, "language": 0.8}
+    ws = search.content_words(QUESTION)
+    runs = search.strategies(QUESTION, frequencies=index.frequencies(ws, ["full_text"]), docs=index.docs, fields=fields)
+    runs = [(name, search.parse(q)) for name, q, _ in runs if name.startswith(("anchor_", "lang_"))]
+    return of_documents(search.run(index, runs, fields)).select("name", "doc")
+
+
+TERMS = f"WITH {WORDS} SELECT term, count(*) AS df FROM (SELECT DISTINCT doc, unnest(t) AS term FROM w) GROUP BY term"
+
+
+@query(compounds.oracle(TERMS))
+def compounds_split(spark, sf_dir):
+    """All words of the documents that are made of others."""
+    d = documents(spark, sf_dir)
+    terms = d.select(F.explode(F.array_distinct(tokens("full_text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    return compounds.splits(terms).select("term", F.array_join("parts", "+").alias("parts"))
+
+
 HEADING = structure.SECTION.removeprefix("(?dimuU)")
 TRIMMED = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 
