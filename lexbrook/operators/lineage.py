@@ -44,10 +44,12 @@ def stored(spark: SparkSession, name: str, make) -> DataFrame:
 
 def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
     """df with a number from 1 in the order given, without bringing all rows into one task: rows are dealt out by ranges,
-    numbered there and counted; how many rows lie before a range is a table of one row a range, which is broadcast."""
+    numbered there and counted. Only the counts, one a range, are collected; how many rows lie before a range is broadcast."""
     dealt = checkpointed(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    starts, at = [], 0
+    for r in sorted(dealt.groupBy("_part").agg(F.count("*").alias("n")).collect()):
+        starts.append((r["_part"], at))
+        at += r["n"]
+    starts = df.sparkSession.createDataFrame(starts, "_part int, _before long")
     own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     return dealt.withColumn(name, own).join(F.broadcast(starts), "_part").withColumn(name, F.col(name) + F.col("_before")).drop("_part", "_before")

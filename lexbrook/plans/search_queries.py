@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import structure
 from ..functions.text import tokens
-from ..operators import compounds, search, vectorindex, vectors
+from ..operators import compounds, search, sparseindex, vectorindex, vectors
 from ..operators.index import index_for
 from ..operators.lineage import shared_folder, stored
 from .base import decisions
@@ -164,6 +164,19 @@ def chunk_knn(spark, sf_dir):
     return vectors.best_chunk(e, q, 40, "doc_of").select("doc", F.round("distance", 5).alias("distance")).orderBy("distance", "doc").limit(10)
 
 
+@query(
+    """WITH s AS (SELECT vec_id AS id, unnest(embedding) AS weight, unnest(range(len(embedding))) AS token_id FROM embeddings), t AS (SELECT id, token_id, weight::DOUBLE AS weight FROM s WHERE weight > 0.01),
+    q AS (SELECT id AS query_id, token_id, weight AS w FROM t WHERE id % 50 = 0), p AS (SELECT query_id, t.id, sum(w * weight) AS score FROM q JOIN t USING (token_id) GROUP BY ALL)
+    SELECT query_id, id, round(score, 6) AS score FROM p QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) <= 10"""
+)
+def sparse_topk(spark, sf_dir):
+    """The ten best sparse vectors of each query, from blocks by impact."""
+    terms = vectors.sparse_terms(table(spark, sf_dir, "embeddings"))
+    index = sparseindex.SparseIndex.build(terms)
+    found, _ = index.search(terms.where("id % 50 = 0").select(F.col("id").alias("query_id"), "token_id", F.col("weight").alias("w")), 10)
+    return found.select("query_id", "id", F.round("score", 6).alias("score"))
+
+
 QUESTION = "Je cherche un arrêt sur that this with than ther inthe"
 ASKED = ["that", "this", "with", "than", "ther", "inthe"]
 

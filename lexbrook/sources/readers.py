@@ -129,31 +129,3 @@ def curriculum(spark: SparkSession, path) -> DataFrame:
     mods = df.select("area_id", F.posexplode("modules").alias("m", "mod"))
     cases = mods.select("area_id", "m", F.col("mod.id").alias("module_id"), "mod.name_de", "mod.name_fr", F.posexplode("mod.cases").alias("c", "case"))
     return cases.select("area_id", "module_id", "name_de", "name_fr", (F.col("m") * 10_000 + F.col("c")).alias("position"), "case.*")
-
-
-def paged_source(fetch, size: int, schema: str):
-    """A batch source for pyspark.sql.datasource that asks fetch(offset, size) for pages until one is short."""
-    from pyspark.sql.datasource import DataSource, DataSourceReader
-
-    class Reader(DataSourceReader):
-        def read(self, partition):
-            offset = 0
-            while True:
-                rows = fetch(offset, size)
-                yield from (tuple(r) for r in rows)
-                if len(rows) < size:
-                    return
-                offset += size
-
-    class Paged(DataSource):
-        @classmethod
-        def name(cls):
-            return "paged"
-
-        def schema(self):
-            return schema
-
-        def reader(self, schema):
-            return Reader()
-
-    return Paged

@@ -30,16 +30,21 @@ def rocksdb(spark: SparkSession):
             spark.conf.set(STORE, before)
 
 
+def micros(at) -> int:
+    """Microseconds of a time, which may come with a zone or, as Spark's rows do, in the worker's own."""
+    return round(at.timestamp() * 1_000_000)
+
+
 class Lifetimes(StatefulProcessor):
     """Of each key: when it was fetched (never forgotten), when it was first found missing (forgotten after ``ttl``), attempts."""
 
     def __init__(self, ttl: timedelta):
-        self.ttl = ttl
+        self.ttl = ttl // timedelta(microseconds=1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.done = handle.getValueState("done", "at timestamp")
-        self.gap = handle.getValueState("gap", "at timestamp")
+        self.done = handle.getValueState("done", "at long")
+        self.gap = handle.getValueState("gap", "at long")
         self.tries = handle.getValueState("tries", "n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
@@ -48,15 +53,16 @@ class Lifetimes(StatefulProcessor):
         tries = self.tries.get()[0] if self.tries.exists() else 0
         had, tried = done, tries
         for r in sorted(rows, key=lambda r: (r["ts"], r["event"] is not None, r["event"])):
-            if gap is not None and r["ts"] - gap >= self.ttl:
+            at = micros(r["ts"])
+            if gap is not None and at - gap >= self.ttl:
                 gap = None
             known = done is not None or gap is not None
             if r["kind"] != "asked":
                 tries += 1
             if r["kind"] == "done" and done is None:
-                done = r["ts"]
+                done = at
             elif r["kind"] == "gap" and not known:
-                gap = r["ts"]
+                gap = at
             yield Row(key=key[0], event=r["event"], ts=r["ts"], kind=r["kind"], known=known, attempts=tries)
         if done != had:
             self.done.update((done,))
@@ -67,11 +73,11 @@ class Lifetimes(StatefulProcessor):
                 self.gap.clear()
             else:
                 self.gap.update((gap,))
-                self.handle.registerTimer(int((gap + self.ttl).timestamp() * 1000))
+                self.handle.registerTimer((gap + self.ttl) // 1000)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """The watermark has passed a gap's end: it takes no more room. A gap that was marked later stays."""
-        if self.gap.exists() and int((self.gap.get()[0] + self.ttl).timestamp() * 1000) <= expiredTimerInfo.getExpiryTimeInMs():
+        if self.gap.exists() and (self.gap.get()[0] + self.ttl) // 1000 <= expiredTimerInfo.getExpiryTimeInMs():
             self.gap.clear()
         return iter(())
 

@@ -186,8 +186,6 @@ def test_laws():
     assert S.xml_articles(xml) == [{"article_num": "5", "heading": "H", "text": "Ein Satz hier.", "footnote": "AS 2020 1"}] and S.xml_articles("<a") == []
     assert [p["page_num"] for p in S.debate_pages("x [Page 3] " + "a" * 30 + " [Page 4] kurz")] == [3] and S.debate_pages("ohne")[0]["page_num"] == 1
     assert [p["num"] for p in S.sub_paragraphs("3", "Kopf.\n3.1 eins. 3.2 zwei")] == ["3", "3.1", "3.2"]
-    assert S.bundle_numbers(["Titel", "Nr. 1\nText", "Nr. 9 zitiert", "Nr. 2\nText", "Nr. 2\nmehr"]) == [None, 1, 1, 2, 2]
-    assert [x["path"] for x in S.law_tree({"number": "1", "children": [{"number": "2", "text": "t"}]})] == ["1/2"]
 
 
 def test_gap_queue_rules(spark):
