@@ -48,6 +48,8 @@ HELD = 1 << 16
 CHECKED = 48
 #: Steps of distance in which a place's groups are joined, the nearest first.
 STEPS = 6
+#: Shingles of the sets that one side of an exact comparison holds, about; larger families are compared in blocks, two at a time.
+SHINGLES = 1 << 18
 #: Crowded places that are broadcast at most; more of them are joined by a shuffle.
 MOST_SENT = 100_000
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -250,20 +252,23 @@ def shape(n: int, least: float, recall: float = 0.999, block: int = BLOCK) -> tu
     """(planes, segments of a plane) for n different texts: segments so long that chance brings no more than a
     block to a place, and planes so many that a pair of Jaccard ``least`` meets with probability ``recall`` or more.
 
-    A pair meets in a segment of b bits if it differs there in one bit or none: (1 - p)^b + b p (1 - p)^(b - 1).
+    A pair meets in a segment of b bits if it differs there in one bit or none: (1 - p)^b + b p (1 - p)^(b - 1). Segments never get
+    longer than a third of a plane: beyond that (some 5 * 10^9 texts) places hold more than a block and are split, as crowded ones
+    are at any size.
     """
-    cut = next((c for c in (5, 4, 3) if n / 2 ** (BITS / c - 1) <= block), 2)
+    cut = next((c for c in (5, 4) if n / 2 ** (BITS / c - 1) <= block), 3)
     p, b = share_of_bits(least), BITS / cut
     meets = (1 - p) ** b + b * p * (1 - p) ** (b - 1)
     return math.ceil(math.log(1 - recall) / math.log(1 - meets) / cut), cut
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, recall: float = 0.999, block: int = BLOCK, sets_in_block: int = 512, cut: tuple[int, int] | None = None) -> DataFrame:
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8, recall: float = 0.999, block: int = BLOCK, shingles_in_block: int = SHINGLES, cut: tuple[int, int] | None = None) -> DataFrame:
     """(id, group, text_hash) for each row of docs; group is the same just for rows that are linked.
 
     Candidates are pairs that meet in the index and differ in no more bits than pairs of Jaccard ``least`` do but for one in ten
-    thousand; candidates that are connected form a family. Sets of a family's texts meet in one task (of a large family in blocks, each
-    two of them in a task of its own) and are compared there exactly, so what leaves a task is only what joins two groups.
+    thousand; candidates that are connected form a family. Sets of a family's texts meet in one task (of a family of more than
+    ``shingles_in_block`` shingles in blocks, each two of them in a task of its own) and are compared there exactly, so what
+    leaves a task is only what joins two groups, and a task holds the shingles of two blocks, or of one longer text.
     ``recall`` is that a pair of just ``least`` meets; likelier pairs are found more surely. cut: (planes, segments of each), by
     default as ``shape`` says.
     """
@@ -300,8 +305,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     tried = checkpointed(alike(meet(nodes, planes, segs, most, block)))
     families = checkpointed(connected_components(tried).select(F.col("node").alias("key"), F.col("root").alias("family")))
-    blocks = checkpointed(families.groupBy("family").agg(F.ceil(F.count("*") / sets_in_block).cast("int").alias("blocks")))
-    members = checkpointed(families.join(blocks, "family").join(nodes.select("key", "text_hash"), "key"))
+    sized = families.join(nodes.select("key", "n", "text_hash"), "key")
+    blocks = checkpointed(sized.groupBy("family").agg(F.ceil(F.sum("n") / shingles_in_block).cast("int").alias("blocks")))
+    members = checkpointed(sized.drop("n").join(blocks, "family"))
     shown = members.select(F.col("text_hash").alias("carry")).distinct()
     texts = rows.join(F.broadcast(shown) if members.count() <= MOST_SENT else shown, "carry", "left_semi").select("id", "text", "carry").dropDuplicates(["carry"])
     sets = map_arrow(texts, lambda: listed, "key long, shingles array<long>").select("key", "shingles").dropDuplicates(["key"])
@@ -316,26 +322,40 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def joined(met: pa.Table, least: float) -> pa.Table:
     """Links (a, b) between sets (key, shingles): enough to join all that have a pair of a Jaccard of ``least`` or more.
 
-    Each set is counted against the later ones by way of the shingles that it shares with them, nothing is counted twice.
+    A set is counted against those behind it that it is not joined with yet and whose size allows it: by way of the owners of its
+    shingles, or through their own shingles, whichever are fewer. Near copies join at once, so most of a family is counted once.
     """
     keys = met["key"].to_numpy()
     lists = met["shingles"].combine_chunks()
     sizes = lists.value_lengths().to_numpy().astype(np.int64)
     words = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
-    ends = np.cumsum(sizes)
+    starts = np.cumsum(sizes) - sizes
     order = np.argsort(words, kind="stable")  # so owners of a shingle stand in order
     owner, cuts = np.repeat(np.arange(len(keys)), sizes)[order], np.searchsorted(words[order], np.arange(words.max(initial=-1) + 2))
     place = np.empty(len(words), np.int64)
     place[order] = np.arange(len(words))  # where each shingle of each set stands among its owners
-    label = np.arange(len(keys))
+    label, marked = np.arange(len(keys)), np.zeros(len(cuts), bool)
+
+    def all_of(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The places of all ranges of n from begin on."""
+        return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
     found: list[tuple[int, int]] = []
     for i in range(len(keys) - 1):
-        own = np.arange(ends[i] - sizes[i], ends[i])
+        behind = np.arange(i + 1, len(keys))
+        fits = np.minimum(sizes[behind], sizes[i]) >= least * np.maximum(sizes[behind], sizes[i])
+        others = behind[fits & (label[behind] != label[i])]
+        if not len(others):
+            continue
+        own = slice(starts[i], starts[i] + sizes[i])
         begin, n = place[own] + 1, cuts[words[own] + 1] - place[own] - 1  # the owners behind this set
-        at = np.repeat(begin - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-        shared = np.bincount(owner[at], minlength=len(keys))[i + 1 :]
-        union = sizes[i] + sizes[i + 1 :] - shared
-        for j in (np.flatnonzero((shared >= least * union) & (label[i + 1 :] != label[i])) + i + 1).tolist():
+        if n.sum() <= sizes[others].sum():
+            shared = np.bincount(owner[all_of(begin, n)], minlength=len(keys))[others]
+        else:
+            marked[words[own]] = True
+            shared = np.add.reduceat(marked[words[all_of(starts[others], sizes[others])]].astype(np.int64), np.cumsum(sizes[others]) - sizes[others])
+            marked[words[own]] = False
+        for j in others[shared >= least * (sizes[i] + sizes[others] - shared)].tolist():
             a, b = label[i], label[j]
             if a != b:
                 label[label == max(a, b)] = min(a, b)

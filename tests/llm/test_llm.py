@@ -225,7 +225,7 @@ def test_near_copies_match_brute_force(spark, documents, odd, nothing, cut, bloc
         crowd[i] = " ".join(w)
     for docs in (crowd, {r["doc_id"]: r["text"] for r in documents.collect()}):
         df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
-        kept, want = {r["doc_id"] for r in simhash.representatives(df, cut=cut, block=block, sets_in_block=512 if block > 16 else 7).collect()}, set(brute_likeness(docs, 0.8).values())
+        kept, want = {r["doc_id"] for r in simhash.representatives(df, cut=cut, block=block, shingles_in_block=simhash.SHINGLES if block > 16 else 1000).collect()}, set(brute_likeness(docs, 0.8).values())
         if cut:
             assert kept == want
         else:  # no link is wrong, and nine of ten are found
