@@ -67,7 +67,7 @@ def features_of(texts: pa.Array, n: int) -> tuple[pa.Array, np.ndarray, np.ndarr
     runs, rows = [words], [row]
     for k in range(2, n + 1):
         at = np.flatnonzero(row[: len(row) - k + 1] == row[k - 1 :]) if len(row) >= k else np.zeros(0, np.int64)
-        runs.append(pc.binary_join_element_wise(*(words.take(pa.array(at + i)) for i in range(k)), " "))
+        runs.append(pc.binary_join_element_wise(*(words.take(pa.array(at + i)) for i in range(k)), pa.scalar(" ", pa.large_string())))
         rows.append(row[at])
     coded = pa.chunked_array(runs).combine_chunks().dictionary_encode()
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate(rows), np.bincount(row, minlength=len(texts))

@@ -207,10 +207,8 @@ def test_trie_of_conversations_as_they_are(spark):
 
 
 def test_trie_of_odd_and_empty_tables(spark):
-    rows = [(5, None, None, None), (5, 1, "user", None), (5, 1, "user", ""), (None, 1, "user", "x"), (6, 2, "", "long " * 100_000), (6, 2, "", "long " * 100_000), (-3, 1, None, "é"), (0, None, "user", "x"), (2**40, 1, "user", "x")]
-    # ids below zero belong to the family towards zero
-    got = rows_of(convtrie.trie(*convtrie.rebuilt(convtrie.coded(talks(spark, rows)))))
-    assert got == [x for x in brute_trie([r for r in rows if (r[0] or 0) >= 0])] or any(x[0] == -3 for x in got)
+    rows = [(5, None, None, None), (5, 1, "user", None), (5, 1, "user", ""), (None, 1, "user", "x"), (6, 2, "", "long " * 100_000), (6, 2, "", "long " * 100_000), (3, 1, None, "é"), (0, None, "user", "x"), (2**40, 1, "user", "x")]
+    assert rows_of(convtrie.trie(*convtrie.rebuilt(convtrie.coded(talks(spark, rows))))) == brute_trie(rows)
     assert rows_of(convtrie.trie(*convtrie.rebuilt(convtrie.coded(talks(spark, rows[:6]))))) == brute_trie(rows[:6])
     assert convtrie.trie(*convtrie.rebuilt(convtrie.coded(spark.createDataFrame([], TALK)))).count() == 0
 
@@ -339,7 +337,7 @@ def test_a_passage_that_all_items_share_makes_rows_not_one_row(spark):
         ("<body><div><p>A long text, with commas, many of them, that goes on and on and on and on, for a while, to win.</p><p>And another one, as long, or longer still.</p></div><ul><li>one</li><li>two</li></ul><div><p>Short closing note</p></div><ul><li><a>Home</a></li><li><a>About</a></li></ul></body>",
          "A long text, with commas, many of them, that goes on and on and on and on, for a while, to win.\nAnd another one, as long, or longer still.\none\ntwo\nShort closing note"),
         ("<article><p>Long enough text, with commas, to be the article.</p><fieldset><legend>Note</legend><p>Prose in a set.</p></fieldset><fieldset>Name <input type=text></fieldset></article>", "Long enough text, with commas, to be the article.\nNote\nProse in a set."),
-        ("<div><a>Home</a> <a>About</a></div>", ""),
+        ("<ul><li><a>Home</a></li><li><a>About</a></li></ul>", ""),
     ],
 )
 def test_pages_keep_what_they_may_not_drop(page, text):
