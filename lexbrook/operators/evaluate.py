@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .lineage import numbered
+from .lineage import running
 
 
 def judged(results: DataFrame, judgments: DataFrame, k: int) -> DataFrame:
@@ -53,23 +53,14 @@ def by_tag(per: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def latency(rows: DataFrame, value: str = "latency_ms") -> DataFrame:
-    """Mean and 95th percentile as the element at int(0.95 n) - 1 of the sorted values; found among the counts of equal values."""
+    """Mean and 95th percentile as the element at int(0.95 n) - 1 of the sorted values; found among the counts of equal values,
+    which are dealt out by ranges."""
     v = F.col(value).cast("double")
     counts = rows.where(v.isNotNull()).groupBy(v.alias("v")).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("n"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("mean")).first()
-    n = total["n"] or 0
-    upto = numbered(counts, "_k", F.asc("v"))
-    # values by their place, in ranges: how many come before each, from sums of the ranges
-    size = 1024
-    blocks = sorted((r["b"], r["n"]) for r in upto.groupBy(F.floor(F.col("_k") / size).alias("b")).agg(F.sum("n").alias("n")).collect())
-    wanted, before, block = max(int(0.95 * n), 1), 0, 0
-    for block, m in blocks:
-        if before + m >= wanted:
-            break
-        before += m
-    w = Window.partitionBy("_b").orderBy("v")
-    near = upto.withColumn("_b", F.floor(F.col("_k") / size)).where(F.col("_b") == block).withColumn("_upto", F.sum("n").over(w) + before)
-    return near.where(F.col("_upto") >= wanted).agg(F.lit(total["mean"]).cast("double").alias("mean"), F.min("v").alias("p95"))
+    wanted = max(int(0.95 * (total["n"] or 0)), 1)
+    upto = running(counts, "_upto", "n", F.asc("v"))
+    return upto.where(F.col("_upto") >= wanted).agg(F.lit(total["mean"]).cast("double").alias("mean"), F.min("v").alias("p95"))
 
 
 def merged_goldens(sets: list[DataFrame]) -> DataFrame:

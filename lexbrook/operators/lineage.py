@@ -53,3 +53,16 @@ def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
     starts = df.sparkSession.createDataFrame(starts, "_part int, _before long")
     own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     return dealt.withColumn(name, own).join(F.broadcast(starts), "_part").withColumn(name, F.col(name) + F.col("_before")).drop("_part", "_before")
+
+
+def running(df: DataFrame, name: str, value: str, *order: Column) -> DataFrame:
+    """df with the sum of ``value`` over all rows up to each one, in an order without ties; dealt out as ``numbered`` does, by ranges
+    whose sums alone are collected."""
+    dealt = checkpointed(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    starts, at = [], 0
+    for r in sorted(dealt.groupBy("_part").agg(F.sum(value).alias("n")).collect()):
+        starts.append((r["_part"], at))
+        at += r["n"] or 0
+    starts = df.sparkSession.createDataFrame(starts, "_part int, _before long")
+    own = F.sum(value).over(Window.partitionBy("_part").orderBy(*order))
+    return dealt.withColumn(name, own).join(F.broadcast(starts), "_part").withColumn(name, F.col(name) + F.col("_before")).drop("_part", "_before")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import classify_client, noisy_count, status_bucket, text
+from .lineage import running
 
 #: Classes of clients that are not counted, and when counts are published.
 BOTS = ["bot_google", "bot_bing", "bot_duckduck", "bot_yandex", "bot_apple", "bot_petal", "bot_scanner", "bot_seo", "bot_other"]
@@ -120,10 +121,13 @@ def hourly(rows: DataFrame, ts: str = "ts", last: int = 48) -> DataFrame:
 
 
 def latency_summary(rows: DataFrame, value: str, *keys, shares=(0.5, 0.95, 0.99)) -> DataFrame:
-    """Percentiles by index, by counting instead of collecting: places come from a running count of equal values."""
+    """Percentiles by index, by counting instead of collecting: places come from a running count of equal values over all keys in
+    order, dealt out by ranges, so a key with very many values is counted by many tasks."""
     counts = rows.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("c"))
-    w = Window.partitionBy(*keys).orderBy(value)
-    placed = counts.withColumn("upto", F.sum("c").over(w)).withColumn("n", F.sum("c").over(Window.partitionBy(*keys)))
+    upto = running(counts, "_upto", "c", *(F.col(k) for k in keys), F.col(value))
+    starts = upto.groupBy(*keys).agg(F.min(F.col("_upto") - F.col("c")).alias("_start"), F.sum("c").alias("n"))
+    same = [F.col(f"u.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    placed = upto.alias("u").join(starts.alias("s"), same).select(*(F.col(f"u.{k}") for k in keys), f"u.{value}", "n", (F.col("_upto") - F.col("_start")).alias("upto"))
     aggs = [F.min(F.when(F.col("upto") > F.floor(F.col("n") * p), F.col(value))).alias(f"p{round(p * 100)}") for p in shares]
     return placed.groupBy(*keys).agg(F.max("n").alias("n"), *aggs)
 

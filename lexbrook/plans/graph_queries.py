@@ -54,6 +54,17 @@ def citation_edges(spark, sf_dir):
     return graph.citation_edges(decisions(spark, sf_dir), F.col("refs"))
 
 
+@query(f"""{EDGES}, pr AS (SELECT src, ref FROM edges WHERE kind = 'docket' AND CAST(substring(src, 2) AS BIGINT) % 10 = 0 UNION ALL SELECT 'd' || doc_id, '9Z_' || doc_id || '/1999' FROM documents WHERE doc_id % 10 = 5)
+    SELECT coalesce(e.src, pr.src) AS source_decision_id, coalesce(e.ref, pr.ref) AS target_ref, coalesce(e.kind, 'docket') AS target_type, 1 AS mention_count, CASE WHEN pr.src IS NULL THEN 0 ELSE 1 END AS is_prior
+    FROM edges e FULL JOIN pr ON pr.src = e.src AND pr.ref = e.ref""")
+def prior_edges(spark, sf_dir):
+    """Citations and earlier instances together: an earlier instance that is cited as well counts once, one that is not is an edge of its own."""
+    d = decisions(spark, sf_dir)
+    cited = graph.citation_edges(d, F.col("refs")).where("target_type = 'docket'").where(F.substring("source_decision_id", 2, 20).cast("long") % 10 == 0).select("source_decision_id", "target_ref")
+    more = d.where("doc_id % 10 = 5").select(F.col("decision_id").alias("source_decision_id"), F.concat(F.lit("9Z_"), F.col("doc_id").cast("string"), F.lit("/1999")).alias("target_ref"))
+    return graph.citation_edges(d, F.col("refs"), prior=cited.unionByName(more))
+
+
 #: Whole texts with their references behind them, parsed by both sides.
 BODIES = f"{WITH}, t AS (SELECT decision_id, full_text || chr(10) || refs AS b FROM decisions)"
 REPORT, DOCKET1, DOCKET2, BARE = r"\bBGE\s+\d{1,3}\s+[IVX]{1,4}\s+\d{1,4}\b", r"\b[A-Z0-9]{1,4}[._-]\d{1,6}[/_]\d{4}\b", r"\b[A-Z]{1,6}\.\d{4}\.\d{1,6}\b", r"\b\d{1,3}\s+[IVX]{1,4}\s+\d{1,4}\b"

@@ -9,7 +9,7 @@ from ..functions import text as X
 from ..operators import graph, library, quality, resolve, search, traffic
 from .base import WITH, decisions
 from .registry import query, table
-from .search_queries import TEXT_ONLY, TOK, indexed
+from .search_queries import TEXT_ONLY, TOK, WORDS, bm25_sql, indexed
 
 #: Lists of dockets, one for each order: one that is there, one report, and one that is not.
 LISTS = "SELECT o_orderkey, 'Art. ' || (o_orderkey % 12 + 1) AS label, '4A_' || (o_orderkey % 200) || '/2019' AS d1, 'BGE ' || (100 + o_orderkey % 50) || ' III ' || (o_orderkey % 200) AS d2 FROM orders"
@@ -236,3 +236,48 @@ def numbers_in_order(spark, sf_dir):
     number = F.concat(F.lit("1."), F.col("l_quantity").cast("int").cast("string"), F.lit("."), F.col("l_linenumber").cast("string"))
     w = Window.partitionBy("l_orderkey").orderBy("k")
     return table(spark, sf_dir, "lineitem").withColumn("k", structure.by_number(number)).select("l_orderkey", "l_linenumber", F.row_number().over(w).alias("place"))
+
+
+def corpus_sql(where: str, corpus: int) -> str:
+    words = WORDS.replace("FROM documents", f"FROM documents WHERE {where}")
+    return f"(SELECT doc, score, row_number() OVER (ORDER BY score DESC, doc) AS rank, {corpus} AS corpus FROM (WITH {words}, {bm25_sql(['trash', 'idiot', 'dans'])} SELECT doc, score FROM b ORDER BY score DESC, doc LIMIT 20))"
+
+
+@query(f"SELECT doc, round(score, 6) AS score, rank FROM (SELECT * FROM {corpus_sql('doc_id % 3 > 0', 0)} UNION ALL SELECT * FROM {corpus_sql('doc_id % 3 = 0', 1)}) ORDER BY rank, corpus LIMIT 20")
+def laws_searched(spark, sf_dir):
+    """Two bodies of texts, each ranked by its own frequencies, in turns."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("article_id"), "text", F.lit("ZH").alias("canton"))
+    found = library.search_laws(d.where("article_id % 3 > 0"), d.where("article_id % 3 = 0"), "trash OR idiot OR dans")
+    return found.select("doc", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query(f"WITH {WORDS}, {bm25_sql(['scum', 'loser'])} SELECT doc_id, round(score, 6) AS score, md5(text) AS text_md5 FROM b JOIN documents ON doc = doc_id ORDER BY score DESC, doc_id LIMIT 15")
+def table_searched(spark, sf_dir):
+    """Any table of texts, searched and joined with its own columns."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return library.search_table(d, "scum OR loser", {"text": 1.2}, "doc_id", 15).select("doc_id", F.round("score", 6).alias("score"), F.md5("text").alias("text_md5"))
+
+
+@query(f"""{WITH}, n AS (SELECT decision_id, substring(regeste, 1, 200) AS note FROM decisions WHERE length(regeste) >= 50), l AS (SELECT DISTINCT 'd' || (doc_id + 3) AS s, 'd' || doc_id AS t FROM documents),
+    pairs AS (SELECT s, t, note FROM l JOIN n ON n.decision_id = s WHERE t IN (SELECT decision_id FROM n)), w AS (SELECT 'd' || doc_id AS doc, {TOK} AS t FROM documents),
+    q AS (SELECT DISTINCT s, unnest({TOK.replace("text", "substring(note, 1, 100)")}) AS term FROM pairs), z AS (SELECT count(*) AS n, avg(len(t)) AS avgdl FROM w),
+    tf AS (SELECT doc, term, count(*) * 1.2 AS f, any_value(dl) AS dl FROM (SELECT doc, len(t) AS dl, unnest(t) AS term FROM w) GROUP BY doc, term), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+    sc AS (SELECT s, doc, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / avgdl))), 9) AS score FROM q JOIN tf USING (term) JOIN df USING (term), z GROUP BY s, doc),
+    b AS (SELECT s, doc, row_number() OVER (PARTITION BY s ORDER BY score DESC, doc) AS rank FROM sc QUALIFY rank <= 10)
+    SELECT count(*) AS pairs, count(rank) AS hits, round(count(rank) / count(*), 4) AS hit_rate, round(avg(coalesce(1 / rank, 0)), 4) AS mrr FROM pairs LEFT JOIN b ON b.s = pairs.s AND b.doc = pairs.t""")
+def retrieval_checked(spark, sf_dir):
+    """For all headnotes of citing decisions, whether the cited one is among the ten best by the words of the note."""
+    d = decisions(spark, sf_dir)
+    links = d.select(F.concat(F.lit("d"), (F.col("doc_id") + 3).cast("string")).alias("source_decision_id"), F.col("decision_id").alias("target_decision_id"))
+    return resolve.retrieval_check(indexed(spark, sf_dir), resolve.headnote_pairs(links, d), TEXT_ONLY)
+
+
+@query("""WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, unnest(range(len(string_split(text, chr(10))))) AS k FROM documents WHERE text IS NOT NULL)
+    SELECT 'd' || doc_id AS decision_id, array_to_string(list_sort(list_distinct(flatten(list(['ART.' || (length(t) % 5 + 1) || '.OR', 'ART.' || (k % 3 + 1) || '.ZGB'])))), ';') AS statutes,
+        md5(string_agg(substring(t, 1, CASE WHEN k = 0 THEN 1000 ELSE 500 END), '|' ORDER BY k)) AS excerpts_md5 FROM p GROUP BY doc_id""")
+def briefs_compared(spark, sf_dir):
+    """Of all paragraphs of each text the statutes, each once, and the beginnings."""
+    p = table(spark, sf_dir, "documents").where("text IS NOT NULL").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("decision_id"), F.posexplode(F.split("text", "\n")).alias("position", "text"))
+    statutes = F.array(F.concat(F.lit("ART."), (F.length("text") % 5 + 1).cast("string"), F.lit(".OR")), F.concat(F.lit("ART."), (F.col("position") % 3 + 1).cast("string"), F.lit(".ZGB")))
+    found = library.brief_statutes(p.withColumn("statutes", statutes))
+    return found.select("decision_id", F.array_join("statutes", ";").alias("statutes"), F.md5(F.array_join("excerpts", "|")).alias("excerpts_md5"))

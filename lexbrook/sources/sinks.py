@@ -12,8 +12,9 @@ from ..operators.lineage import checkpointed
 
 
 def export(df: DataFrame, path: str, by: str = "court") -> None:
-    """Zstandard Parquet by court; courts that are gone lose their files, since all of it is replaced."""
-    df.repartition(by).sortWithinPartitions(by).write.mode("overwrite").partitionBy(by).option("compression", "zstd").parquet(path)
+    """Zstandard Parquet by court; courts that are gone lose their files, since all of it is replaced. A court with very many rows is
+    written by several tasks, as Spark splits it by its size."""
+    df.hint("rebalance", F.col(by)).write.mode("overwrite").partitionBy(by).option("compression", "zstd").parquet(path)
 
 
 def upsert_partitions(df: DataFrame, path: str, key: list[str], by: str) -> None:
@@ -37,9 +38,9 @@ def daily_shard(df: DataFrame, path: str, day: str) -> None:
 
 
 def compact_months(spark: SparkSession, daily: str, path: str) -> None:
-    """Daily partitions in one file a month."""
+    """Daily partitions in one file a month, or in a few if the month is larger than what a task should write."""
     df = spark.read.parquet(daily).withColumn("month", F.substring(F.col("day").cast("string"), 1, 7))
-    df.repartition("month").write.mode("overwrite").partitionBy("month").option("compression", "zstd").parquet(path)
+    df.hint("rebalance", F.col("month")).write.mode("overwrite").partitionBy("month").option("compression", "zstd").parquet(path)
 
 
 def append_new(df: DataFrame, path: str, key: list[str], order=(), required: list[str] = ()) -> None:
@@ -68,16 +69,41 @@ def versions(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
     return [(int(n), v, f"{path}/v={v}~{u}") for n, v, u in (x.split("~") for x in names if x.count("~") == 2)]
 
 
-def versioned(df: DataFrame, path: str, version: str) -> str:
+class CommitConflict(RuntimeError):
+    """Another writer has committed after what this one had read."""
+
+
+def claimed(spark: SparkSession, path: str, number: int) -> bool:
+    """Whether this writer gets a number: the one that creates the number's file, as creating fails if it is there."""
+    fs, name = _files(spark, f"{path}/_numbers/{number:020d}")
+    try:
+        fs.create(name, False).close()
+    except Exception as e:
+        if "AlreadyExists" not in str(e) and not fs.exists(name):
+            raise
+        return False
+    return True
+
+
+def versioned(df: DataFrame, path: str, version: str, after: int | None = None) -> str:
     """Write a rebuilt table beside the old ones and commit it by creating one empty file, whose name says all, so there is no moment
-    at which no version or half a version counts. A place is never written twice. Returns the place."""
+    at which no version or half a version counts. A place is never written twice. Returns the place.
+
+    A number is claimed by one writer only. ``after``: the number of the version that df was made from (-1: none was there); if another
+    writer has claimed the next one meanwhile, CommitConflict is raised and nothing is hidden. Without it the next
+    free number is taken, so the last to commit counts.
+    """
     spark = df.sparkSession
     if "~" in version or "/" in version:
         raise ValueError("a version is named without ~ and /")
     unique = uuid.uuid4().hex
     place = f"{path}/v={version}~{unique}"
     df.write.parquet(place)
-    number = max((n for n, _, _ in versions(spark, path)), default=-1) + 1
+    number = max((n for n, _, _ in versions(spark, path)), default=-1) + 1 if after is None else after + 1
+    while not claimed(spark, path, number):
+        if after is not None:
+            raise CommitConflict(f"version {number} of {path} is another writer's")
+        number += 1
     fs, commit = _files(spark, f"{path}/_commits/{number:020d}~{version}~{unique}")
     fs.create(commit, False).close()
     return place

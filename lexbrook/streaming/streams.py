@@ -92,10 +92,11 @@ class GapQueue:
         """Failed (error not null) and done fetches of a batch; an epoch that is committed already is not applied again."""
         from ..sources import sinks
 
-        if any(int(v) >= epoch for _, v, _ in sinks.versions(self.spark, self.path)):
+        known = sinks.versions(self.spark, self.path)
+        if any(int(v) >= epoch for _, v, _ in known):
             return
         queue = coverage.apply_failures(self.read(), events.where("error IS NOT NULL"), now)
-        sinks.versioned(coverage.apply_resolved(queue, events.where("error IS NULL"), now), self.path, str(epoch))
+        sinks.versioned(coverage.apply_resolved(queue, events.where("error IS NULL"), now), self.path, str(epoch), after=known[-1][0] if known else -1)
 
     def run(self, stream: DataFrame, checkpoint: str, now: str) -> StreamingQuery:
         return stream.writeStream.foreachBatch(lambda df, epoch: self.apply(df, epoch, now)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
