@@ -211,3 +211,75 @@ def test_found_decisions_are_fetched_by_id(spark, tmp_path):
     assert "PartitionFilters: [folder" in plan.replace("isnotnull(folder#", "") or "folder" in plan.split("PartitionFilters")[1][:200]
     assert "In(decision_id" in plan.split("PushedFilters")[1]
     assert kept.fetch([]).count() == 0
+
+
+# sinks, counts, gates
+
+
+def test_two_writers_cannot_hide_each_other(spark, tmp_path):
+    from lexbrook.sources import sinks
+
+    path = str(tmp_path / "table")
+    a, b, c = (spark.createDataFrame([(i,)], "n int") for i in range(3))
+    sinks.versioned(a, path, "0", after=-1)
+    read = sinks.versions(spark, path)[-1][0]  # both writers have read this one
+    sinks.versioned(b, path, "1", after=read)
+    with pytest.raises(sinks.CommitConflict):
+        sinks.versioned(c, path, "1", after=read)
+    assert sinks.current(spark, path).first()["n"] == 1 and len(sinks.versions(spark, path)) == 2
+    sinks.versioned(c, path, "2")
+    assert [n for n, _, _ in sinks.versions(spark, path)] == [0, 1, 2] and sinks.current(spark, path).first()["n"] == 2
+
+
+def test_a_court_with_most_rows_is_written_by_several_tasks(spark, tmp_path):
+    from lexbrook.sources import sinks
+
+    rows = spark.range(200_000).select(F.when(F.col("id") % 50 == 0, "zh").otherwise("bger").alias("court"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1m")
+    try:
+        sinks.export(rows.repartition(8), str(tmp_path / "out"))
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "out" / "court=bger").glob("*.parquet"))) > 2
+    assert spark.read.parquet(str(tmp_path / "out")).groupBy("court").count().orderBy("court").collect() == rows.groupBy("court").count().orderBy("court").collect()
+
+
+def test_percentiles_of_a_key_with_most_values(spark):
+    from lexbrook.operators import evaluate, traffic
+
+    rnd = random.Random(4)
+    rows = [("a" if i % 10 else "b", float(rnd.randint(0, 4000))) for i in range(5000)] + [(None, 3.0), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r["k"]: (r["n"], r["p50"], r["p95"], r["p99"]) for r in traffic.latency_summary(df, "v", "k").collect()}
+    for k in ("a", "b", None):
+        v = sorted(x for q, x in rows if q == k and x is not None)
+        assert got[k] == (len(v), *(v[int(len(v) * p)] for p in (0.5, 0.95, 0.99)))
+    v = sorted(x for _, x in rows if x is not None)
+    assert evaluate.latency(df, "v").first()["p95"] == v[int(0.95 * len(v)) - 1]
+
+
+def test_gates_samples_and_hill_climbing(spark):
+    from lexbrook.operators import evaluate, quality
+
+    q = spark.createDataFrame([("1", ["a", "b"]), ("2", ["a"])], "id string, tags array<string>")
+    assert evaluate.tag_gates(q, {"a": 2, "b": 2, "c": 1}) == ["b: 1 of 2", "c: 0 of 1"]
+    pairs = spark.range(100).select("id")
+    one, two = (sorted(r["id"] for r in evaluate.sampled_pairs(pairs, 10, s).collect()) for s in (1, 2))
+    assert len(one) == 10 and one != two and one == sorted(r["id"] for r in evaluate.sampled_pairs(pairs.repartition(5), 10, 1).collect())
+    best, history = evaluate.hill_climb(lambda c: -abs(c["w"] - 3), {"w": 0.0}, lambda c, i: {"w": c["w"] + 1})
+    assert best == {"w": 3.0} and history[0] == -3 and max(history) == 0
+    d = spark.createDataFrame([("d1", "2020-01-01", "text" * 200), ("d2", None, ""), ("d3", "2020-02-30", "x" * 900)], "decision_id string, decision_date string, full_text string").withColumn("court", F.lit("bger")).withColumn("regeste", F.lit(""))
+    assert len(quality.failed_gates(d, "2024-01-01", 10.0, 10.0)) == 2 and quality.failed_gates(d, "2024-01-01", 100.0, 100.0) == []
+
+
+def test_cases_by_topic(spark):
+    kinds = "area_id string, module_id string, name_de string, name_fr string, title_de string, title_fr string, title_it string, concepts_de array<string>, concepts_fr array<string>, concepts_it array<string>, statutes array<string>, actual_language string, difficulty int, position long"
+    none = [None, None, None]
+    rows = [("vertrag", "kauf", "Kaufrecht", "Vente", "Kaufvertrag", *none[:2], ["Sachgewährleistung"], None, None, ["Art. 197 OR"], "de", 1, 1), ("miete", "kuendigung", "Miete", "Bail", "Kündigung", *none[:2], ["Mietzins"], None, None, ["Art. 271 OR"], "fr", 3, 2)]
+    cases = spark.createDataFrame(rows, kinds)
+    scores = {r["module_id"]: r["score"] for r in search.topic_scores(cases, "kauf").collect()}
+    assert scores == {"kauf": 5 + 3 + 1, "kuendigung": 0}
+    assert search.find_case(cases, "kauf").first()["module_id"] == "kauf" and search.find_case(cases, "nichts").count() == 0
+    assert search.find_case(cases, "art. 271", difficulty=1).first()["module_id"] == "kuendigung"
