@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import structure
 from ..operators import lawtrees, volumes
 from ..operators.volumes import BACK_MATTER
 from ..sources import paged
@@ -60,6 +61,23 @@ def law_texts_walked(spark, sf_dir):
     return lawtrees.whole_texts(lawtrees.nodes(law_trees(spark, sf_dir))).select("law_id", F.md5("full_text").alias("text_md5"))
 
 
+@query("""WITH d AS (SELECT doc_id, trim(regexp_replace(regexp_replace(text, '[^A-Za-z]+', ' ', 'g'), '^ +| +$', '', 'g')) AS t FROM documents WHERE text IS NOT NULL)
+    SELECT 'd' || doc_id AS decision_id, CASE WHEN doc_id % 4 < 2 THEN md5('A. ' || t) END AS facts_md5, doc_id % 4 = 3 AS is_excerpt,
+        CASE doc_id % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 0.6 WHEN 2 THEN 0.7 ELSE 0.9 END AS parse_quality, CASE WHEN doc_id % 4 IN (0, 2, 3) THEN md5('Rn ' || t) END AS second_md5 FROM d WHERE t <> ''""")
+def study_parsed(spark, sf_dir):
+    """Decisions made of whole texts: whole ones, ones without numbers or without facts, excerpts."""
+    d = table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.trim(F.regexp_replace("text", "[^A-Za-z]+", " ")).alias("t")).where("t <> ''")
+    k = F.col("doc_id") % 4
+    facts, end = F.concat(F.lit("\nSachverhalt\n\nA. "), "t", F.lit("\n")), F.lit("\nDemnach erkennt das Bundesgericht:\n\n1. Die Beschwerde wird abgewiesen.\n")
+    numbered = F.concat(F.lit("\nErwägungen\n\n1. Erstens.\n\n2. Rn "), "t", F.lit("\n"))
+    plain = F.concat(F.lit("\nErwägungen\n\nRn "), "t", F.lit("\n"))
+    body = F.when(k == 0, F.concat(facts, numbered, end)).when(k == 1, F.concat(facts, plain)).when(k == 2, F.concat(numbered, end)).otherwise(F.concat(F.lit("Aus den Erwägungen:\n"), numbered, end))
+    rows = d.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("decision_id"), body.alias("full_text"), F.lit("de").alias("language"))
+    second = F.filter("paragraphs", lambda p: p["e_number"] == "2")
+    text = F.regexp_replace(F.get(second, F.lit(0))["text"], r"^\s*2\.\s*|\s+$", "")
+    return structure.study_table(rows).select("decision_id", F.md5("sachverhalt").alias("facts_md5"), "is_excerpt", "parse_quality", F.md5(text).alias("second_md5"))
+
+
 #: Pages of 40 documents a volume: a table of contents, headers on most pages, some with an older number or in old print, an index at the end.
 PAGES = """SELECT CAST(floor(doc_id / 40) AS BIGINT) AS volume, doc_id % 40 AS page, concat(CASE WHEN doc_id % 40 = 0 THEN concat('Inhalt', chr(10), 'Nr. 9', chr(10))
     WHEN doc_id % 40 = 38 THEN concat('Sachregister', chr(10)) WHEN doc_id % 7 = 3 THEN '' WHEN doc_id % 40 > 9 AND doc_id % 11 = 5 THEN concat('vgl. Nr. 2', chr(10))
