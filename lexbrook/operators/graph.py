@@ -166,10 +166,10 @@ def authority(edges: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def case_brief(df: DataFrame, edges: DataFrame, targets: DataFrame, statutes: DataFrame, decision_id: str) -> DataFrame:
-    """One row: the decision with its statutes and its citations both ways."""
+    """One row: the decision with its statutes and all its citations both ways."""
     own = df.where(F.col("decision_id") == decision_id)
     s = statutes.where(F.col("decision_id") == decision_id).groupBy("decision_id").agg(F.array_sort(F.collect_set("statute_id")).alias("statutes"))
-    c = citations_of(edges, targets, decision_id).groupBy("direction").agg(F.array_sort(F.collect_set("other")).alias("ids"))
+    c = citations_of(edges, targets, decision_id, limit=None).groupBy("direction").agg(F.array_sort(F.collect_set("other")).alias("ids"))
     both = c.groupBy(F.lit(decision_id).alias("decision_id")).agg(F.first(F.when(F.col("direction") == "incoming", F.col("ids")), True).alias("cited_by"), F.first(F.when(F.col("direction") == "outgoing", F.col("ids")), True).alias("cites"))
     return own.join(s, "decision_id", "left").join(both, "decision_id", "left")
 
