@@ -260,9 +260,9 @@ def stable_ids(spark, sf_dir):
 @query(f"""{TARGETS}, o AS (SELECT CAST('cites' AS VARCHAR) AS side, tgt AS id FROM targets WHERE src = 'd5' AND conf >= 0.3 UNION SELECT 'cited_by', src FROM targets WHERE tgt = 'd5' AND conf >= 0.3)
     SELECT 'd5' AS decision_id, 'ART.6.ABS.2.OR;ART.6.ZGB' AS statutes, coalesce((SELECT string_agg(id, ';' ORDER BY id) FROM o WHERE side = 'cites'), '') AS cites, coalesce((SELECT string_agg(id, ';' ORDER BY id) FROM o WHERE side = 'cited_by'), '') AS cited_by""")
 def case_brief(spark, sf_dir):
-    d, edges, targets = built(spark, sf_dir)
+    d, edges, links = built(spark, sf_dir)
     statutes = graph.statute_edges(d, F.col("refs"))
-    b = graph.case_brief(d.select("decision_id"), edges, targets, statutes, "d5")
+    b = graph.case_brief(d.select("decision_id"), edges, links.about("d5"), statutes, "d5")
     joined = lambda c: F.array_join(F.coalesce(F.col(c), F.array().cast("array<string>")), ";").alias(c)
     return b.select("decision_id", joined("statutes"), joined("cites"), joined("cited_by"))
 
@@ -270,8 +270,8 @@ def case_brief(spark, sf_dir):
 @query(f"""{TARGETS}, m AS (SELECT 'd' || doc_id AS id FROM documents WHERE doc_id % 30 + 1 = 9), c AS (SELECT tgt, count(DISTINCT src) AS n FROM targets GROUP BY 1), b AS (SELECT id, coalesce(n, 0) AS n FROM m LEFT JOIN c ON c.tgt = m.id ORDER BY n DESC, id LIMIT 20)
     SELECT id AS decision_id, n AS citations, d.decision_date FROM b JOIN decisions d ON d.decision_id = b.id""")
 def doctrine_timeline(spark, sf_dir):
-    d, _, targets = built(spark, sf_dir)
-    return graph.doctrine_timeline(d, graph.statute_edges(d, F.col("refs")), targets, "ART.9.ZGB").select("decision_id", "citations", "decision_date")
+    d, _, links = built(spark, sf_dir)
+    return graph.doctrine_timeline(d, graph.statute_edges(d, F.col("refs")), links, "ART.9.ZGB").select("decision_id", "citations", "decision_date")
 
 
 @query("SELECT doc, rank, corpus FROM (SELECT p_partkey AS doc, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS rank, 0 AS corpus FROM part UNION ALL SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC, c_custkey), 1 FROM customer) ORDER BY rank, corpus LIMIT 30")
