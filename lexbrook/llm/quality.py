@@ -25,8 +25,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, rows_of
-from .toxicity import sample_of_labels
+from .common import checkpointed, map_arrow, rows_of
+from .toxicity import labels_by_id
 
 MOST_LABELS, BINS = 60_000, 64
 STATISTICS = (
@@ -132,6 +132,16 @@ def measured(docs: DataFrame, id_col: str, text_col: str, carry: list[str] | Non
     return map_arrow(rows_of(docs, id_col, text_col, carry), make, "stats array<double>")
 
 
+def sample_of_labels(labels: DataFrame, id_col: str, label_col: str, most: int) -> DataFrame:
+    """(id, y): a label for each id, of at most so many ids, chosen by hash."""
+    y = labels_by_id(labels, id_col, label_col)
+    n = y.count()
+    h = F.pmod(F.xxhash64("id"), F.lit(1 << 31))
+    if n > most:  # nearly all that is too much goes before rows meet
+        y = y.where(h < (1 << 31) * min(1.0, 1.2 * most / n))
+    return checkpointed(y.orderBy(h, "id").limit(most))
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_labels: int = MOST_LABELS, **growth) -> dict:
     """An ensemble from the rows of docs that labels (id, 1: good) know."""
     known = F.broadcast(sample_of_labels(labels, id_col, label_col, most_labels).select(F.col("id").alias("known_id"), "y"))  # most_labels rows of two numbers

@@ -6,8 +6,8 @@ runs may shrink. A Viterbi search finds the likeliest reading under a character
 costs of the channel. The restored text is then scored: weights of telling words, learned from
 labels by their document frequencies, are summed and turned into a probability.
 
-Learned from a bounded sample of labelled rows, ``most_labels`` of least hashes of their ids: their ids and
-labels are broadcast, so no text moves but as word counts. The ``lexicon_size`` most telling words and
+Learned from all labelled rows: ids and hashes of texts meet labels by a join, and the ids and labels of different texts
+are broadcast if they are ``most_sent`` or fewer, so no text moves but as word counts (texts of more of them are shuffled). The ``lexicon_size`` most telling words and
 the ``vocabulary_size`` most frequent ones (for the character model) are kept and sent to workers, so the
 model's size is bounded whatever the input. Every step over a text takes time in proportion to its length.
 
@@ -172,32 +172,29 @@ class Restorer:
         return low, changed
 
 
-#: Labelled rows that a model is fitted on, at most.
-MOST_LABELS = 60_000
+#: Labelled texts that are broadcast, as ids and labels, at most; more of them meet the texts by a shuffle.
+MOST_SENT = 2_000_000
 
 
-def sample_of_labels(labels: DataFrame, id_col: str, label_col: str, most: int) -> DataFrame:
-    """(id, y): a label for each id, of at most so many ids, chosen by hash."""
-    y = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).cast("int").alias("y"))
-    n = y.count()
-    h = F.pmod(F.xxhash64("id"), F.lit(1 << 31))
-    if n > most:  # nearly all that is too much goes before rows meet
-        y = y.where(h < (1 << 31) * min(1.0, 1.2 * most / n))
-    return checkpointed(y.orderBy(h, "id").limit(most))
+def labels_by_id(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(id, y): a label for each id, 1 if one of its rows says so."""
+    return labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) > 0).cast("int").alias("y"))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_labels: int = MOST_LABELS, least_g2: float = 15.0, least_weight: float = 2.5, lexicon_size: int = 5000, vocabulary_size: int = 20_000) -> dict:
-    """A model from the rows of docs that labels (id, 1: toxic) know: words' weights, the bias, and words for the character model."""
-    known = F.broadcast(sample_of_labels(labels, id_col, label_col, most_labels))  # most_labels rows of two numbers
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", least_g2: float = 15.0, least_weight: float = 2.5, lexicon_size: int = 5000, vocabulary_size: int = 20_000, most_sent: int = MOST_SENT) -> dict:
+    """A model from all rows of docs that labels (id, 1: toxic) know: words' weights, the bias, and words for the character model.
+
+    most_sent only says how texts and labels meet, it never changes results."""
+    known = labels_by_id(labels, id_col, label_col)
     rows = docs.select(F.col(id_col).alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("text")).withColumn("h", F.xxhash64("text"))
     # copies of a text count once, as toxic if one of them is; rows that repeat id and text share that one
-    copies = rows.join(known, "id").groupBy("h", "id").agg(F.count("*").alias("n"), F.max("y").alias("y"))
+    copies = rows.select("h", "id").join(known, "id").groupBy("h", "id").agg(F.count("*").alias("n"), F.max("y").alias("y"))
     once = checkpointed(copies.groupBy("h").agg(F.min(F.struct("id", "n")).alias("x"), F.max("y").alias("y")).select("h", "x.id", "y", (1 / F.col("x.n")).alias("share")))
     totals = once.agg(F.sum("y").alias("t"), F.count("*").alias("n")).first()
     toxic, clean = totals["t"] or 0, (totals["n"] or 0) - (totals["t"] or 0)
     if not toxic or not clean:
         return {"weights": {}, "bias": -1e9, "words": {}}
-    texts = rows.join(F.broadcast(once), ["h", "id"]).select("y", "share", F.array_distinct(F.split("text", r"[^\p{L}\p{N}]+")).alias("words"))
+    texts = rows.join(F.broadcast(once) if totals["n"] <= most_sent else once, ["h", "id"]).select("y", "share", F.array_distinct(F.split("text", r"[^\p{L}\p{N}]+")).alias("words"))
     t, n = F.round(F.sum(F.col("y") * F.col("share"))).cast("long").alias("t"), F.round(F.sum("share")).cast("long").alias("n")
     counts = texts.select("y", "share", F.explode("words").alias("word")).where("word <> ''").groupBy("word").agg(t, n)
     e = F.col("n") * (toxic / (toxic + clean))
