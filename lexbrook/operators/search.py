@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.text import ACCENTED, PLAIN, text, tokens
 from .compounds import of_words
 from .index import Index, postings  # noqa: F401
-from .lineage import numbered
+from .lineage import checkpointed, numbered
 
 #: Weights of fields and of signals.
 FIELD_WEIGHTS = {"decision_id": 0.8, "court": 0.8, "canton": 0.8, "docket_number": 2.0, "language": 0.8, "title": 6.0, "regeste": 5.0, "full_text": 1.2}
@@ -86,10 +86,14 @@ def bm25(index: Index, terms: list[str], fields: dict[str, float]) -> DataFrame:
     return scored(index.asked(terms, fields=list(fields)), index, fields).groupBy("doc").agg(F.sum("part").alias("score"))
 
 
+#: Rows of queries that are joined by term, those of a pack that is broadcast, and documents of a task.
+FEW_ROWS, PACK_ROWS, TASK_DOCS = 1000, 50_000, 2048
+
+
 def bm25_batch(index: Index, queries: DataFrame, fields: dict[str, float]) -> DataFrame:
     """(query_id, doc, score) for a table of queries (query_id, term), whose size is not bounded.
 
-    A term's postings meet the queries that ask for it; frequent terms' postings can be split by AQE.
+    A term's postings meet the queries that ask for it: for few rows of queries by term, for more of them document by document.
     """
     asked = index.rows.join(queries.select("term").distinct(), "term", "left_semi")
     if set(fields) < set(index.words):
@@ -99,7 +103,18 @@ def bm25_batch(index: Index, queries: DataFrame, fields: dict[str, float]) -> Da
     mean = index.mean_length(list(fields)) or 1.0
     part = idf * F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("length") / mean))
     parts = per.join(document_frequencies(asked), "term").select("doc", "term", part.alias("part"))
-    return queries.join(parts, "term").groupBy("query_id", "doc").agg(F.sum("part").alias("score"))
+    rows = queries.count()
+    if rows <= FEW_ROWS:
+        return queries.join(parts, "term").groupBy("query_id", "doc").agg(F.sum("part").alias("score"))
+    # all postings of a document lie in one task, to which packs of queries are sent: what they score is summed up there and not shuffled
+    packs = -(-rows // PACK_ROWS)
+    dealt = checkpointed(parts.repartition(max(1, -(-index.docs // TASK_DOCS)), "doc"))
+    pack = F.pmod(F.xxhash64("query_id"), F.lit(packs))
+    found = None
+    for p in range(packs):
+        own = dealt.join(F.broadcast(queries.where(pack == p)), "term").groupBy("query_id", "doc").agg(F.sum("part").alias("score"))
+        found = own if found is None else found.unionByName(own)
+    return found
 
 
 def ranked(scores: DataFrame, by: str = "score", key: list[str] = (), doc: str = "doc") -> DataFrame:
