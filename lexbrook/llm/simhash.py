@@ -111,12 +111,51 @@ def variants(n: int) -> list[int]:
     return [signed(m & ~(1 << i)) for m in segments(n) for i in range(BITS) if m >> i & 1]
 
 
+def partnered(size: np.ndarray, planes: list[np.ndarray], most: int) -> np.ndarray:
+    """Whether each row has another one in its place, from which its planes differ in ``most`` bits or fewer together. Rows are sorted
+    by place; size: rows of each place.
+
+    Places of like sizes are the columns of a matrix, so all pairs of a distance are compared in one pass over neighbouring numbers.
+    """
+    out = np.zeros(int(size.sum()), bool)
+    start = np.cumsum(size) - size
+    order = np.argsort(size, kind="stable")
+    sizes = size[order]
+    at = int(np.searchsorted(sizes, 2))
+    while at < len(order):
+        upto = int(np.searchsorted(sizes, sizes[at] + sizes[at] // 4, "right"))
+        chosen, width = order[at:upto], int(sizes[upto - 1])
+        n, own = len(chosen), size[chosen]
+        row = np.arange(width)[:, None]
+        filled = row < own
+        index = np.where(filled, start[chosen] + row, 0)
+        blank = np.random.default_rng(width).integers(0, 1 << 63, (len(planes), width, n), np.uint64)  # unlike each other; told from rows below
+        flat = [np.where(filled, x[index], y).ravel() for x, y in zip(planes, blank, strict=True)]
+        for d in range(1, width):
+            differ = np.bitwise_count(flat[0][d * n :] ^ flat[0][: -d * n])
+            for x in flat[1:]:
+                differ += np.bitwise_count(x[d * n :] ^ x[: -d * n])
+            hit = np.flatnonzero(differ <= most)
+            hit = hit[hit // n + d < own[hit % n]]
+            first = index.ravel()[hit]
+            out[first] = out[first + d] = True
+        at = upto
+    return out
+
+
 def linked(place: np.ndarray, planes: list[np.ndarray], key: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of keys (a, b) of the same place whose planes differ in ``most`` bits or fewer together: those that join two groups
-    of the place, after which these are one, nearer pairs first. Rows are sorted by place."""
-    n = len(place)
-    start = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if n else np.zeros(0, np.int64)
-    size = np.diff(np.r_[start, n])
+    of the place, after which these are one, nearer pairs first. Rows are sorted by place.
+
+    All pairs are compared once; groups are then joined among the rows that have a partner, which are few in places where chance brought rows together.
+    """
+    for narrowed in (False, True):
+        n = len(place)
+        start = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if n else np.zeros(0, np.int64)
+        size = np.diff(np.r_[start, n])
+        if not narrowed:
+            rows = np.flatnonzero(partnered(size, planes, most))
+            place, planes, key = place[rows], [x[rows] for x in planes], key[rows]
     of = np.repeat(np.arange(len(start)), size)
     left = (start + size)[of] - np.arange(n) if n else start  # rows of the place from here on, this one included
     label = np.arange(n)
@@ -131,12 +170,8 @@ def linked(place: np.ndarray, planes: list[np.ndarray], key: np.ndarray, most: i
                 differ += np.bitwise_count(x[other] ^ x[other + d])
             yield d, other[differ <= limit]
 
-    met = np.zeros(len(start), bool)  # places with any pair; few, so that only they are looked at again
-    for _, found in near(np.flatnonzero(left > 1), most):
-        met[of[found]] = True
-    rows = np.flatnonzero(met[of]) if n else start
     for step in range(1, STEPS + 1) if most >= STEPS * 2 else [STEPS]:
-        for d, found in near(rows, most * step // STEPS):
+        for d, found in near(np.flatnonzero(left > 1), most * step // STEPS):
             kept = []
             for i in found.tolist():
                 a, b = label[i], label[i + d]
