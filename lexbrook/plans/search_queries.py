@@ -108,7 +108,7 @@ def rrf_fusion(spark, sf_dir):
         + CASE WHEN ' ' || array_to_string(tt, ' ') || ' ' || array_to_string(ts, ' ') || ' ' LIKE '% trash clown %' THEN 1.8 ELSE 0 END, 6) AS relevance_score FROM y"""
 )
 def composite_rerank(spark, sf_dir):
-    d = documents(spark, sf_dir)
+    d = documents(spark, sf_dir).select("decision_id", F.substring("full_text", 1, 200).alias("full_text"))  # no text beyond that is moved
     hits = search.ranked(of_documents(search.bm25(indexed(spark, sf_dir), ["trash", "clown"], TEXT_ONLY)).withColumn("key", F.round("score", 9)), "key")
     rows = hits.join(d, hits["doc"] == d["decision_id"]).select(
         "doc", F.col("score").alias("bm25"), (1.3 / (60 + F.col("rank"))).alias("rrf"), F.lit(1).alias("hits"), F.substring("full_text", 1, 200).alias("snippet"), F.substring("full_text", 1, 60).alias("title"),
