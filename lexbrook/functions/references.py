@@ -97,25 +97,34 @@ def document_citations(c) -> Column:
 def amendment_references(c) -> Column:
     """array<struct<kind, year, page, context, url>>; context: 80 characters on both sides.
 
-    The text is cut behind each reference, so each piece ends with one, and what follows is the next pieces' beginning.
+    The text is cut once, before and behind each reference, so every other piece is one; of the others only the ends count.
     """
     mark = "\x01"
-    pieces = F.split(F.regexp_replace(F.translate(text(c), mark, " "), AMENDMENT, f"$0{mark}"), mark)
-    ends = F.slice(pieces, 1, F.size(pieces) - 1)
+    cut = F.split(F.regexp_replace(F.replace(text(c), F.lit(mark), F.lit(" ")), AMENDMENT, f"{mark}$0{mark}"), mark)
 
-    def parts(x, i):
-        kind, year, page = (F.regexp_extract(x, rf"(?s){AMENDMENT}$", k) for k in (1, 2, 3))
+    def named(raw):
+        return F.struct(*(F.regexp_extract(raw, AMENDMENT, k).alias(name) for k, name in enumerate(("kind", "year", "page"), 1)))
+
+    def one(x, i, heads, tails):
+        kind, year, page = x["kind"], x["year"], x["page"]
         n = F.length(kind) + F.length(year) + F.length(page) + 2
-        # a piece has nine characters or more, so ten of them reach far enough
-        before = F.array_join(F.slice(pieces, F.greatest(i - 9, F.lit(1)), F.least(i + 1, F.lit(11))), "")
-        around = F.concat(F.substr(before, F.greatest(F.length(before) - n - 79, F.lit(1))), F.substr(F.array_join(F.slice(pieces, i + 2, 11), ""), F.lit(1), F.lit(80)))
+        # a reference has nine characters or more, so ten of them, and what stands between, reach far enough
+        before = F.array_join(F.slice(tails, F.greatest(2 * i - 18, F.lit(1)), F.least(2 * i + 2, F.lit(21))), "")
+        around = F.concat(F.substring(before, F.lit(-80) - n, n + 80), F.substring(F.array_join(F.slice(heads, 2 * i + 3, 21), ""), 1, 80))
         url = F.lit(None).cast("string")
         for k, form in AMENDMENT_URLS.items():
             head = form.split("{year}")[0]
             url = F.when(kind == k, F.concat(F.lit(head), year, F.lit("/"), page)).otherwise(url)
         return F.struct(kind.alias("kind"), year.cast("int").alias("year"), page.cast("int").alias("page"), F.trim(F.replace(around, F.lit("\n"), F.lit(" "))).alias("context"), url.alias("url"))
 
-    return F.transform(ends, parts)
+    def every_one(pieces):
+        found = F.transform(F.filter(pieces, lambda x, i: i % 2 == 1), named)
+        heads = F.transform(pieces, lambda x, i: F.when(i % 2 == 1, x).otherwise(F.substring(x, 1, 80)))
+        tails = F.transform(pieces, lambda x, i: F.when(i % 2 == 1, x).otherwise(F.substring(x, -80, 80)))
+        ends = F.struct(found.alias("found"), heads.alias("heads"), tails.alias("tails"))
+        return let(ends, lambda e: F.transform(e["found"], lambda x, i: one(x, i, e["heads"], e["tails"])))
+
+    return let(cut, every_one)
 
 
 def docket_candidates(c) -> Column:
