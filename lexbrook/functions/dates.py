@@ -18,8 +18,8 @@ HEADINGS = [
     ("header_de", rf"(?:Urteil|Entscheid|Beschluss|Verfügung|Zwischenentscheid|Teilurteil)\s+vom\s+(\d{{1,2}})\.\s*({NAMES})\s+(\d{{4}})"),
     ("header_it", rf"(?:Sentenza|Decisione|Giudizio|Decreto)\s+del\s+(\d{{1,2}})\s+({NAMES})\s+(\d{{4}})"),
 ]
-PLACE = r"[A-ZÀ-Ü][a-zà-ü]+(?:-[A-ZÀ-Ü][a-zà-ü]+)?,\s*"
-SIGN_OFFS = [rf"{PLACE}le\s+(\d{{1,2}})(?:er)?\s+({NAMES})\s+(\d{{4}})", rf"{PLACE}(?:den\s+)?(\d{{1,2}})\.\s*({NAMES})\s+(\d{{4}})", rf"{PLACE}(?:il\s+)?(\d{{1,2}})\s+({NAMES})\s+(\d{{4}})"]
+PLACE = r"[A-ZÀ-Ü][a-zà-ü]++(?:-[A-ZÀ-Ü][a-zà-ü]++)?"
+AFTER_PLACE = [rf",\s*le\s+(\d{{1,2}})(?:er)?\s+({NAMES})\s+(\d{{4}})", rf",\s*(?:den\s+)?(\d{{1,2}})\.\s*({NAMES})\s+(\d{{4}})", rf",\s*(?:il\s+)?(\d{{1,2}})\s+({NAMES})\s+(\d{{4}})"]
 BARE = rf"(?<!\d)(\d{{1,2}})\.?\s+({NAMES})\s+(\d{{4}})(?!\d)"
 NUMERIC = r"(?<!\d)(\d{1,2})\.(\d{1,2})\.(\d{4})(?!\d)"
 #: What stands beside the date of a law.
@@ -43,8 +43,10 @@ def _parts(raw, pattern: str, year_first: bool = False) -> tuple[Column, Column,
 
 
 def _date(raw, pattern: str) -> Column:
-    y, m, d = _parts(F.regexp_extract(raw, FLAGS + pattern, 0), pattern)
-    return F.when(y.between(1800, 2100), F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0")).try_cast("date"))
+    """The date that a find of the pattern writes."""
+    parts = F.struct(*(x.alias(k) for k, x in zip("ymd", _parts(raw, pattern))))
+    whole = lambda x: F.concat_ws("-", F.lpad(x["y"].cast("string"), 4, "0"), F.lpad(x["m"].cast("string"), 2, "0"), F.lpad(x["d"].cast("string"), 2, "0"))
+    return let(parts, lambda x: F.when(x["y"].between(1800, 2100), whole(x).try_cast("date")))
 
 
 def finds(zone, pattern: str) -> Column:
@@ -53,12 +55,14 @@ def finds(zone, pattern: str) -> Column:
     cut = F.split(F.regexp_replace(F.translate(zone, begin + end, "  "), FLAGS + pattern, f"{begin}$0{end}"), begin)
 
     def one(pieces, k):
-        piece = F.get(pieces, k)
-        raw = F.substring_index(piece, end, 1)
         before = F.translate(F.array_join(F.slice(pieces, F.lit(1), k), ""), end, "")
-        after = F.translate(F.array_join(F.slice(pieces, k + 1, F.size(pieces)), ""), end, "").substr(F.length(raw) + 1, F.lit(AROUND))
-        near = F.concat(before.substr(F.greatest(F.length(before) - AROUND + 1, F.lit(1)), F.lit(AROUND)), raw, after)
-        return F.struct(raw.alias("raw"), _date(raw, pattern).alias("date"), near.alias("near"))
+        after = F.translate(F.array_join(F.slice(pieces, k + 1, F.size(pieces)), ""), end, "")
+
+        def placed(raw):
+            near = F.concat(F.substring(before, -AROUND, AROUND), raw, after.substr(F.length(raw) + 1, F.lit(AROUND)))
+            return F.struct(raw.alias("raw"), _date(raw, pattern).alias("date"), near.alias("near"))
+
+        return let(F.substring_index(F.get(pieces, k), end, 1), placed)
 
     def every(pieces):
         return F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), lambda k: one(pieces, k))
@@ -68,11 +72,14 @@ def finds(zone, pattern: str) -> Column:
 
 def beside_law(near) -> Column:
     """Whether a date belongs to a law, by what stands beside it."""
-    low = F.lower(near)
-    out = F.lit(False)
-    for sign in LAW_SIGNS:
-        out |= low.contains(sign)
-    return out
+
+    def signed(low):
+        out = F.lit(False)
+        for sign in LAW_SIGNS:
+            out |= low.contains(sign)
+        return out
+
+    return let(F.lower(near), signed)
 
 
 def _first(found, since: int) -> Column:
@@ -82,23 +89,24 @@ def _first(found, since: int) -> Column:
 
 def heading_date(t) -> Column:
     """struct<date, method>: the date of the heading; one without a heading's words only near the beginning."""
-    zone = t.substr(1, ZONE)
 
     def named(date, name: str):
         return let(date, lambda d: F.when(d.isNotNull(), F.struct(d.alias("date"), F.lit(name).alias("method"))))
 
-    typed = [F.when(zone.rlike(FLAGS + p), named(_date(zone, p), name)) for name, p in HEADINGS]
-    return F.coalesce(*typed, named(_first(finds(t.substr(1, NARROW), BARE), 1900)["date"], "bare_header"))
+    def typed(zone):
+        return F.coalesce(*(let(F.regexp_extract(zone, FLAGS + p, 0), lambda raw: F.when(raw != "", named(_date(raw, p), name))) for name, p in HEADINGS))  # noqa: B023
+
+    return F.coalesce(let(t.substr(1, ZONE), typed), named(_first(let(t.substr(1, NARROW), lambda z: finds(z, BARE)), 1900)["date"], "bare_header"))
 
 
 def sign_off_date(t) -> Column:
     """The date of the last sign-off near the end, by the first form whose last one is a date and not a law's."""
-    tail = t.substr(F.greatest(F.length(t) - ZONE + 1, F.lit(1)), F.lit(ZONE))
 
-    def last(pattern: str):
-        return F.when(tail.rlike(FLAGS + pattern), let(F.try_element_at(finds(tail, pattern), F.lit(-1)), lambda x: F.when(~beside_law(x["near"]), x["date"])))
+    def last(tail, after: str):
+        # what follows a place begins with a comma, so it is soon told whether there is any
+        return F.when(tail.rlike(FLAGS + after), let(F.try_element_at(finds(tail, PLACE + after), F.lit(-1)), lambda x: F.when(~beside_law(x["near"]), x["date"])))
 
-    return F.coalesce(*map(last, SIGN_OFFS))
+    return let(t.substr(F.greatest(F.length(t) - ZONE + 1, F.lit(1)), F.lit(ZONE)), lambda tail: F.coalesce(*(last(tail, x) for x in AFTER_PLACE)))
 
 
 def decision_date(c) -> Column:
@@ -107,7 +115,6 @@ def decision_date(c) -> Column:
     If they agree both count. A heading's date counts unless the sign-off is over a year away (then the heading names
     an earlier decision); a bare date never counts against a sign-off. Without either a numeric date of the heading may do.
     """
-    t = text(c)
 
     def result(date, method, confidence):
         return F.struct(date.alias("date"), method.alias("method"), confidence.alias("confidence"))
@@ -120,10 +127,15 @@ def decision_date(c) -> Column:
         alone = result(head["date"], head["method"], F.when(typed, "high").otherwise("medium"))
         return F.when(head["date"].isNotNull() & end.isNotNull(), both).when(head["date"].isNotNull(), alone).when(end.isNotNull(), result(end, signed, medium))
 
-    number = let(_first(finds(t.substr(1, ZONE), NUMERIC), 1900)["date"], lambda d: F.when(d.isNotNull(), result(d, F.lit("numeric"), F.lit("low"))))
     none = result(F.lit(None).cast("date"), F.lit(""), F.lit("none"))
-    found = let(F.struct(heading_date(t).alias("head"), sign_off_date(t).alias("end")), lambda x: weighed(x["head"], x["end"]))
-    return F.when(F.length(t) < LEAST_TEXT, none).otherwise(F.coalesce(found, number, none))
+
+    def told(t):
+        numeric = _first(let(t.substr(1, ZONE), lambda z: finds(z, NUMERIC)), 1900)["date"]
+        number = let(numeric, lambda d: F.when(d.isNotNull(), result(d, F.lit("numeric"), F.lit("low"))))
+        found = let(F.struct(heading_date(t).alias("head"), sign_off_date(t).alias("end")), lambda x: weighed(x["head"], x["end"]))
+        return F.when(F.length(t) < LEAST_TEXT, none).otherwise(F.coalesce(found, number, none))
+
+    return let(text(c), told)
 
 
 def category(found, known) -> Column:

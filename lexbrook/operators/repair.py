@@ -27,8 +27,8 @@ def repaired_dates(df: DataFrame, today: str, least: str = "medium") -> DataFram
 
 def date_audit(df: DataFrame, *keys) -> DataFrame:
     """How many records fall into each category."""
-    d = dates.decision_date("full_text")
-    return df.select(*keys, dates.category(d, "decision_date").alias("date_category")).groupBy(*keys, "date_category").agg(F.count("*").alias("n"))
+    told = df.select(*keys, "decision_date", dates.decision_date("full_text").alias("_d"))  # once a text, not once a comparison
+    return told.select(*keys, dates.category(F.col("_d"), "decision_date").alias("date_category")).groupBy(*keys, "date_category").agg(F.count("*").alias("n"))
 
 
 def decision_key():
