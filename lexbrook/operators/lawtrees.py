@@ -12,7 +12,7 @@ import html
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import let, strip
 from .lineage import checkpointed
 
 #: Types of nodes within an article whose own text and whose children's count; the text of other types counts, their children's does not.
@@ -24,22 +24,33 @@ ENTITIES = ("nbsp", "lt", "gt", "quot", "apos", "auml", "ouml", "uuml", "Auml",
 
 def plain(c: Column) -> Column:
     """The lines of a snippet of markup, with entities decoded and white space made even; '' for null."""
-    t = F.coalesce(c, F.lit(""))
-    t = F.regexp_replace(F.regexp_replace(t, r"<br\s*/?>", "\n"), r"</(?:p|div|li|tr)>", "\n")
-    t = F.regexp_replace(t, r"<span\s+class=['\"]number['\"]>([^<]*)</span>", "$1 ")
-    t = decoded(F.regexp_replace(t, "<[^>]+>", ""))
-    lines = F.transform(F.split(t, "\n"), lambda x: strip(F.regexp_replace(x, "[ \\t]+", " ")))
+
+    def opened(t):
+        t = let(t, lambda x: F.when(x.contains("<br"), F.regexp_replace(x, r"<br\s*/?>", "\n")).otherwise(x))
+        t = F.regexp_replace(t, r"</(?:p|div|li|tr)>", "\n")
+        t = let(t, lambda x: F.when(x.contains("number"), F.regexp_replace(x, r"<span\s+class=['\"]number['\"]>([^<]*)</span>", "$1 ")).otherwise(x))
+        return F.regexp_replace(t, "<[^>]+>", "")
+
+    t = let(F.coalesce(c, F.lit("")), lambda x: F.when(x.contains("<"), opened(x)).otherwise(x))
+    lines = F.transform(F.split(decoded(t), "\n"), lambda x: strip(F.regexp_replace(x, "[ \\t]{2,}|\\t", " ")))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
 def decoded(c: Column) -> Column:
-    """Named entities of ENTITIES and decimal ones; &amp; last, so that nothing is decoded twice."""
-    parts = F.split(c, r"(?=&#\d{1,6};)")
+    """Named entities of ENTITIES and decimal ones; &amp; last, so that nothing is decoded twice. Texts without & are as they are."""
     number = lambda x: F.regexp_extract(x, r"^&#(\d{1,6});", 1)
-    t = F.array_join(F.transform(parts, lambda x: F.when(number(x) != "", F.concat(code_point(number(x)), F.regexp_replace(x, r"^&#\d{1,6};", ""))).otherwise(x)), "")
-    for name in ENTITIES:
-        t = F.replace(t, F.lit(f"&{name};"), F.lit(html.unescape(f"&{name};")))
-    return t
+
+    def numbered(x):
+        parts = F.split(x, r"(?=&#\d{1,6};)")
+        return F.array_join(F.transform(parts, lambda p: F.when(number(p) != "", F.concat(code_point(number(p)), F.regexp_replace(p, r"^&#\d{1,6};", ""))).otherwise(p)), "")
+
+    def every(x):
+        t = F.when(x.contains("&#"), numbered(x)).otherwise(x)
+        for name in ENTITIES:
+            t = F.replace(t, F.lit(f"&{name};"), F.lit(html.unescape(f"&{name};")))
+        return t
+
+    return let(c, lambda x: F.when(x.contains("&"), every(x)).otherwise(x))
 
 
 def code_point(number: Column) -> Column:
@@ -84,9 +95,10 @@ def articles(found: DataFrame, id_col: str = "law_id") -> DataFrame:
     """(id, place, article_num, heading, under, text) from nodes: texts of an article's parts, in order; articles without heading and text are left out."""
     inside = found.where("article IS NOT NULL")
     own = inside.where(F.col("place") == F.col("article")).select(id_col, "place", article_number("number").alias("article_num"), F.col("title").alias("heading"), "under")
-    parts = inside.where((F.col("place") != F.col("article")) & (F.col("text") != ""))
+    # empty texts are left out behind the grouping: a condition on them would be asked where they are made, and make them twice
+    parts = inside.where(F.col("place") != F.col("article"))
     texts = parts.groupBy(id_col, F.col("article").alias("place")).agg(F.array_sort(F.collect_list(F.struct("place", "text"))).alias("x"))
-    texts = texts.select(id_col, "place", F.array_join("x.text", "\n").alias("text"))
+    texts = texts.select(id_col, "place", F.array_join(F.filter("x.text", lambda t: t != ""), "\n").alias("text"))
     return own.join(texts, [id_col, "place"], "left").withColumn("text", F.coalesce("text", F.lit(""))).where("text <> '' OR heading <> ''")
 
 
