@@ -227,7 +227,10 @@ def run(index: Index, trees: list[tuple[str, Query]], fields: dict[str, float],
     allowed: (doc) that may be found; scores are those of the whole index.
     """
     terms, prefixes = (list(dict.fromkeys(w for _, q in trees for w in all_words(q, kinds))) for kinds in (("term", "phrase"), ("prefix",)))
-    asked = index.asked(terms, prefixes, list(fields))
+    placed = list(dict.fromkeys(w for _, q in trees for w in all_words(q, ("phrase",))))
+    # only words of phrases need their places; without phrases none is read
+    places = F.when(F.col("term").isin(placed), F.col("positions")) if placed else F.lit(None).cast("array<int>")
+    asked = index.asked(terms, prefixes, list(fields)).withColumn("positions", places)
     length = length_in(index, fields)
     per = asked.groupBy("doc").agg(F.collect_list(F.struct("field", "term", "tf", "positions")).alias("hits"), F.max(length).alias("length"))
     if allowed is not None:
