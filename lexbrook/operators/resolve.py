@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.references import docket_candidates
@@ -101,9 +101,7 @@ def headnote_pairs(targets: DataFrame, decisions: DataFrame) -> DataFrame:
 def retrieval_check(index: Index, pairs: DataFrame, fields: dict[str, float], k: int = 10) -> DataFrame:
     """(pairs, hits, hit_rate, mrr): whether the target is among the k best for the words of a headnote's beginning; all pairs at once."""
     asked = pairs.select("source_id", F.explode(F.array_distinct(tokens(F.substring("query", 1, QUERY_CHARS)))).alias("term")).distinct()
-    scores = search.bm25_batch(index, checkpointed(asked.select(F.col("source_id").alias("query_id"), "term")), fields)
-    # the order is that of columns, so that Spark keeps k of each query before it shuffles them
-    w = Window.partitionBy("query_id").orderBy(F.desc("rounded"), "doc")
-    best = scores.select("query_id", "doc", F.round("score", 9).alias("rounded")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    both = pairs.select(F.col("source_id").alias("query_id"), F.col("target_id").alias("doc")).distinct()
+    best = search.placed(index, checkpointed(asked.select(F.col("source_id").alias("query_id"), "term")), both, fields, k)
     hit = pairs.join(best.select(F.col("query_id").alias("source_id"), F.col("doc").alias("target_id"), "rank"), ["source_id", "target_id"], "left")
     return hit.agg(F.count("*").alias("pairs"), F.count("rank").alias("hits"), F.round(F.count("rank") / F.count("*"), 4).alias("hit_rate"), F.round(F.coalesce(F.avg(F.coalesce(1 / F.col("rank"), F.lit(0.0))), F.lit(0.0)), 4).alias("mrr"))

@@ -8,9 +8,13 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,6 +121,76 @@ def bm25_batch(index: Index, queries: DataFrame, fields: dict[str, float]) -> Da
     return found
 
 
+#: Documents of a block, how many times more blocks each round has, pairs of a task, tasks of a round that blocks are copied for, and rows of pairs and blocks of a round.
+BLOCK_DOCS, WIDER, TASK_PAIRS, COPIED_TASKS, ROUND_ROWS = 4096, 8, 4096, 64, 4_000_000
+
+
+def _ahead(pairs: pa.Table, docs: pa.Table) -> pa.Table:
+    """(query_id, doc, ahead): how many of the documents given are before the one of each pair. Terms are added up in the order in which the goal was."""
+    docs = docs.sort_by("doc")
+    names, terms = docs["doc"].to_pylist(), docs["terms"].combine_chunks()
+    asked = pairs["terms"].combine_chunks()
+    known = asked.flatten().unique()
+    code = pc.index_in(terms.flatten(), value_set=known).fill_null(-1).to_numpy(zero_copy_only=False)
+    order = np.argsort(code, kind="stable")
+    row = np.repeat(np.arange(len(names)), pc.list_value_length(terms).to_numpy(zero_copy_only=False))[order]
+    part = docs["parts"].combine_chunks().flatten().to_numpy(zero_copy_only=False)[order]
+    starts = np.searchsorted(code[order], np.arange(len(known) + 1))
+    own = pc.index_in(asked.flatten(), value_set=known).to_numpy(zero_copy_only=False)
+    weight = pairs["weights"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(pc.list_value_length(asked).to_numpy(zero_copy_only=False))
+    begin, ahead = 0, []
+    for end, goal, doc in zip(ends, pairs["goal"].to_pylist(), pairs["doc"].to_pylist()):
+        spans = [(slice(starts[c], starts[c + 1]), w) for c, w in zip(own[begin:end], weight[begin:end])]
+        score = np.bincount(np.concatenate([row[s] for s, _ in spans]), np.concatenate([part[s] * w for s, w in spans]), len(names))
+        rounded, place = np.floor(score * 1e9 + 0.5), bisect_left(names, doc)
+        ahead.append(np.count_nonzero(rounded > goal) + np.count_nonzero((rounded[:place] == goal) & (score[:place] > 0)))
+        begin = end
+    return pa.table({"query_id": pairs["query_id"], "doc": pairs["doc"], "ahead": pa.array(ahead, pa.int64())})
+
+
+def placed(index: Index, queries: DataFrame, pairs: DataFrame, fields: dict[str, float], k: int) -> DataFrame:
+    """(query_id, doc, rank) of those pairs (query_id, doc) whose document is among the k best by BM25 for the query's words (query_id, term); scores
+    are compared with nine decimals, equals by doc.
+
+    A pair is out as soon as k documents are before it. So it meets a block of documents first, and as long as it isn't out ever more of
+    them, all in the end: few pairs do, unless most documents are among the best.
+    """
+    asked = index.rows.join(queries.select("term").distinct(), "term", "left_semi")
+    if set(fields) < set(index.words):
+        asked = asked.where(F.col("field").isin(list(fields)))
+    blocks = max(1, -(-index.docs // BLOCK_DOCS))
+    by_doc = asked.repartition(max(blocks, 2 * asked.sparkSession.sparkContext.defaultParallelism), "doc")
+    per = by_doc.groupBy("doc", "term").agg(F.sum(F.col("tf") * field_weight(fields)).alias("f"), F.max(length_in(index, fields)).alias("length"))
+    part = F.col("f") * (K1 + 1) / (F.col("f") + K1 * (1 - B + B * F.col("length") / (index.mean_length(list(fields)) or 1.0)))
+    listed = per.groupBy("doc").agg(F.collect_list(F.struct("term", part.alias("part"))).alias("x"))
+    docs = checkpointed(listed.select("doc", F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int").alias("block"), F.col("x.term").alias("terms"), F.col("x.part").alias("parts")))
+
+    df = docs.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log(1 + (F.lit(index.docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weighed = queries.join(df, "term").groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("term", idf.alias("weight")))).alias("q"))
+    met = pairs.join(weighed, "query_id").join(docs, "doc").withColumn("m", F.map_from_arrays("terms", "parts"))
+    score = F.aggregate("q", F.lit(0.0), lambda s, x: s + F.coalesce(F.try_element_at(F.col("m"), x["term"]), F.lit(0.0)) * x["weight"])
+    met = met.select("query_id", "doc", "q", score.alias("score")).where("score > 0")
+    goal = F.floor(F.col("score") * 1e9 + 0.5).cast("double").alias("goal")
+    live = checkpointed(met.select("query_id", "doc", goal, F.col("q.term").alias("terms"), F.col("q.weight").alias("weights"), F.lit(0).cast("long").alias("before")))
+
+    kinds = {f.name: f.dataType.simpleString() for f in live.schema}
+    at, wide = 0, 1
+    while at < blocks and (n := live.count()):
+        end = min(blocks, at + min(wide, max(1, ROUND_ROWS // n)))
+        pieces = max(1, min(-(-n // TASK_PAIRS), COPIED_TASKS // (end - at)))
+        key, tasks = ["piece", "block"], pieces * (end - at)
+        piece = F.pmod(F.xxhash64("query_id", "doc"), F.lit(pieces)).cast("int")
+        mine = live.withColumn("piece", piece).withColumn("block", F.explode(F.sequence(F.lit(at), F.lit(end - 1)))).repartition(tasks, *key)
+        theirs = docs.where(F.col("block").between(at, end - 1)).withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)))).repartition(tasks, *key)
+        ahead = mine.groupBy(*key).cogroup(theirs.groupBy(*key)).applyInArrow(lambda a, b: _ahead(a, b), f"query_id {kinds['query_id']}, doc {kinds['doc']}, ahead long")
+        live = live.join(ahead.groupBy("query_id", "doc").agg(F.sum("ahead").alias("ahead")), ["query_id", "doc"])
+        live = checkpointed(live.withColumn("before", F.col("before") + F.col("ahead")).drop("ahead").where(F.col("before") < k))
+        at, wide = end, wide * WIDER
+    return live.select("query_id", "doc", (F.col("before") + 1).alias("rank"))
+
+
 def ranked(scores: DataFrame, by: str = "score", key: list[str] = (), doc: str = "doc") -> DataFrame:
     """rank from 1, best first, equals by doc; without a key over all rows, which are dealt out by ranges and counted."""
     order = [F.desc(by), F.asc(doc)]
