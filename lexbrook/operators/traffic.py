@@ -127,7 +127,7 @@ def latency_summary(rows: DataFrame, value: str, *keys, shares=(0.5, 0.95, 0.99)
     upto = running(counts, "_upto", "c", *(F.col(k) for k in keys), F.col(value))
     starts = upto.groupBy(*keys).agg(F.min(F.col("_upto") - F.col("c")).alias("_start"), F.sum("c").alias("n"))
     same = [F.col(f"u.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-    placed = upto.alias("u").join(starts.alias("s"), same).select(*(F.col(f"u.{k}") for k in keys), f"u.{value}", "n", (F.col("_upto") - F.col("_start")).alias("upto"))
+    placed = upto.alias("u").join(starts.alias("s"), same or None).select(*(F.col(f"u.{k}") for k in keys), f"u.{value}", "n", (F.col("_upto") - F.col("_start")).alias("upto"))
     aggs = [F.min(F.when(F.col("upto") > F.floor(F.col("n") * p), F.col(value))).alias(f"p{round(p * 100)}") for p in shares]
     return placed.groupBy(*keys).agg(F.max("n").alias("n"), *aggs)
 
